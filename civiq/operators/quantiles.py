@@ -63,13 +63,15 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], accuracy: int = 200
 
 def _brackets(long: DataFrame, probs: Sequence[float], accuracy: int) -> DataFrame:
     """One row per column name: moments and the quantile brackets."""
-    margin = 2.0 / accuracy
+    margin, k = 2.0 / accuracy, len(probs)
+    ends = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
     return long.groupBy("column").agg(
         F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"), F.max("x").alias("max"),
-        F.percentile_approx("x", [max(0.0, p - margin) for p in probs], accuracy).alias("lows"),
-        F.percentile_approx("x", [min(1.0, p + margin) for p in probs], accuracy).alias("highs"),
-    ).select("column", F.struct("n", "mean", "std", "min", "max").alias("stats"), "lows", "highs")
+        F.min("x").alias("min"), F.max("x").alias("max"), F.percentile_approx("x", ends, accuracy).alias("ends"),
+    ).select(
+        "column", F.struct("n", "mean", "std", "min", "max").alias("stats"),
+        F.slice("ends", 1, k).alias("lows"), F.slice("ends", k + 1, k).alias("highs"),
+    )
 
 
 def _region_counts(long: DataFrame, brackets: DataFrame, k: int) -> DataFrame:
@@ -81,9 +83,11 @@ def _region_counts(long: DataFrame, brackets: DataFrame, k: int) -> DataFrame:
     """
     region, bracket = F.lit(0), F.lit(-1)
     x = F.col("x")
+    # The coalesces never act; they tell Spark the join keys below are not null. A
+    # not-null filter on one of the two uses would keep their shuffle from being shared.
     for j in range(k):
         low, high = F.get("lows", F.lit(j)), F.get("highs", F.lit(j))
-        region = region + (x >= low).cast("int") + (x > high).cast("int")
+        region = region + F.coalesce((x >= low).cast("int") + (x > high).cast("int"), F.lit(0))
         bracket = F.when(x.between(low, high), F.lit(j)).otherwise(bracket)
     bracketed = long.join(F.broadcast(brackets), "column")
     placed = bracketed.select("column", "stats", "x", "lows", "highs", region.alias("region"), bracket.alias("b"))
@@ -91,7 +95,7 @@ def _region_counts(long: DataFrame, brackets: DataFrame, k: int) -> DataFrame:
     inside = F.col("b") >= 0
     share = F.when(inside & (high > low), (x - low) / (high - low)).otherwise(F.lit(0.0))
     return placed.groupBy(
-        "column", "stats", "region", F.floor(share * _SLICES).alias("slice"), F.when(inside, x).alias("v")
+        "column", "stats", "region", F.coalesce(F.floor(share * _SLICES), F.lit(0)).alias("slice"), F.when(inside, x).alias("v")
     ).agg(F.count(F.lit(1)).alias("cnt"), F.min("x").alias("lo"), F.max("x").alias("hi"))
 
 

@@ -39,31 +39,39 @@ def _boxed(polygons: DataFrame) -> DataFrame:
     })
 
 
+def _spread(low: Column, high: Column, cell: float) -> Column:
+    return _index(high, cell) - _index(low, cell) + 1
+
+
+def _kept_edges(cell: float) -> Column:
+    """How many (edge, cell) pairs ``grid_cells`` keeps of a polygon, constant cells apart."""
+
+    def pairs(total: Column, e: Column) -> Column:
+        bands = _spread(F.least(e.y1, e.y2), F.greatest(e.y1, e.y2), cell)
+        return total + bands * _spread(F.col("xmin"), F.greatest(e.x1, e.x2), cell)
+
+    return F.aggregate("edges", F.lit(0).cast("bigint"), pairs)
+
+
 def plan_grid(polygons: DataFrame, attributes: list[str], cell: float = 0.01, max_rows: int = 2_000_000) -> Grid:
-    """The finest width from ``cell``, 2·``cell``, 4·``cell``… that keeps the table within ``max_rows`` rows.
+    """A width of ``cell``, 2·``cell``, 4·``cell``… that keeps the table within ``max_rows`` rows.
 
-    The width never changes a result. The sizes are counted arithmetically in
-    one small aggregate over the polygons; nothing is exploded.
+    The width never changes a result. The sizes are counted arithmetically in a
+    small aggregate over the polygons, normally one; nothing is exploded.
     """
     boxed = _boxed(polygons)
-    widths = [cell * 2**k for k in range(16)]
     text = sum((F.coalesce(F.octet_length(quoted(a).cast("string")), F.lit(0)) for a in attributes), F.lit(0))
-    measures = []
-    for k, w in enumerate(widths):
-        columns = _index(F.col("xmax"), w) - _index(F.col("xmin"), w) + 1
-        rows = _index(F.col("ymax"), w) - _index(F.col("ymin"), w) + 1
-
-        def entries(total: Column, e: Column, w=w) -> Column:
-            bands = _index(F.greatest(e.y1, e.y2), w) - _index(F.least(e.y1, e.y2), w) + 1
-            return total + bands * (_index(F.greatest(e.x1, e.x2), w) - _index(F.col("xmin"), w) + 1)
-
-        edges = F.aggregate("edges", F.lit(0).cast("bigint"), entries)
-        measures.append(F.sum(columns * rows).alias(f"rows{k}"))
-        measures.append(F.sum(edges * _EDGE_BYTES + columns * rows * (text + _CANDIDATE_BYTES)).alias(f"bytes{k}"))
-    size = boxed.agg(*measures).first()
-    for k, w in enumerate(widths):
-        if (size[f"rows{k}"] or 0) <= max_rows or k == len(widths) - 1:
-            return Grid(w, size[f"rows{k}"] or 0, size[f"bytes{k}"] or 0)
+    while True:
+        rows = _spread(F.col("xmin"), F.col("xmax"), cell) * _spread(F.col("ymin"), F.col("ymax"), cell)
+        size = boxed.agg(
+            F.sum(rows).alias("rows"), F.count(F.lit(1)).alias("polygons"),
+            F.sum(_kept_edges(cell) * _EDGE_BYTES + rows * (text + _CANDIDATE_BYTES)).alias("bytes"),
+        ).first()
+        grid = Grid(cell, size.rows or 0, size.bytes or 0)
+        # Four cells per polygon are as coarse as is useful.
+        if grid.rows <= max(max_rows, 4 * size.polygons):
+            return grid
+        cell *= 2
 
 
 def grid_cells(polygons: DataFrame, attributes: list[str], cell: float) -> DataFrame:
@@ -126,7 +134,7 @@ def assign_polygons(
         cells = F.broadcast(cells)
     else:
         located = located.withColumn("salt", F.pmod(F.xxhash64(*[quoted(c) for c in points.columns]), F.lit(salts)))
-        cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint")).hint("merge")
+        cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))).hint("merge")
         keys.append("salt")
     inside = F.filter("candidates", lambda c: c.whole | strictly_inside(x, y, c.edges))
     hit = located.join(cells, keys, "left").withColumn("hit", F.get(inside, F.lit(0)))

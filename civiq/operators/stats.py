@@ -117,16 +117,15 @@ def describe_categories(df: DataFrame) -> DataFrame:
     # Smallest text wins a tie: order by (-n, v).
     best = F.min(F.struct((-F.col("n")).alias("neg"), F.col("v").alias("v"))).alias("best")
     stats = counts.groupBy("column").agg(F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), best)
-    top = F.col("best.v")
-    return stats.select(
-        "column",
-        F.inline(F.array(
-            F.struct(F.lit("count").alias("stat"), F.col("count").cast("double").alias("value"), F.lit(None).cast("string").alias("top")),
-            F.struct(F.lit("unique"), F.col("unique").cast("double"), F.lit(None).cast("string")),
-            F.struct(F.lit("top"), F.lit(None).cast("double"), top),
-            F.struct(F.lit("freq"), (-F.col("best.neg")).cast("double"), F.lit(None).cast("string")),
-        )),
-    )
+
+    def cell(stat: str, value: Column | None = None, top: Column | None = None) -> Column:
+        number, text = F.lit(None) if value is None else value, F.lit(None) if top is None else top
+        return F.struct(F.lit(stat).alias("stat"), number.cast("double").alias("value"), text.cast("string").alias("top"))
+
+    return stats.select("column", F.inline(F.array(
+        cell("count", F.col("count")), cell("unique", F.col("unique")),
+        cell("top", top=F.col("best.v")), cell("freq", -F.col("best.neg")),
+    )))
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -178,7 +177,7 @@ def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 20) -
         .groupBy("column", settled.alias("bin"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    frame = bounds.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("bigint"))
+    frame = bounds.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))))
     return frame.join(counted, ["column", "bin"], "left").select(
         "column", "bin", edge(F.col("bin")).alias("left"), edge(F.col("bin") + 1).alias("right"),
         F.coalesce("count", F.lit(0).cast("bigint")).alias("count"),
