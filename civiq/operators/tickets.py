@@ -22,23 +22,24 @@ def add_date_parts(df: DataFrame, column: str = "timestamp") -> DataFrame:
     })
 
 
-def _parts(column: str):
-    return F.split(quoted(column), ",", -1)
+# Two commas or more: neither a longitude with a latitude nor a longitude alone.
+_TOO_MANY_PARTS = "%,%,%"
 
 
 def split_coordinates(df: DataFrame, column: str = "coords", on_error: str = "raise") -> DataFrame:
     """``"lon,lat"`` to two doubles. One part leaves latitude null; more than two parts are rejects."""
-    parts = _parts(column)
-    kept = df.filter(quoted(column).isNull() | (F.size(parts) <= 2))
+    text = quoted(column)
+    kept = df.filter(text.isNull() | ~text.like(_TOO_MANY_PARTS))
+    second = F.when(text.contains(","), F.substring_index(text, ",", -1))
     return kept.withColumns({
-        "longitude": text_to_double(F.get(parts, F.lit(0)), on_error),
-        "latitude": text_to_double(F.get(parts, F.lit(1)), on_error),
+        "longitude": text_to_double(F.substring_index(text, ",", 1), on_error),
+        "latitude": text_to_double(second, on_error),
     })
 
 
 def coordinate_rejects(df: DataFrame, column: str = "coords") -> DataFrame:
     """The rows ``split_coordinates`` leaves out."""
-    return df.filter(F.size(_parts(column)) > 2)
+    return df.filter(quoted(column).like(_TOO_MANY_PARTS))
 
 
 def add_status_flag(df: DataFrame, column: str = "status", value: str = "active", name: str = "is_active") -> DataFrame:

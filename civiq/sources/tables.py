@@ -12,6 +12,9 @@ NA_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+_INTEGER = r"^[+-]?[0-9]+$"
+_BOOLEAN = r"^(True|TRUE|true|False|FALSE|false)$"
+
 
 def read_csv_text(
     spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = True
@@ -47,27 +50,27 @@ def infer_types(df: DataFrame) -> DataFrame:
     if not strings:
         return df
 
-    def holds(column: Column, test: Column) -> Column:
-        return F.coalesce(F.bool_and(F.when(column.isNotNull(), test)), F.lit(True))
-
-    tests = []
-    for i, c in enumerate(strings):
-        column, text = quoted(c), strip_blanks(quoted(c))
+    def kind(column: Column) -> Column:
+        """One bit per value: 1 an integer, 2 another number, 4 a boolean, 8 anything else."""
+        text = strip_blanks(column)
+        is_int = column.rlike(_INTEGER) | text.rlike(_INTEGER)
         is_float = text.rlike(NUMBER_PATTERN) | text.rlike(SPECIAL_PATTERN) | text.rlike(MISSING_PATTERN)
-        tests.append(holds(column, text.rlike(r"^[+-]?\d+$") & text.try_cast("bigint").isNotNull()).alias(f"i{i}"))
-        tests.append(holds(column, is_float).alias(f"f{i}"))
-        tests.append(holds(column, text.rlike(r"^(True|TRUE|true|False|FALSE|false)$")).alias(f"b{i}"))
-        tests.append((F.count(column) == 0).alias(f"e{i}"))
-    verdict = df.agg(*tests).first()
+        return (
+            F.when(is_int & column.try_cast("bigint").isNotNull(), 1)
+            .when(is_float, 2).when(text.rlike(_BOOLEAN), 4).when(column.isNotNull(), 8)
+        )
+
+    kinds = df.agg(*[F.bit_or(kind(quoted(c))).alias(f"k{i}") for i, c in enumerate(strings)]).first()
     casts = {}
     for i, c in enumerate(strings):
-        if verdict[f"e{i}"]:
+        seen = kinds[f"k{i}"]
+        if seen is None:
             casts[c] = F.lit(None).cast("double")
-        elif verdict[f"i{i}"]:
-            casts[c] = strip_blanks(quoted(c)).try_cast("bigint")
-        elif verdict[f"f{i}"]:
+        elif seen == 1:
+            casts[c] = quoted(c).try_cast("bigint")
+        elif seen in (2, 3):
             casts[c] = text_to_double(quoted(c))
-        elif verdict[f"b{i}"]:
+        elif seen == 4:
             casts[c] = strip_blanks(quoted(c)).try_cast("boolean")
     return df.withColumns(casts) if casts else df
 

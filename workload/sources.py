@@ -126,7 +126,8 @@ def land_reports(spark, sf, label):
     """One folder of text per date, as the reports would be landed."""
     path = scratch_dir(spark, label)
     lines = view(spark, sf, "rain_lines").select("day", "line")
-    lines.repartition("day").write.partitionBy("day").text(path)
+    # A fixed number of tasks, or adaptive execution would merge them into one writer.
+    lines.repartition(spark.sparkContext.defaultParallelism, "day").write.partitionBy("day").text(path)
     return path
 
 
