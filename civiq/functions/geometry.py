@@ -14,22 +14,38 @@ FALSE_EASTING = 500000.0
 FALSE_NORTHING_SOUTH = 10000000.0
 
 
+def upward(edges: Column) -> Column:
+    """Edges with the lower end first and their x range added: the form ``strictly_inside`` tests."""
+
+    def turned(e: Column) -> Column:
+        up = e.y1 <= e.y2
+        return F.struct(
+            F.when(up, e.x1).otherwise(e.x2).alias("x1"), F.least(e.y1, e.y2).alias("y1"),
+            F.when(up, e.x2).otherwise(e.x1).alias("x2"), F.greatest(e.y1, e.y2).alias("y2"),
+            F.least(e.x1, e.x2).alias("xlo"), F.greatest(e.x1, e.x2).alias("xhi"),
+        )
+
+    return F.transform(edges, turned)
+
+
 def strictly_inside(x: Column, y: Column, edges: Column) -> Column:
-    """True when (x, y) is inside the even-odd area of ``edges`` and on none of them.
+    """True when (x, y) is inside the even-odd area of the upward ``edges`` and on none of them.
 
     One pass: a ray to +x counts crossings, and a zero cross product within
-    the edge's box marks a boundary point. No division, so nothing can raise.
+    the edge's box marks a boundary point. Most edges are settled by comparing
+    ranges; no division, so nothing can raise.
     """
 
     def score(total: Column, e: Column) -> Column:
         side = (e.x2 - e.x1) * (y - e.y1) - (x - e.x1) * (e.y2 - e.y1)
-        on_edge = (
-            (side == 0)
-            & x.between(F.least(e.x1, e.x2), F.greatest(e.x1, e.x2))
-            & y.between(F.least(e.y1, e.y2), F.greatest(e.y1, e.y2))
+        # An edge owns its lower end but not its upper one, so a shared corner counts once.
+        return (
+            F.when((y < e.y1) | (y > e.y2) | (x > e.xhi), total)
+            .when(x < e.xlo, F.when(y < e.y2, total + 1).otherwise(total))
+            .when(side == 0, total + _ON_EDGE)
+            .when((side > 0) & (y < e.y2), total + 1)
+            .otherwise(total)
         )
-        crosses = ((e.y1 > y) != (e.y2 > y)) & ((side > 0) == (e.y2 > e.y1))
-        return total + F.when(on_edge, F.lit(_ON_EDGE)).when(crosses, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
 
     total = F.aggregate(edges, F.lit(0).cast("bigint"), score)
     return (total < _ON_EDGE) & (total % 2 == 1)

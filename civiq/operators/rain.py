@@ -21,17 +21,11 @@ def extract_readings(lines: DataFrame, line: str = "line", date: str = "Date") -
     )
 
 
-def station_list(readings: DataFrame) -> list[str]:
-    """The stations present, for a pivot without a given list: a driver-side read of a dimension."""
-    return sorted(r.Station for r in readings.select("Station").distinct().collect())
-
-
 def pivot_stations(readings: DataFrame, stations: list[str] | None = None) -> DataFrame:
     """One row per Date, one column per station; two readings for the same pair raise.
 
-    Give ``stations`` (the metadata's) to save the job that lists them.
+    Give ``stations`` (the metadata's) to save the job in which Spark lists them.
     """
-    stations = stations if stations is not None else station_list(readings)
     single = F.when(
         F.count(F.lit(1)) > 1, F.raise_error(F.lit("two readings for one date and station")).cast("double")
     ).otherwise(F.max("WaterLevel"))

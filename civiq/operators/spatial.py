@@ -6,12 +6,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from civiq.functions.geometry import strictly_inside
+from civiq.functions.geometry import strictly_inside, upward
 from civiq.functions.values import quoted, without_nan
 from civiq.operators.columns import drop_columns
 from civiq.operators.filters import keep_agreeing
 
-_EDGE_BYTES = 56       # four doubles in a struct in an array
+_EDGE_BYTES = 72       # six doubles in a struct in an array
 _CANDIDATE_BYTES = 256  # per polygon and cell, attributes apart
 
 
@@ -93,10 +93,10 @@ def grid_cells(polygons: DataFrame, attributes: list[str], cell: float) -> DataF
         _boxed(polygons)
         .withColumn("gy", F.explode(F.sequence(at(F.col("ymin")), at(F.col("ymax")))))
         .withColumn("gx", F.explode(F.sequence(at(F.col("xmin")), at(F.col("xmax")))))
-        .withColumn("band", F.filter("edges", in_band))
+        .withColumn("band", upward(F.filter("edges", in_band)))
         .select("gx", "gy", "poly_id", *[quoted(a) for a in attributes], "band")
     )
-    touched = F.exists("band", lambda e: at(F.least(e.x1, e.x2)) <= gx)
+    touched = F.exists("band", lambda e: at(e.xlo) <= gx)
     middle = strictly_inside((gx + 0.5) * cell, (gy + 0.5) * cell, F.col("band"))
     classified = banded.withColumn("whole", ~touched & middle).filter(touched | F.col("whole"))
     candidate = F.struct(

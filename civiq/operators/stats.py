@@ -136,12 +136,18 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     columns = columns or [f.name for f in df.schema.fields if is_number(f.dataType)]
     doubles = df.select(*[_as_double(quoted(c), df.schema[c].dataType).alias(f"c{i}") for i, c in enumerate(columns)])
     pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    one_row = doubles.agg(*[F.corr(f"c{i}", f"c{j}").alias(f"r{i}_{j}") for i, j in pairs])
+
+    def pearson(i: int, j: int) -> Column:
+        # The built-in corr divides by zero, and so raises, for a column without variance.
+        x, y = F.col(f"c{i}"), F.col(f"c{j}")
+        spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+        return F.try_divide(F.covar_pop(x, y), spread)
+
+    one_row = doubles.agg(*[pearson(i, j).alias(f"r{i}_{j}") for i, j in pairs])
     cells = []
     for i, j in pairs:
         for a, b in {(i, j), (j, i)}:
-            value = without_nan(F.col(f"r{i}_{j}"))
-            cells.append(F.struct(F.lit(columns[a]).alias("row"), F.lit(columns[b]).alias("col"), value.alias("corr")))
+            cells.append(F.struct(F.lit(columns[a]).alias("row"), F.lit(columns[b]).alias("col"), F.col(f"r{i}_{j}").alias("corr")))
     return one_row.select(F.inline(F.array(*cells)))
 
 

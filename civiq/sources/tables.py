@@ -90,9 +90,16 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = ()) -> None:
-    """Parquet in the given mode (``ignore`` skips a target that exists), optionally by partition columns."""
-    writer = df.write.mode(mode)
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    """Parquet in the given mode (``ignore`` skips a target that exists), optionally by partition columns.
+
+    With partition columns the rows are rebalanced on them first: few files per
+    folder, and adaptive execution splits a folder that holds much of the data.
+    """
+    if not partition_by:
+        df.write.mode(mode).parquet(path)
+        return
+    gathered = df.hint("rebalance", *[quoted(c) for c in partition_by])
+    gathered.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def _is_date_name(name: str) -> bool:

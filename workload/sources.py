@@ -74,8 +74,7 @@ def s5(spark, sf):
 def s6(spark, sf):
     path = scratch_dir(spark, "s6")
     orders = table(spark, sf, "orders").withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")})
-    # One task per month writes that month's file: no task-times-month flood of small files.
-    write_parquet(orders.repartition("year", "month"), path, partition_by=("year", "month"))
+    write_parquet(orders, path, partition_by=("year", "month"))
     return read_parquet(spark, path).groupBy(
         F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month")
     ).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
