@@ -115,7 +115,7 @@ def assign_polygons(
     longitude: str = "longitude",
     latitude: str = "latitude",
     cell: float = 0.01,
-    broadcast_bytes: int = 256 << 20,
+    broadcast_bytes: int = 128 << 20,
     salts: int = 16,
 ) -> DataFrame:
     """Every point with ``poly_id`` and attributes of the first polygon it is strictly within, else nulls.

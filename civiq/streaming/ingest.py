@@ -14,14 +14,16 @@ Transform = Callable[[DataFrame], DataFrame]
 
 def ingest_landed(
     spark: SparkSession, source: str, target: str, checkpoint: str,
-    schema: str, fmt: str = "parquet", transform: Transform | None = None,
+    schema: str, fmt: str = "parquet", transform: Transform | None = None, files_per_batch: int = 10000,
 ) -> None:
     """Append the files landed since the last run to a Parquet table, then stop.
 
     The checkpoint remembers the files, and the file sink's log makes a rerun
-    after a failure write nothing twice. Empty files carry no rows.
+    after a failure write nothing twice. A backlog is worked off in batches of
+    ``files_per_batch`` files. Empty files carry no rows.
     """
     reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", True)
+    reader = reader.option("maxFilesPerTrigger", files_per_batch)
     landed = reader.load(source).select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_size").alias("_size"))
     present = landed.filter(F.col("_size") > 0).drop("_size")
     rows = transform(present) if transform else present.drop("_path")

@@ -48,24 +48,13 @@ def j1_shuffled(spark, sf):
 
 
 @register("j2_keep_first_match", f"""
-    SELECT n_matches, count(*) AS n_points, CAST(sum(poly_id) AS BIGINT) AS sum_first FROM (
-      SELECT ticket_id, count(poly_id) AS n_matches, min(poly_id) AS poly_id FROM {COORDS} LEFT JOIN {BOUNDARIES} b
-      ON longitude > x0 AND longitude < x1 AND latitude > y0 AND latitude < y1 GROUP BY ticket_id) GROUP BY n_matches""")
+    SELECT poly_id, count(*) AS n_points FROM (
+      SELECT ticket_id, min(poly_id) AS poly_id FROM {COORDS} LEFT JOIN {BOUNDARIES} b
+      ON longitude > x0 AND longitude < x1 AND latitude > y0 AND latitude < y1 GROUP BY ticket_id) GROUP BY poly_id""")
 def j2(spark, sf):
-    """Points in two overlapping polygons get the lower index and stay one row.
-
-    The number of matches comes from a second pass against the odd and even polygons apart.
-    """
+    """A point in two overlapping polygons counts once, for the lower index."""
     first = assign_polygons(points(spark, sf), areas(spark, sf), [])
-    area = areas(spark, sf)
-    other = first.withColumnRenamed("poly_id", "first_id")
-    for part, name in ((0, "even_id"), (1, "odd_id")):
-        subset = area.filter(F.col("poly_id") % 2 == part)
-        other = assign_polygons(other, subset, []).withColumnRenamed("poly_id", name)
-    matches = F.col("even_id").isNotNull().cast("bigint") + F.col("odd_id").isNotNull().cast("bigint")
-    return other.groupBy(matches.alias("n_matches")).agg(
-        F.count(F.lit(1)).alias("n_points"), F.sum("first_id").alias("sum_first")
-    )
+    return first.groupBy("poly_id").agg(F.count(F.lit(1)).alias("n_points"))
 
 
 @register("j3_verified_tickets", f"""
