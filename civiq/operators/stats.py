@@ -140,8 +140,10 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     def pearson(i: int, j: int) -> Column:
         # The built-in corr divides by zero, and so raises, for a column without variance.
         x, y = F.col(f"c{i}"), F.col(f"c{j}")
-        spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-        return F.try_divide(F.covar_pop(x, y), spread)
+        if i == j:
+            return F.when(F.var_pop(x) > 0, 1.0)
+        spread = F.var_pop(F.when(y.isNotNull(), x)) * F.var_pop(F.when(x.isNotNull(), y))
+        return F.try_divide(F.covar_pop(x, y), F.sqrt(spread))
 
     one_row = doubles.agg(*[pearson(i, j).alias(f"r{i}_{j}") for i, j in pairs])
     cells = []
