@@ -131,26 +131,26 @@ def describe_categories(df: DataFrame) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson correlation of every column pair as (row, col, corr), pairwise complete.
 
-    One aggregate over the upper triangle; a column without variance gives null.
+    Each row is stacked into one row per pair and one small aggregate runs per
+    pair: hundreds of aggregates side by side would make a function too large
+    to be compiled. A column without variance gives null.
     """
     columns = columns or [f.name for f in df.schema.fields if is_number(f.dataType)]
     doubles = df.select(*[_as_double(quoted(c), df.schema[c].dataType).alias(f"c{i}") for i, c in enumerate(columns)])
     pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-
-    def pearson(i: int, j: int) -> Column:
-        # The built-in corr divides by zero, and so raises, for a column without variance.
-        x, y = F.col(f"c{i}"), F.col(f"c{j}")
-        if i == j:
-            return F.when(F.var_pop(x) > 0, 1.0)
-        spread = F.var_pop(F.when(y.isNotNull(), x)) * F.var_pop(F.when(x.isNotNull(), y))
-        return F.try_divide(F.covar_pop(x, y), F.sqrt(spread))
-
-    one_row = doubles.agg(*[pearson(i, j).alias(f"r{i}_{j}") for i, j in pairs])
-    cells = []
-    for i, j in pairs:
-        for a, b in {(i, j), (j, i)}:
-            cells.append(F.struct(F.lit(columns[a]).alias("row"), F.lit(columns[b]).alias("col"), F.col(f"r{i}_{j}").alias("corr")))
-    return one_row.select(F.inline(F.array(*cells)))
+    cells = [part for k, (i, j) in enumerate(pairs) for part in (F.lit(k), F.col(f"c{i}"), F.col(f"c{j}"))]
+    stacked = doubles.select(F.stack(F.lit(len(pairs)), *cells).alias("pair", "x", "y"))
+    complete = stacked.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    # The built-in corr divides by zero, and so raises, for a column without variance.
+    spread = F.sqrt(F.var_pop("x") * F.var_pop("y"))
+    found = complete.groupBy("pair").agg(F.try_divide(F.covar_pop("x", "y"), spread).alias("corr"))
+
+    named = [
+        F.struct(F.lit(k).alias("pair"), F.lit(columns[a]).alias("row"), F.lit(columns[b]).alias("col"))
+        for k, (i, j) in enumerate(pairs) for a, b in sorted({(i, j), (j, i)})
+    ]
+    frame = df.sparkSession.range(1).select(F.inline(F.array(*named)))
+    return frame.join(found, "pair", "left").select("row", "col", "corr")
 
 
 def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 20) -> DataFrame:
