@@ -78,8 +78,9 @@ def grid_cells(polygons: DataFrame, attributes: list[str], cell: float) -> DataF
     """One row per cell with its candidate polygons, lowest ``poly_id`` first.
 
     A candidate carries only edges that can matter to a point of the cell: those
-    in its band of rows and not wholly to its left. If no edge touches the cell,
-    it is all inside or all outside: the former needs no edges, the latter goes.
+    in its band of rows and not wholly to its left, or else, mirrored, those not
+    wholly to its right, whichever are fewer. If no edge touches the cell, it is
+    all inside or all outside: the former needs no edges, the latter goes.
     All comparisons are between floor(value / cell) numbers, which never
     decrease with the value, so rounding cannot lose an edge.
     """
@@ -87,21 +88,30 @@ def grid_cells(polygons: DataFrame, attributes: list[str], cell: float) -> DataF
     gx, gy = F.col("gx"), F.col("gy")
 
     def in_band(e: Column) -> Column:
-        return gy.between(at(F.least(e.y1, e.y2)), at(F.greatest(e.y1, e.y2))) & (at(F.greatest(e.x1, e.x2)) >= gx)
+        return gy.between(at(F.least(e.y1, e.y2)), at(F.greatest(e.y1, e.y2)))
 
-    banded = (
+    def mirrored(e: Column) -> Column:
+        return F.struct((-e.x1).alias("x1"), e.y1.alias("y1"), (-e.x2).alias("x2"), e.y2.alias("y2"))
+
+    laid_out = (
         _boxed(polygons)
         .withColumn("gy", F.explode(F.sequence(at(F.col("ymin")), at(F.col("ymax")))))
+        .withColumn("band", F.filter("edges", in_band))
         .withColumn("gx", F.explode(F.sequence(at(F.col("xmin")), at(F.col("xmax")))))
-        .withColumn("band", upward(F.filter("edges", in_band)))
-        .select("gx", "gy", "poly_id", *[quoted(a) for a in attributes], "band")
+        .withColumn("right", F.filter("band", lambda e: at(F.greatest(e.x1, e.x2)) >= gx))
+        .withColumn("left", F.filter("band", lambda e: at(F.least(e.x1, e.x2)) <= gx))
+    )
+    flip = F.size("left") < F.size("right")
+    sided = laid_out.select(
+        "gx", "gy", "poly_id", *[quoted(a) for a in attributes],
+        F.exists("right", lambda e: at(F.least(e.x1, e.x2)) <= gx).alias("touched"), flip.alias("flip"),
+        upward(F.when(flip, F.transform("left", mirrored)).otherwise(F.col("right"))).alias("kept"),
     )
-    touched = F.exists("band", lambda e: at(e.xlo) <= gx)
-    middle = strictly_inside((gx + 0.5) * cell, (gy + 0.5) * cell, F.col("band"))
-    classified = banded.withColumn("whole", ~touched & middle).filter(touched | F.col("whole"))
+    middle = strictly_inside(F.when(F.col("flip"), -(gx + 0.5)).otherwise(gx + 0.5) * cell, (gy + 0.5) * cell, F.col("kept"))
+    classified = sided.withColumn("whole", ~F.col("touched") & middle).filter(F.col("touched") | F.col("whole"))
     candidate = F.struct(
-        "poly_id", "whole",
-        F.when(~F.col("whole"), F.col("band")).alias("edges"),
+        "poly_id", "whole", "flip",
+        F.when(~F.col("whole"), F.col("kept")).alias("edges"),
         F.struct(*[quoted(a) for a in attributes]).alias("attributes") if attributes else F.lit(None).cast("int").alias("attributes"),
     )
     # Distinct poly_ids: sorting the structs sorts by poly_id and looks no further.
@@ -128,7 +138,7 @@ def assign_polygons(
     grid = plan_grid(polygons, attributes, cell)
     cells = grid_cells(polygons, attributes, grid.cell)
     x, y = (without_nan(quoted(c).cast("double")) for c in (longitude, latitude))
-    located = points.withColumns({"gx": _index(x, grid.cell), "gy": _index(y, grid.cell)})
+    located = points.withColumns({"gx": _index(x, grid.cell), "gy": _index(y, grid.cell), "px": x, "py": y, "nx": -x})
     keys = ["gx", "gy"]
     if grid.bytes <= broadcast_bytes:
         cells = F.broadcast(cells)
@@ -136,7 +146,12 @@ def assign_polygons(
         located = located.withColumn("salt", F.pmod(F.xxhash64(*[quoted(c) for c in points.columns]), F.lit(salts)))
         cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))).hint("merge")
         keys.append("salt")
-    inside = F.filter("candidates", lambda c: c.whole | strictly_inside(x, y, c.edges))
+
+    def holds(c: Column) -> Column:
+        y = F.col("py")
+        return c.whole | F.when(c.flip, strictly_inside(F.col("nx"), y, c.edges)).otherwise(strictly_inside(F.col("px"), y, c.edges))
+
+    inside = F.filter("candidates", holds)
     hit = located.join(cells, keys, "left").withColumn("hit", F.get(inside, F.lit(0)))
     return hit.select(
         *[quoted(c) for c in points.columns],
