@@ -27,7 +27,9 @@ def parse_iso(column: Column, on_error: str = "raise") -> Column:
     full = F.regexp_replace(column, r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3")
     full = F.regexp_replace(full, r"[T ](\d{2})(\d{2})(\d{2})?(?![\d:])", "T$1:$2:$3")
     full = F.regexp_replace(full, r"(T\d{2}:\d{2}):?(?![\d:])", "$1:00")
-    parsed = F.coalesce(column.try_cast("timestamp"), full.try_cast("timestamp"))
+    # A time without a date would be cast to that time today.
+    dated = ~F.instr(column, ":").between(1, 4)
+    parsed = F.when(dated, F.coalesce(column.try_cast("timestamp"), full.try_cast("timestamp")))
     if on_error == "null":
         return parsed
     bad = F.raise_error(F.concat(F.lit("not an ISO-8601 timestamp: "), column)).cast("timestamp")
@@ -52,12 +54,3 @@ def parse_any(column: Column, patterns: list[str] | None = None) -> Column:
     text = column.cast("string")
     tries = [F.try_to_timestamp(text, F.lit(p)) for p in (patterns or DATE_PATTERNS)]
     return F.coalesce(*tries)
-
-
-def thai_year_text(column: Column) -> Column:
-    """``dd/MM/yyyy…`` text from the Buddhist era to the common era, before any parsing."""
-    year = F.regexp_extract(column, r"^\d{2}/\d{2}/(\d{4})", 1)
-    return F.when(
-        year != "",
-        F.concat(F.substring(column, 1, 6), (year.try_cast("int") - 543).cast("string"), F.substring(column, 11, 1000)),
-    )

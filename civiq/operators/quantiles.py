@@ -20,7 +20,8 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], accuracy: int = 200
     ``stats`` holds n, mean, std, min and max, which the first scan gives anyway.
     Two scans. The sketch is within n/accuracy ranks of each probability, so a
     bracket twice as wide on both sides holds the wanted ranks or ends right
-    beside them; a miss would raise, never return a wrong value.
+    beside them; a miss would raise, never return a wrong value. At most
+    4n/accuracy distinct values are ordered per bracket, a slice of it per task.
     """
     probs = sorted(set(probs))
     ranked = _region_counts(long, _brackets(long, probs, accuracy), len(probs))

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from civiq.functions.dates import parse_iso, strftime_to_pattern, thai_year_text
+from civiq.functions.dates import parse_iso, strftime_to_pattern
 from civiq.functions.gauges import has_reading, level_of, station_of
 from civiq.functions.tags import parse_tags, split_tag_literal
 from civiq.functions.values import nan_to_null, text_to_bigint, text_to_double
@@ -117,7 +117,7 @@ def test_parse_iso_forms(spark):
     ]
     with pytest.raises(Exception, match="not an ISO-8601"):
         evaluate(spark, ["02/01/2024"], parse_iso(F.col("v")))
-    assert evaluate(spark, ["02/01/2024"], parse_iso(F.col("v"), "null")) == [None]
+    assert evaluate(spark, ["02/01/2024", "10:20", "T10:20:30", "x"], parse_iso(F.col("v"), "null")) == [None] * 4
 
 
 def test_strftime_patterns():
@@ -125,7 +125,3 @@ def test_strftime_patterns():
     assert strftime_to_pattern("%d/%m/%Y at %H:%M") == "dd/MM/yyyy 'at' HH:mm"
     with pytest.raises(ValueError):
         strftime_to_pattern("%Q")
-
-
-def test_thai_year(spark):
-    assert evaluate(spark, ["29/02/2567 21:45", "x"], thai_year_text(F.col("v"))) == ["29/02/2024 21:45", None]

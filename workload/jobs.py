@@ -10,7 +10,7 @@ from civiq.plans.jobs import clean_tickets, explore, generic_etl, rain_history,
 from civiq.session import scratch_dir
 from civiq.sources.tables import read_csv, read_parquet, write_csv
 from civiq.streaming.ingest import ingest_rain_reports
-from workload.analytics import CHECKS, REPAIRED, STATIONS, pivot_sql, plain_names
+from workload.analytics import REPAIRED, STATIONS, pivot_sql, plain_names
 from workload.registry import register
 from workload.rows import COORDS, DUCK_TAGS
 from workload.sources import land_reports
