@@ -91,9 +91,11 @@ def generic_transform(df: DataFrame) -> DataFrame:
     return keep_present(add_status_flag(add_upper_name(df)), "value")
 
 
-def generic_etl(spark: SparkSession, source: str, target: str, mode: str = "overwrite") -> None:
+def generic_etl(
+    spark: SparkSession, source: str, target: str, mode: str = "overwrite", multiline: bool = False
+) -> None:
     """CSV with inferred types → transform → Parquet."""
-    write_parquet(generic_transform(read_csv(spark, source)), target, mode)
+    write_parquet(generic_transform(read_csv(spark, source, multiline=multiline)), target, mode)
 
 
 def clean_tickets(
