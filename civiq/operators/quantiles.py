@@ -1,8 +1,9 @@
 """Exact quantiles without holding a column's values in one task.
 
 The built-in exact ``percentile`` keeps every distinct value of a group in one
-buffer. Here a sketch first brackets each quantile, values outside the brackets
-are only counted, and ranks are settled among the few values inside.
+buffer, and approximate sketches are merged one by one in a single task. Here
+counts narrow the place of each wanted rank: first by magnitude, then by equal
+slices of the magnitude found, and only what is left is ranked value by value.
 """
 
 from __future__ import annotations
@@ -11,101 +12,109 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_SLICES = 1024  # equal-width slices per bracket for the two-step running count
+_PER_FOLD = 16   # magnitude classes per factor e
+_SLICES = 4096   # equal-width slices of a bracket
+_PLACE = ["column", "region", "slice"]
 
 
-def exact_quantiles(long: DataFrame, probs: Sequence[float], accuracy: int = 20000) -> DataFrame:
-    """(column, stats, prob, value) with linear interpolation, from a long frame (column, x) without nulls.
+def exact_quantiles(long: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(column, prob, value) with linear interpolation, from a long frame (column, x) without nulls.
 
-    ``stats`` holds n, mean, std, min and max, which the first scan gives anyway.
-    Two scans. The sketch is within n/accuracy ranks of each probability, so a
-    bracket twice as wide on both sides holds the wanted ranks or ends right
-    beside them; a miss would raise, never return a wrong value. At most
-    4n/accuracy distinct values are ordered per bracket, a slice of it per task.
+    Three scans, each ending in a small aggregate that is combined before its
+    shuffle. A bracket is the range of the counted places that hold the wanted
+    ranks, so it cannot miss them, whatever the distribution.
     """
     probs = sorted(set(probs))
-    ranked = _region_counts(long, _brackets(long, probs, accuracy), len(probs))
-
-    # Running counts over slices: at most a few thousand rows per column. The
-    # extremes are carried along so that both uses of `ranked` read the same
-    # columns and Spark reuses its shuffle instead of scanning again.
-    place = ["column", "stats", "region", "slice"]
-    totals = ranked.groupBy(*place).agg(F.sum("cnt").alias("total"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    by_place = Window.partitionBy("column").orderBy("region", "slice")
-    starts = totals.withColumn("start", F.sum("total").over(by_place) - F.col("total"))
-    end = F.col("start") + F.col("total")
-    wanted = F.filter(_targets(F.col("stats.n"), probs), lambda t: (t.rank >= F.col("start")) & (t.rank < end))
-    hits = (
-        starts.filter(F.col("lo") <= F.col("hi"))
-        .select("column", "region", "slice", "start", wanted.alias("wanted"))
-        .filter(F.size("wanted") > 0)
-    )
+    coarse = _brackets(_counted(_by_magnitude(long)), probs)
+    fine = _brackets(_counted(_by_slice(long, coarse, len(probs))), probs)
+    placed = _by_slice(long, fine, len(probs)).withColumn("v", F.when(F.col("b") >= 0, F.col("x")))
+    # Both uses of `ranked` read the same columns, so Spark reuses its shuffle.
+    ranked = placed.groupBy(*_PLACE, "v").agg(F.count(F.lit(1)).alias("cnt"))
+
+    totals = ranked.groupBy(*_PLACE).agg(F.sum("cnt").alias("cnt"))
+    wanted = F.filter(_targets(F.col("n"), probs), lambda t: (t.rank >= F.col("start")) & (t.rank < F.col("end")))
+    hits = _running(totals).select(*_PLACE, "start", wanted.alias("wanted")).filter(F.size("wanted") > 0)
 
     # Only the slices that hold a wanted rank are ordered value by value: at
     # most two per probability and column, which also bounds the broadcast.
-    by_value = Window.partitionBy("column", "region", "slice").orderBy("v")
-    settled = ranked.join(F.broadcast(hits), ["column", "region", "slice"]).withColumn(
+    by_value = Window.partitionBy(*_PLACE).orderBy("v")
+    settled = ranked.join(F.broadcast(hits), _PLACE).withColumn(
         "from_rank", F.col("start") + F.sum("cnt").over(by_value) - F.col("cnt")
     )
-    picked = settled.select("column", "stats", "v", "cnt", "lo", "hi", "from_rank", F.explode("wanted").alias("w")).filter(
+    picked = settled.select("column", "v", "cnt", "from_rank", F.explode("wanted").alias("w")).filter(
         (F.col("w.rank") >= F.col("from_rank")) & (F.col("w.rank") < F.col("from_rank") + F.col("cnt"))
     )
-    # Outside the brackets only the two ends of a region are known by rank.
-    value = (
-        F.when(F.col("v").isNotNull(), F.col("v"))
-        .when(F.col("w.rank") == F.col("from_rank"), F.col("lo"))
-        .when(F.col("w.rank") == F.col("from_rank") + F.col("cnt") - 1, F.col("hi"))
-        .otherwise(F.raise_error(F.lit("quantile outside its bracket; raise accuracy")).cast("double"))
-    )
-    ends = picked.select("column", "stats", F.col("w.prob").alias("prob"), F.col("w.weight").alias("weight"), value.alias("value"))
+    ends = picked.select("column", F.col("w.prob").alias("prob"), F.col("w.weight").alias("weight"), F.col("v").alias("value"))
     low, high = F.min("value"), F.max("value")
-    return ends.groupBy("column", "stats", "prob").agg((low + (high - low) * F.max("weight")).alias("value"))
-
-
-def _brackets(long: DataFrame, probs: Sequence[float], accuracy: int) -> DataFrame:
-    """One row per column name: moments and the quantile brackets."""
-    margin, k = 2.0 / accuracy, len(probs)
-    ends = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
-    return long.groupBy("column").agg(
-        F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"), F.max("x").alias("max"), F.percentile_approx("x", ends, accuracy).alias("ends"),
-    ).select(
-        "column", F.struct("n", "mean", "std", "min", "max").alias("stats"),
-        F.slice("ends", 1, k).alias("lows"), F.slice("ends", k + 1, k).alias("highs"),
+    return ends.groupBy("column", "prob").agg((low + (high - low) * F.max("weight")).alias("value"))
+
+
+def _by_magnitude(long: DataFrame) -> DataFrame:
+    """Places by sign and logarithm; (region, slice) never falls as x grows."""
+    x = F.col("x")
+    fold = F.floor(F.log(F.abs(x)) * _PER_FOLD)
+    return long.select(
+        "column", "x", F.signum(x).cast("int").alias("region"),
+        F.when(x > 0, fold).when(x < 0, -fold).otherwise(F.lit(0)).alias("slice"),
     )
 
 
-def _region_counts(long: DataFrame, brackets: DataFrame, k: int) -> DataFrame:
-    """(column, stats, region, slice, v, cnt, lo, hi): values inside a bracket one by one, the rest per region.
+def _by_slice(long: DataFrame, brackets: DataFrame, k: int) -> DataFrame:
+    """Places by the brackets passed and by equal slices inside a bracket; ``b`` is the bracket or -1.
 
-    ``region`` grows with the value, and the partial aggregate collapses every
-    out-of-bracket or repeated value before the shuffle. The brackets' broadcast
-    has one row per column name, so the schema's width bounds it.
+    The brackets' broadcast has one row per column name, so the schema's width bounds it.
     """
     region, bracket = F.lit(0), F.lit(-1)
     x = F.col("x")
-    # The coalesces never act; they tell Spark the join keys below are not null. A
-    # not-null filter on one of the two uses would keep their shuffle from being shared.
     for j in range(k):
         low, high = F.get("lows", F.lit(j)), F.get("highs", F.lit(j))
+        # This and the coalesce below never act; they tell Spark the keys are not null. A
+        # not-null filter on one use of the result would keep its shuffle from being shared.
         region = region + F.coalesce((x >= low).cast("int") + (x > high).cast("int"), F.lit(0))
         bracket = F.when(x.between(low, high), F.lit(j)).otherwise(bracket)
-    bracketed = long.join(F.broadcast(brackets), "column")
-    placed = bracketed.select("column", "stats", "x", "lows", "highs", region.alias("region"), bracket.alias("b"))
+    placed = long.join(F.broadcast(brackets), "column").select(
+        "column", "x", "lows", "highs", region.alias("region"), bracket.alias("b")
+    )
     low, high = F.get("lows", F.col("b")), F.get("highs", F.col("b"))
-    inside = F.col("b") >= 0
-    share = F.when(inside & (high > low), (x - low) / (high - low)).otherwise(F.lit(0.0))
-    return placed.groupBy(
-        "column", "stats", "region", F.coalesce(F.floor(share * _SLICES), F.lit(0)).alias("slice"), F.when(inside, x).alias("v")
-    ).agg(F.count(F.lit(1)).alias("cnt"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    share = F.when((F.col("b") >= 0) & (high > low), (x - low) / (high - low)).otherwise(F.lit(0.0))
+    return placed.select("column", "x", "region", F.coalesce(F.floor(share * _SLICES), F.lit(0)).alias("slice"), "b")
+
+
+def _counted(placed: DataFrame) -> DataFrame:
+    return placed.groupBy(*_PLACE).agg(
+        F.count(F.lit(1)).alias("cnt"), F.min("x").alias("lo"), F.max("x").alias("hi")
+    )
+
+
+def _running(places: DataFrame) -> DataFrame:
+    """With n, and the ranks ``start`` to ``end`` a place covers: a window over places, not over rows."""
+    column = Window.partitionBy("column")
+    end = F.sum("cnt").over(column.orderBy("region", "slice"))
+    return places.withColumns({"n": F.sum("cnt").over(column), "end": end}).withColumn("start", F.col("end") - F.col("cnt"))
+
+
+def _brackets(places: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(column, lows, highs): per probability the range of the places that hold its two ranks."""
+    running = _running(places)
+    lows, highs = [], []
+    for p in probs:
+        below, above, _ = _ranks(F.col("n"), p)
+        lows.append(F.max(F.when((below >= F.col("start")) & (below < F.col("end")), F.col("lo"))))
+        highs.append(F.max(F.when((above >= F.col("start")) & (above < F.col("end")), F.col("hi"))))
+    return running.groupBy("column").agg(F.array(*lows).alias("lows"), F.array(*highs).alias("highs"))
+
+
+def _ranks(n: Column, p: float) -> tuple[Column, Column, Column]:
+    """The two ranks around (n - 1)·p and the share of the upper one."""
+    place = (n - 1) * F.lit(float(p))
+    return F.floor(place), F.ceil(place), place - F.floor(place)
 
 
 def _targets(n: Column, probs: Sequence[float]) -> Column:
-    """Array of (prob, rank, weight): the two ranks around (n - 1)·p and the share of the upper one."""
+    """Array of (prob, rank, weight)."""
     rows = []
     for p in probs:
-        place = (n - 1) * F.lit(float(p))
-        weight = place - F.floor(place)
-        for rank in (F.floor(place), F.ceil(place)):
+        below, above, weight = _ranks(n, p)
+        for rank in (below, above):
             rows.append(F.struct(F.lit(float(p)).alias("prob"), rank.alias("rank"), weight.alias("weight")))
     return F.array(*rows)

@@ -75,7 +75,7 @@ def melted(df: DataFrame, columns: list[str]) -> DataFrame:
     return wide.unpivot([], [quoted(c) for c in columns], "column", "x").filter(F.col("x").isNotNull())
 
 
-def summary_stats(df: DataFrame, accuracy: int = 20000) -> DataFrame:
+def summary_stats(df: DataFrame) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum as (column, stat, value, ts_value).
 
     Numbers fill ``value``; timestamps fill ``ts_value`` and have no deviation.
@@ -86,23 +86,27 @@ def summary_stats(df: DataFrame, accuracy: int = 20000) -> DataFrame:
         return describe_categories(df)
     names = [f.name for f in fields]
     times = [f.name for f in fields if is_timestamp(f.dataType)]
-    quantiles = exact_quantiles(melted(df, names), QUARTILES, accuracy)
+    long = melted(df, names)
+    moments = long.groupBy("column").agg(
+        F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+        F.min("x").alias("min"), F.max("x").alias("max"),
+    )
     labels = [f"{int(p * 100)}%" for p in QUARTILES]
-    by_column = quantiles.groupBy("column").agg(
-        F.first("stats").alias("s"),
-        *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(label) for p, label in zip(QUARTILES, labels)],
+    quartiles = exact_quantiles(long, QUARTILES).groupBy("column").agg(
+        *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(label) for p, label in zip(QUARTILES, labels)]
     )
+    by_column = moments.join(quartiles, "column")
     # A column without values still has its rows: the count is 0, the rest null.
     frame = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, names))).alias("column"))
-    cells = [("count", F.coalesce(F.col("s.n"), F.lit(0)).cast("double"))]
-    cells += [(name, F.col(f"s.{name}")) for name in ("mean", "std", "min")]
+    cells = [("count", F.coalesce(F.col("n"), F.lit(0)).cast("double"))]
+    cells += [(name, F.col(name)) for name in ("mean", "std", "min")]
     cells += [(label, quoted(label)) for label in labels]
-    cells.append(("max", F.col("s.max")))
-    long = frame.join(by_column, "column", "left").select(
+    cells.append(("max", F.col("max")))
+    stats = frame.join(by_column, "column", "left").select(
         "column", F.inline(F.array(*[F.struct(F.lit(s).alias("stat"), v.alias("v")) for s, v in cells]))
     )
     is_time = F.col("column").isin(times) & (F.col("stat") != "count")
-    return long.select(
+    return stats.select(
         "column", "stat",
         F.when(~is_time, F.col("v")).alias("value"),
         F.when(is_time & (F.col("stat") != "std"), F.timestamp_micros(F.col("v").cast("bigint"))).alias("ts_value"),
