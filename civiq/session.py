@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import SparkSession
@@ -13,7 +13,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
-_LOCAL_SCRATCH = "civiq.local.scratch.dir"
+_made: set[str] = set()
 
 
 def build_session(app_name: str, master: str | None = None, settings: dict[str, str] | None = None) -> SparkSession:
@@ -34,15 +34,25 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path under the folder all executors share.
+    """A fresh path under a folder all executors share, removed when the driver's process ends.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. A machine-local
-    folder is used only by a local-mode session that names none.
+    The cluster names that folder in ``spark.checkpoint.dir``; where it names none, the warehouse folder serves.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_LOCAL_SCRATCH, None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="civiq-")
-        spark.conf.set(_LOCAL_SCRATCH, base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not _made:
+        atexit.register(_remove, spark)
+    _made.add(path)
+    return path
+
+
+def _remove(spark: SparkSession) -> None:
+    """Delete the scratch paths while the session still lives; one that has ended leaves them to its owner."""
+    jvm, context = spark._jvm, spark.sparkContext._jsc
+    if jvm is None or context is None or context.sc().isStopped():
+        return
+    for path in _made:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context.hadoopConfiguration()).delete(place, True)

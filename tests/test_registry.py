@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from workload import catalog
 from workload.check import compare, duck_connection
 
 SF = os.environ.get("CIVIQ_TEST_SF", "/root/testdata/sf0.001")
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, catalog.ORACLE
 # At this scale no area code is high enough to be unknown or misspelt.
 MAY_BE_EMPTY = {"l9_address_agreement", "j3_verified_tickets", "e3_clean_tickets", "e3_clean_tickets_exploded"}
 
