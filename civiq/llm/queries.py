@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiq.llm import langid, simhash
+from civiq.llm import decontam, langid, simhash
 from civiq.llm.common import read_table, remainder
 from civiq.session import apply_settings
 
@@ -32,6 +32,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+@_query("op5_decontam")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @_query("op8_langid")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
