@@ -9,15 +9,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civiq.llm.common import free_name
+from civiq.llm.common import code_points, free_name
 
 ERROR_RATE = 0.1
 BLOCK_CHARS = 1_000_000
+_RUN = 4
 _BLANKS = bytes(32 if i < 128 and not chr(i).isalnum() else i for i in range(256))
 
 MATCHES = T.ArrayType(T.StructType([
@@ -78,7 +80,7 @@ def compile_items(rows, rate: float = ERROR_RATE):
             continue
         errors = budget(len(form) - 2, rate)
         at = len(items)
-        items.append((item_id, form, errors, frozenset(form[i:i + 3] for i in range(len(form) - 2))))
+        items.append((item_id, form, errors, np.unique(spelling(form))))
         for offset, piece in pieces(form, errors):
             known = automaton.get(piece, ())
             automaton.add_word(piece, (*known, (at, offset, len(piece))))
@@ -87,6 +89,16 @@ def compile_items(rows, rate: float = ERROR_RATE):
     return items, automaton
 
 
+def spelling(form: str) -> np.ndarray:
+    """The hashed runs of four characters of a text, in order."""
+    c = code_points(form)
+    n = max(0, len(c) - _RUN + 1)
+    out = np.zeros(n, np.uint32)
+    for i in range(_RUN):
+        out = out * np.uint32(31) + c[i:i + n]
+    return ((out * np.uint32(0x9E3779B1)) >> np.uint32(18)).astype(np.int64)
+
+
 def find(text: str | None, items: list, automaton) -> list[tuple[int, int, int, int]]:
     """(item_id, errors, start, end) of the closest occurrence of each item within its budget, in the text's normal form."""
     form = normal_form(text)
@@ -96,16 +108,17 @@ def find(text: str | None, items: list, automaton) -> list[tuple[int, int, int,
     for end, owners in automaton.iter(form):
         for at, offset, length in owners:
             starts.setdefault(at, set()).add(end + 1 - length - offset)
-    found = []
+    found, spelled = [], spelling(form)
     for at, places in starts.items():
         item_id, item, errors, grams = items[at]
         best = None
         for low, high in _merged(sorted(places), errors):
             low, high = max(0, low - errors), high + len(item) + errors
-            window = form[low:high]
-            # An edit spoils three trigrams at most.
-            if sum(g in window for g in grams) < len(grams) - 3 * errors:
+            # An edit spoils four runs of four at most; hashing can only hide that one is missing.
+            there = np.bincount(spelled[low:max(low, high - _RUN + 1)], minlength=1 << 14)[grams]
+            if np.count_nonzero(there) < len(grams) - _RUN * errors:
                 continue
+            window = form[low:high]
             distance, end = best_end(item, window)
             if distance <= errors and (best is None or distance < best[0]):
                 back = best_end(item[::-1], window[:end][::-1])[1]
@@ -116,10 +129,10 @@ def find(text: str | None, items: list, automaton) -> list[tuple[int, int, int,
 
 
 def _merged(places: list[int], errors: int) -> list[tuple[int, int]]:
-    """Runs of possible starts no further apart than the budget allows."""
+    """Runs of possible starts, each no wider than the budget."""
     runs = [[places[0], places[0]]]
     for place in places[1:]:
-        if place - runs[-1][1] <= 2 * errors + 1:
+        if place - runs[-1][0] <= errors:
             runs[-1][1] = place
         else:
             runs.append([place, place])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiq.llm import decontam, langid, simhash
+from civiq.llm import decontam, langid, packing, records, simhash
 from civiq.llm.common import read_table, remainder
 from civiq.session import apply_settings
 
@@ -32,6 +32,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+@_query("op3_records")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.round_trip(read_table(spark, sf_dir, "documents"))
+
+
 @_query("op5_decontam")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -43,3 +48,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = remainder(F.col("doc_id"), 3) == 1
     model = langid.train(docs.where(~held))
     return langid.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@_query("op10_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"))
