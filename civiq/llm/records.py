@@ -25,8 +25,7 @@ from civiq.llm import tokens
 from civiq.llm.common import materialize, shuffle_partitions
 from civiq.session import scratch_dir
 
-_HEAD = struct.Struct("<QI")
-_PAYLOAD = struct.Struct("<BqI")
+_HEAD, _PAYLOAD = "<QI", "<BqI"
 _BATCH = 1000
 
 
@@ -43,12 +42,12 @@ def frame(payload: bytes) -> bytes:
 
 def read_frame(stream) -> bytes | None:
     """The next payload, None at the end; damaged or cut-off records raise."""
-    head = stream.read(_HEAD.size)
+    head = stream.read(12)
     if not head:
         return None
-    if len(head) < _HEAD.size:
+    if len(head) < 12:
         raise ValueError("cut-off record")
-    size, check = _HEAD.unpack(head)
+    size, check = struct.unpack(_HEAD, head)
     if masked(head[:8]) != check:
         raise ValueError("damaged record length")
     payload, tail = stream.read(size), stream.read(4)
@@ -61,12 +60,12 @@ def read_frame(stream) -> bytes | None:
 
 def to_payload(key: int | None, ids: np.ndarray) -> bytes:
     wide = bool(len(ids)) and int(ids.max()) >= 1 << 16
-    return _PAYLOAD.pack((key is not None) | wide << 1, key or 0, len(ids)) + ids.astype("<u4" if wide else "<u2").tobytes()
+    return struct.pack(_PAYLOAD, (key is not None) | wide << 1, key or 0, len(ids)) + ids.astype("<u4" if wide else "<u2").tobytes()
 
 
 def from_payload(payload: bytes) -> tuple[int | None, np.ndarray]:
-    flags, key, count = _PAYLOAD.unpack_from(payload)
-    ids = np.frombuffer(payload, "<u4" if flags & 2 else "<u2", count, _PAYLOAD.size)
+    flags, key, count = struct.unpack_from(_PAYLOAD, payload)
+    ids = np.frombuffer(payload, "<u4" if flags & 2 else "<u2", count, struct.calcsize(_PAYLOAD))
     return key if flags & 1 else None, ids.astype("<u4")
 
 
