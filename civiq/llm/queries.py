@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiq.llm import decontam, langid, packing, records, simhash
+from civiq.llm import decontam, langid, linededup, packing, records, simhash
 from civiq.llm.common import read_table, remainder
 from civiq.session import apply_settings
 
@@ -37,6 +37,46 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.round_trip(read_table(spark, sf_dir, "documents"))
 
 
+_LINES = """
+lines AS (
+  SELECT doc_id, unnest(generate_series(0, len(parts) - 1)) AS line, unnest(parts) AS content
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+worded AS (
+  SELECT doc_id, line, content, list_sort(list_distinct(list_filter(string_split(lower(translate(
+    content, chr(9) || chr(13) || chr(11) || chr(12), '    ')), ' '), lambda x: x <> ''))) AS words FROM lines),
+sets AS (
+  SELECT row_number() OVER () AS id, words, len(words) AS n, first FROM (
+    SELECT words, min({'d': doc_id, 'l': line}) AS first FROM worded WHERE len(words) > 0 GROUP BY words)),
+spelled AS (SELECT id, n, unnest(words) AS word FROM sets),
+used AS (SELECT word, count(*) AS uses FROM spelled GROUP BY word),
+ranked AS (
+  SELECT id, n, word, row_number() OVER (PARTITION BY id ORDER BY uses, word) AS spot FROM spelled JOIN used USING (word)),
+heads AS (SELECT * FROM ranked WHERE spot <= n - (n * 4 + 4) // 5 + 1),
+pairs AS (
+  SELECT DISTINCT a.id AS a, b.id AS b FROM heads a JOIN heads b USING (word)
+  WHERE a.id <> b.id AND a.n * 5 >= b.n * 4 AND b.n * 5 >= a.n * 4),
+near AS (
+  SELECT a, sb.first AS other FROM pairs JOIN sets sa ON sa.id = a JOIN sets sb ON sb.id = b
+  WHERE len(list_intersect(sa.words, sb.words)) * 9 >= (sa.n + sb.n) * 4),
+best AS (
+  SELECT words, least(first, coalesce(min(other), first)) AS best FROM sets LEFT JOIN near ON a = id GROUP BY words, first),
+marked AS (
+  SELECT doc_id, line, content, len(w.words) AS n_words, coalesce({'d': doc_id, 'l': line} > best, false) AS gone
+  FROM worded w LEFT JOIN best b ON w.words = b.words)
+"""
+
+
+@_query("op4_linededup", f"""WITH {_LINES}
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+  coalesce(string_agg(CASE WHEN gone THEN line::VARCHAR END, ',' ORDER BY line), '') AS removed_lines
+FROM marked GROUP BY doc_id""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.removed_lines(read_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.col("n_lines").cast("long").alias("n_lines"),
+                        F.size("removed").cast("long").alias("n_removed"),
+                        F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
+
+
 @_query("op5_decontam")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
