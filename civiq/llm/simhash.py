@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civiq.llm.common import free_name, materialize
+from civiq.llm.common import free_name, materialize, shuffle_partitions
 from civiq.llm.components import connected_components
 
 _BLOCK = 2048  # fingerprints of one bucket that are compared in one place
@@ -99,7 +99,8 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
     """
     if not 0 <= distance <= 3:
         raise ValueError("distance must be 0 to 3")
-    keyed = variants(fps)
+    # A fingerprint becomes 66 rows, so the few bytes of many are spread before.
+    keyed = variants(fps.repartition(shuffle_partitions(fps.sparkSession)))
     buckets = materialize(keyed.groupBy("signature").agg(
         F.count("*").alias("size"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("size > 1"), "buckets")
     pairs = buckets.where("size = 2").select("a", "b").where(
