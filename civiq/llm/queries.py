@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiq.llm import decontam, langid, linededup, packing, records, simhash
+from civiq.llm import decontam, fingerprints, langid, linededup, packing, records, simhash, toxicity
 from civiq.llm.common import read_table, remainder
 from civiq.session import apply_settings
 
@@ -25,6 +25,11 @@ def _query(name: str, sql: str | None = None):
     return wrap
 
 
+@_query("op1_fingerprints")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_neighbours(read_table(spark, sf_dir, "documents"))
+
+
 @_query("op2_simhash")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -82,6 +87,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@_query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held = remainder(F.col("doc_id"), 5) == 0
+    model = toxicity.train(docs, labels.where(~held))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @_query("op8_langid")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
