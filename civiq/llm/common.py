@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from civiq.session import scratch_dir
 
@@ -51,3 +52,15 @@ def free_name(df: DataFrame, base: str) -> str:
     while base.lower() in taken:
         base += "_"
     return base
+
+
+def draw(rows: DataFrame, by: str, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows of each value of ``by``, those with the least hashes of the key; with ``drawn``, the hash.
+
+    Values with more rows are thinned by their count first, so that about twice ``most`` of each are ranked in one place.
+    """
+    counts = rows.groupBy(by).agg(F.count("*").alias("rows_of_value"))
+    thinned = rows.join(counts, by).withColumn("drawn", F.pmod(F.xxhash64(key, F.lit("draw")), F.lit(1 << 40))).where(
+        F.col("drawn") * F.col("rows_of_value").cast("double") < 2.0 * (most + 100) * (1 << 40))
+    place = F.row_number().over(Window.partitionBy(by).orderBy("drawn", key))
+    return thinned.withColumn("place", place).where(F.col("place") <= most).drop("place", "rows_of_value")

@@ -12,9 +12,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from civiq.llm.common import code_points, letter_table
+from civiq.llm.common import code_points, draw, letter_table
 
 UNDETERMINED = "und"
 _BITS = 16
@@ -110,12 +109,9 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
         if r["feature"] >= 0:
             frequency[r["feature"]] = r["rows"]
     idf = np.log((1.0 + total) / (1.0 + frequency)) + 1.0
-    draw = F.xxhash64(F.col("id"), F.lit("draw"))
-    order = Window.partitionBy("lang").orderBy("draw", "id")
-    drawn = (rows.select("id", "lang", draw.alias("draw")).withColumn("place", F.row_number().over(order))
-             .where(F.col("place") <= rows_per_language).select("id", "lang", "draw"))
+    drawn = draw(rows.select("id", "lang"), "lang", "id", rows_per_language).distinct()
     # The drawn rows are bounded by rows_per_language × languages, so they are broadcast against the texts.
-    picked = rows.join(F.broadcast(drawn), ["id", "lang"]).select("lang", "draw", "text")
+    picked = rows.join(F.broadcast(drawn), ["id", "lang"]).select("lang", F.col("drawn").alias("draw"), "text")
     vectors = picked.mapInArrow(_vectors(letters, spark.sparkContext.broadcast(idf)),
                                 "lang string, draw long, features binary, amounts binary").collect()
     samples = sorted(((r["draw"], r["lang"], np.frombuffer(r["features"], np.int32), np.frombuffer(r["amounts"], np.float32))

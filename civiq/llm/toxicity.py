@@ -11,7 +11,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from civiq.llm.common import draw
 
 # Letters of other scripts that look like Latin ones, then digits and signs that stand for letters.
 _HOMOGLYPHS = dict(zip("аеорсухіјѕһԁԛԝкмнтвгαορυνιτκχε", "aeopcyxijshdqwkmhtbraopuvitkxe"))
@@ -86,9 +87,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     known = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("y")).where(
         F.col("id").isNotNull() & F.col("y").isin(0, 1)).distinct()
     totals = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
-    order = Window.partitionBy("y").orderBy(F.xxhash64("id", F.lit("draw")), "id")
-    drawn = (known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows_per_label)
-             .select("id", "y", (F.pmod(F.xxhash64("id", F.lit("aside")), F.lit(4)) == 0).alias("aside")))
+    drawn = draw(known, "y", "id", rows_per_label).select(
+        "id", "y", (F.pmod(F.xxhash64("id", F.lit("aside")), F.lit(4)) == 0).alias("aside"))
     # Bounded by twice rows_per_label, so broadcast against the texts.
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(drawn), "id")
     taught = rows.where(~F.col("aside"))
@@ -98,7 +98,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     p_all, q_all = sizes.get(1, 0), sizes.get(0, 0)
     gain = F.log((F.col("p") + 0.5) / (p_all + 1.0)) - F.log((F.col("q") + 0.5) / (q_all + 1.0))
     weight = gain - 1.96 * F.sqrt(1.0 / (F.col("p") + 0.5) + 1.0 / (F.col("q") + 0.5))
-    best = counted.withColumn("weight", weight).where("weight > 0.5").orderBy(F.desc("weight"), "entry").limit(entries)
+    best = counted.withColumn("weight", weight).where("weight > 0.8").orderBy(F.desc("weight"), "entry").limit(entries)
     weights = {r["entry"]: r["weight"] for r in best.collect()}
     state = spark.sparkContext.broadcast(compile_lexicon(weights, []))
     phrases = (taught.select("text", "y").mapInArrow(_phrases(state), "phrase string, y int").groupBy("phrase")
