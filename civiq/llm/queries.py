@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiq.llm import decontam, fingerprints, langid, linededup, packing, records, simhash, toxicity
+from civiq.llm import decontam, fingerprints, langid, linededup, packing, records, simhash, substrings, toxicity
 from civiq.llm.common import read_table, remainder
 from civiq.session import apply_settings
 
@@ -104,6 +104,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+@_query("op9_substrings")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @_query("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
