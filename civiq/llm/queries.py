@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiq.llm import decontam, fingerprints, langid, linededup, packing, records, simhash, substrings, toxicity
+from civiq.llm import decontam, fingerprints, langid, linededup, packing, records, simhash, substrings, toxicity, wrappers
 from civiq.llm.common import read_table, remainder
 from civiq.session import apply_settings
 
@@ -87,6 +87,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@_query("op6_wrappers")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrappers.extract(read_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @_query("op7_toxicity")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
