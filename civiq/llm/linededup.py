@@ -24,9 +24,15 @@ def _constant(values: list[int], kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
 
 
+def _spaced(text: Column, blanks: str = "\t\r\x0b\x0c") -> Column:
+    for blank in blanks:
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return text
+
+
 def _lines(text: Column) -> Column:
     """A text's lines, ASCII blanks as spaces; null counts as empty. Every text has at least one line."""
-    return F.split(F.translate(F.coalesce(text, F.lit("")), "\t\r\x0b\x0c", "    "), "\n")
+    return F.split(_spaced(F.coalesce(text, F.lit(""))), "\n")
 
 
 def _words(line: Column) -> Column:
@@ -35,7 +41,7 @@ def _words(line: Column) -> Column:
 
 def _prefix(n: Column, numerator: int, denominator: int) -> Column:
     """n - ceil(n × numerator / denominator) + 1"""
-    return n - F.expr(f"(n * {numerator} + {denominator - 1}) div {denominator}") + 1
+    return n - F.floor((n * numerator + denominator - 1) / F.lit(denominator)).cast("int") + 1
 
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -58,15 +64,17 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     exploded = source.select(F.struct(F.col("id").isNull().alias("none"), "id", "digest").alias("doc"),
                              F.posexplode(_lines(F.col("text"))).alias("line", "content"))
-    coded = exploded.select("doc", "line", F.sort_array(F.transform(_words(F.col("content")), code)).alias("codes"))
+    coded = exploded.select("doc", "line", F.sort_array(F.array_distinct(F.array_remove(
+        F.transform(F.split(F.lower(F.col("content")), " "), code), code(F.lit(""))))).alias("codes"))
     sized = coded.select("doc", "line", F.size("codes").alias("n"), "codes", F.xxhash64("codes").alias("h1"),
-                         F.xxhash64("codes", F.lit(1)).alias("h2"))
-    lines = materialize(sized.select("doc", "line", "n", "h1", "h2", F.when(F.col("n") > 0, F.slice(
+                         F.xxhash64("codes", F.lit(1)).alias("h2"), F.aggregate("codes", F.lit(0).cast("long"), lambda bits, c: (
+                             bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(63).cast("int"))))).alias("parity"))
+    lines = materialize(sized.select("doc", "line", "n", "h1", "h2", "parity", F.when(F.col("n") > 0, F.slice(
         "codes", 1, _prefix(F.col("n"), top, bottom))).alias("prefix")), "lines")
 
     sets = lines.where("n > 0").groupBy("h1", "h2").agg(
         F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("uses"), F.first("n").alias("n"),
-        F.first("prefix").alias("prefix"))
+        F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
     near = _near_sets(sets, source, threshold)
     both = near.select(F.col("a1").alias("h1"), F.col("a2").alias("h2"), F.col("b").alias("other")).unionByName(
         near.select(F.col("b1").alias("h1"), F.col("b2").alias("h2"), F.col("a").alias("other")))
@@ -84,7 +92,7 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 def _rarity(source: DataFrame) -> Column:
     """For each bucket of word hashes its rank by how often its words occur in all lines: a constant of fixed size."""
-    words = source.select(F.explode(F.split(F.translate(F.lower(F.coalesce("text", F.lit(""))), "\n\t\r\x0b\x0c", "     "), " ")).alias("w"))
+    words = source.select(F.explode(F.split(_spaced(F.lower(F.coalesce("text", F.lit(""))), "\n\t\r\x0b\x0c"), " ")).alias("w"))
     counts = {r["bucket"]: r["count"] for r in words.groupBy(
         F.xxhash64("w").bitwiseAND(_BUCKETS - 1).alias("bucket")).count().collect()}
     ranks = [0] * _BUCKETS
@@ -96,16 +104,23 @@ def _rarity(source: DataFrame) -> Column:
 def _near_sets(sets: DataFrame, source: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """(a1, a2, a, b1, b2, b): pairs of different sets, and their first places, at least as similar as the threshold."""
     top, bottom = threshold
-    spread = sets.select("h1", "n", F.posexplode("prefix").alias("at", "code"))
-    # The shorter set of a pair needs fewer words still to be sure of a common one.
-    short = spread.where(F.col("at") < _prefix(F.col("n"), 2 * top, top + bottom)).select(
-        "code", F.col("h1").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"))
-    long = spread.select("code", F.col("h1").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"))
-    bound = F.least("ia", "ib") + 1 + F.least(F.expr("na - ia - 1"), F.expr("nb - ib - 1"))
-    pairs = materialize(short.join(long, "code").where(
-        ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
-        & (F.col("na") * bottom >= F.col("nb") * top)
-        & (bound * (top + bottom) >= (F.col("na") + F.col("nb")) * top)).select("a", "b").distinct(), "candidates")
+    spread = sets.select("h1", "parity", "n", F.posexplode("prefix").alias("at", "code")).select(
+        "code", "h1", "parity", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("at")).alias("size_at"))
+
+    def side(set_name: str, suffix: str) -> DataFrame:
+        return spread.select("code", F.col("h1").alias(set_name), F.col("parity").alias(f"p{suffix}"), F.col("size_at").alias(f"s{suffix}"))
+
+    joined = side("a", "a").join(side("b", "b"), "code")
+    na, nb = (F.shiftright(s, 32).cast("int") for s in ("sa", "sb"))
+    ia, ib = (F.col(s).bitwiseAND(0xFFFFFFFF).cast("int") for s in ("sa", "sb"))
+    need = F.ceil((na + nb) * top / F.lit(top + bottom))
+    pairs = materialize(joined.where(
+        ((na < nb) | ((na == nb) & (F.col("a") < F.col("b")))) & (na * bottom >= nb * top)
+        # The shorter set of a pair is sure of a common word among fewer.
+        & (ia < _prefix(F.least(na, nb), 2 * top, top + bottom))
+        & ((F.least(ia, ib) + 1 + F.least(na - ia - 1, nb - ib - 1)) * (top + bottom) >= (na + nb) * top)
+        # A word of only one of the sets turns one bit of the parities at most.
+        & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= na + nb - 2 * need)).select("a", "b").distinct(), "candidates")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
     places = materialize(sets.select("h1", "h2", "first").join(wanted, "h1"), "places")
     spot = F.xxhash64("first.doc.id", "first.doc.digest", "first.line").bitwiseAND(_BITS - 1)
@@ -141,7 +156,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     joined = marked.join(found, marked[key].eqNullSafe(found[free_name(docs, "id_of")]) & (marked[digest] == found[other]), "left")
     kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda _, i: ~F.array_contains(F.col(lines), i)), "\n")
     mended = joined.withColumn(text, F.when(F.col(lines).isNull(), F.col(text)).otherwise(kept))
-    whole = F.col(lines).isNull() | (F.length(F.trim(F.translate(F.col(text), "\n\t\r\x0b\x0c", "     "))) > 0)
+    whole = F.col(lines).isNull() | (F.length(F.trim(_spaced(F.col(text), "\n\t\r\x0b\x0c"))) > 0)
     out = mended.where(whole)
     if size and size in docs.columns:
         out = out.withColumn(size, F.when(F.col(lines).isNull(), F.col(size)).otherwise(
