@@ -17,7 +17,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read back: lineage is cut, a lost executor costs nothing."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -75,7 +75,7 @@ def _anchor_rows(state):
             if found:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(found).view(np.int64)), batch.column(0).take(pa.array(np.concatenate(row)))],
-                    ["anchor", "id"])
+                    ["anchor", "digest"])
 
     return run
 
@@ -162,26 +162,51 @@ class _Shard:
 
 
 def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows (shard, kind, id, digest, start, words), a shard's phrases first: starts of windows to remove."""
-    now, shard = None, None
+    """From rows (shard, kind, id, digest, start, words) in order of shards: starts of windows to remove.
+
+    Kind 0 is a phrase confirmed elsewhere, with the least key that has it; kind 1 a segment. A shard's segments are held
+    until all are there, since any two of them may confirm a phrase.
+    """
+    now, ready, held = None, {}, []
     for batch in batches:
-        ids, digests, starts = [], [], []
         for number, kind, own, digest, start, words in zip(*(c.to_pylist() for c in batch.columns)):
             if number != now:
-                now, shard = number, _Shard()
+                if held:
+                    yield _located(ready, held)
+                now, ready, held = number, {}, []
             if kind == 0:
-                shard.add(words, own)
-            elif found := shard.find(words, own):
-                ids.append(own)
-                digests.append(digest)
-                starts.append([start + f for f in found])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(digests, pa.int64()), pa.array(starts, pa.list_(pa.int32()))],
-            ["id", "digest", "starts"])
+                ready[words] = own
+            else:
+                held.append((own, digest, start, words))
+    if held:
+        yield _located(ready, held)
+
+
+def _located(ready: dict[str, int], held: list[tuple]) -> pa.RecordBatch:
+    """Confirm what two documents of the shard share, compile it with what is ready, and run it over the segments."""
+    first: dict[str, int] = {}
+    shared = set()
+    for own, _, _, text in held:
+        words = text.split(" ")
+        for a in range(len(words) - WINDOW + 1):
+            phrase = " ".join(words[a:a + WINDOW])
+            known = first.setdefault(phrase, own)
+            if known != own:
+                shared.add(phrase)
+                first[phrase] = min(known, own)
+    shard = _Shard()
+    for phrase in shared:
+        shard.add(phrase, min(first[phrase], ready.pop(phrase, first[phrase])))
+    for phrase, own in ready.items():
+        shard.add(phrase, own)
+    rows = [(own, digest, [start + f for f in found]) for own, digest, start, words in held if (found := shard.find(words, own))]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+         pa.array([r[2] for r in rows], pa.list_(pa.int32()))], ["id", "digest", "starts"])
 
 
 def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, digest, starts): for each (key, digest of the text) where windows start that a smaller key's text has too.
+    """(id, digest, starts): for each (key, digest of the text) where windows start that a smaller key's other text has too.
 
     Rows with a null key have no place in the order: nothing is removed from them, and they remove nothing. Rows that share
     a key don't repeat each other.
@@ -191,9 +216,10 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     known = context.broadcast({})
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where(
         F.col("id").isNotNull() & F.col("text").isNotNull())
+    # Copies of one whole text don't make an anchor recur; remove_repeats knows them by their texts.
     recurring = materialize(
-        rows.mapInArrow(_anchor_rows(known), "anchor long, id long").groupBy("anchor")
-        .agg(F.count("*").alias("uses"), F.min("id").alias("low"), F.max("id").alias("high"))
+        rows.select(F.xxhash64("text").alias("digest"), "text").mapInArrow(_anchor_rows(known), "anchor long, digest long")
+        .groupBy("anchor").agg(F.count("*").alias("uses"), F.min("digest").alias("low"), F.max("digest").alias("high"))
         .where("low < high").select("anchor", "uses"), "anchors")
     totals = recurring.agg(F.count("*").alias("n"), F.sum("uses").alias("uses")).first()
     bits = _bits(recurring, totals["n"])
@@ -204,13 +230,15 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     segments = materialize(rows.withColumn("digest", F.xxhash64("text")).mapInArrow(
         _segment_rows(context.broadcast(({}, bits, *spread))),
         "anchor long, salt int, id long, digest long, start int, words string"), "segments")
-    phrases = (segments.select("anchor", "id", "words").mapInArrow(_window_rows, "anchor long, phrase string, id long")
-               .groupBy("anchor", "phrase").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last"))
-    salts = spark.createDataFrame([(a, s) for a, s in hot], "anchor long, salts long")
-    dealt = phrases.join(F.broadcast(salts), "anchor", "left").select(
-        "anchor", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)).cast("int") - 1)).alias("salt"),
+    salts = spark.createDataFrame(hot, "anchor long, salts long")
+    # Only the phrases of spread anchors are confirmed ahead of the shards, and handed to each of theirs.
+    dealt = (segments.select("anchor", "id", "words").join(F.broadcast(salts.select("anchor")), "anchor", "left_semi")
+             .mapInArrow(_window_rows, "anchor long, phrase string, id long").groupBy("anchor", "phrase")
+             .agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+             .join(F.broadcast(salts), "anchor").select(
+        "anchor", F.explode(F.sequence(F.lit(0), F.col("salts").cast("int") - 1)).alias("salt"),
         F.lit(0).alias("kind"), F.col("first").alias("id"), F.lit(0).cast("long").alias("digest"),
-        F.lit(0).alias("start"), F.col("phrase").alias("words"))
+        F.lit(0).alias("start"), F.col("phrase").alias("words")))
     streamed = segments.select("anchor", "salt", F.lit(1).alias("kind"), "id", "digest", "start", "words")
     parts = shuffle_partitions(spark)
     sharded = dealt.unionByName(streamed).select(
@@ -243,24 +271,32 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """(key, n_words, n_removed, kept, spans) for every row: the words left, joined by a blank, and the word ranges removed.
 
     A word goes if a window over it also starts in a document with a smaller key; windows are judged on the input.
-    A null or empty text has no words; a text of fewer than 13 words keeps them all; repeated rows each have their row.
+    All windows of a copy of a whole earlier text are repeats. A null or empty text has no words; a text of fewer than 13 words keeps them all; repeated rows each have their row.
     """
-    found = (repeated_windows(docs, key, text).groupBy("id", "digest").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-             .select(F.col("id").alias("found_id"), F.col("digest").alias("found_digest"), "starts"))
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.sha2(text, 256).alias("sha"), F.xxhash64(text).alias("digest")).where(
+        F.col("id").isNotNull() & F.col(text).isNotNull())
+    firsts = texts.groupBy("sha").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    copies = texts.join(firsts, "sha").where(F.col("id") > F.col("first")).select(
+        "id", "digest", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("copy"))
+    found = (repeated_windows(docs, key, text).withColumn("copy", F.lit(False)).unionByName(copies)
+             .groupBy("id", "digest").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.max("copy").alias("copy"))
+             .select(F.col("id").alias("found_id"), F.col("digest").alias("found_digest"), "starts", "copy"))
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).withColumn("digest", F.xxhash64("text"))
     joined = rows.join(found, (F.col("id") == F.col("found_id")) & (F.col("digest") == F.col("found_digest")), "left").select(
-        "id", "text", "starts")
+        "id", "text", "starts", "copy")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, gone, kept, spans = [], [], [], []
-            for value, starts in zip(batch.column(1), batch.column(2)):
+            for value, starts, copy in zip(batch.column(1), batch.column(2), batch.column(3).to_pylist()):
                 words, starts = split_words(value.as_py()), starts.as_py() or []
+                if copy:
+                    starts = range(len(words) - WINDOW + 1)
                 covered = cover(starts, len(words))
                 edges = np.flatnonzero(np.diff(np.concatenate(([False], covered, [False])).astype(np.int8)))
                 sizes.append(len(words))
                 gone.append(int(covered.sum()))
-                left = [w for w, c in zip(words, covered.tolist()) if not c] if starts else words
+                left = [w for w, c in zip(words, covered.tolist()) if not c] if len(starts) else words
                 kept.append(b" ".join(left).decode())
                 spans.append(edges.reshape(-1, 2).tolist())
             yield pa.RecordBatch.from_arrays(
