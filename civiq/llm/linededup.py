@@ -66,22 +66,25 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
                              F.posexplode(_lines(F.col("text"))).alias("line", "content"))
     coded = exploded.select("doc", "line", F.sort_array(F.array_distinct(F.array_remove(
         F.transform(F.split(F.lower(F.col("content")), " "), code), code(F.lit(""))))).alias("codes"))
-    sized = coded.select("doc", "line", F.size("codes").alias("n"), "codes", F.xxhash64("codes").alias("h1"),
-                         F.xxhash64("codes", F.lit(1)).alias("h2"), F.aggregate("codes", F.lit(0).cast("long"), lambda bits, c: (
-                             bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(63).cast("int"))))).alias("parity"))
-    lines = materialize(sized.select("doc", "line", "n", "h1", "h2", "parity", F.when(F.col("n") > 0, F.slice(
-        "codes", 1, _prefix(F.col("n"), top, bottom))).alias("prefix")), "lines")
-
-    sets = lines.where("n > 0").groupBy("h1", "h2").agg(
+    sized = coded.select("doc", "line", F.size("codes").alias("n"), "codes", F.xxhash64("codes").alias("hash"),
+                         F.aggregate("codes", F.lit(0).cast("long"), lambda bits, c: bits.bitwiseXOR(F.call_function(
+                             "shiftleft", F.lit(1).cast("long"), c.bitwiseAND(63).cast("int")))).alias("parity"))
+    # A word of a prefix is kept as 32 bits of its hash: enough to meet by, as all that meet are verified.
+    prefix = F.transform(F.slice("codes", 1, _prefix(F.col("n"), top, bottom)), lambda c: (
+        c.bitwiseAND(0xFFFFFFFF) - 0x80000000).cast("int"))
+    lines = materialize(sized.select("doc", "line", "n", "parity", "hash", F.when(F.col("n") > 0, prefix).alias("prefix")), "lines")
+    sets = materialize(lines.where("n > 0").groupBy("parity", "hash").agg(
         F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("uses"), F.first("n").alias("n"),
-        F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
-    near = _near_sets(sets, source, threshold)
-    both = near.select(F.col("a1").alias("h1"), F.col("a2").alias("h2"), F.col("b").alias("other")).unionByName(
-        near.select(F.col("b1").alias("h1"), F.col("b2").alias("h2"), F.col("a").alias("other")))
-    best = (lines.where("n > 0").select("h1", "h2", F.struct("doc", "line").alias("place"))
-            .unionByName(both.withColumnRenamed("other", "place"))
-            .groupBy("h1", "h2").agg(F.min("place").alias("best"), F.count("*").alias("places")).where("places > 1"))
-    gone = lines.where("n > 0").join(best.select("h1", "h2", "best"), ["h1", "h2"]).where(
+        F.first("prefix").alias("prefix")), "sets")
+    near = materialize(_near_sets(sets, source, threshold), "near")
+    own, other = [F.col(f"a.{c}").alias(c) for c in ("parity", "hash")], [F.col(f"b.{c}").alias(c) for c in ("parity", "hash")]
+    places = [sets.where("uses > 1").select("parity", "hash", F.col("first").alias("place"))]
+    places += [near.select(*k, F.col(f"{side}.first").alias("place")) for k in (own, other) for side in "ab"]
+    best = places[0]
+    for more in places[1:]:
+        best = best.unionByName(more)
+    best = best.groupBy("parity", "hash").agg(F.min("place").alias("best"))
+    gone = lines.where("n > 0").select("doc", "line", "parity", "hash").join(best, ["parity", "hash"]).where(
         F.struct("doc", "line") > F.col("best")).select("doc", F.col("line").alias("gone"))
     marks = lines.select("doc", "line", F.lit(None).cast("int").alias("gone")).unionByName(
         gone.select("doc", F.lit(None).cast("int").alias("line"), "gone"))
@@ -102,45 +105,44 @@ def _rarity(source: DataFrame) -> Column:
 
 
 def _near_sets(sets: DataFrame, source: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """(a1, a2, a, b1, b2, b): pairs of different sets, and their first places, at least as similar as the threshold."""
+    """(a, b): pairs of different sets at least as similar as the threshold, each with parity, hash and first place."""
     top, bottom = threshold
-    spread = sets.select("h1", "parity", "n", F.posexplode("prefix").alias("at", "code")).select(
-        "code", "h1", "parity", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("at")).alias("size_at"))
-
-    def side(set_name: str, suffix: str) -> DataFrame:
-        return spread.select("code", F.col("h1").alias(set_name), F.col("parity").alias(f"p{suffix}"), F.col("size_at").alias(f"s{suffix}"))
-
-    joined = side("a", "a").join(side("b", "b"), "code")
-    na, nb = (F.shiftright(s, 32).cast("int") for s in ("sa", "sb"))
-    ia, ib = (F.col(s).bitwiseAND(0xFFFFFFFF).cast("int") for s in ("sa", "sb"))
+    spread = sets.select("parity", "hash", "n", F.posexplode("prefix").alias("at", "word")).select(
+        "word", "parity", "hash", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("at")).alias("rest"))
+    a, b = (spread.select("word", F.col("parity").alias(f"p{x}"), F.col("hash").alias(f"h{x}"), F.col("rest").alias(f"r{x}")) for x in "ab")
+    na, nb = (F.shiftright(r, 32).cast("int") for r in ("ra", "rb"))
+    ia, ib = (F.col(r).bitwiseAND(0xFFFFFFFF).cast("int") for r in ("ra", "rb"))
     need = F.ceil((na + nb) * top / F.lit(top + bottom))
-    pairs = materialize(joined.where(
-        ((na < nb) | ((na == nb) & (F.col("a") < F.col("b")))) & (na * bottom >= nb * top)
+    pairs = materialize(a.join(b, "word").where(
+        ((na < nb) | ((na == nb) & ((F.col("pa") < F.col("pb")) | ((F.col("pa") == F.col("pb")) & (F.col("ha") < F.col("hb"))))))
+        & (na * bottom >= nb * top)
         # The shorter set of a pair is sure of a common word among fewer.
         & (ia < _prefix(F.least(na, nb), 2 * top, top + bottom))
         & ((F.least(ia, ib) + 1 + F.least(na - ia - 1, nb - ib - 1)) * (top + bottom) >= (na + nb) * top)
         # A word of only one of the sets turns one bit of the parities at most.
-        & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= na + nb - 2 * need)).select("a", "b").distinct(), "candidates")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
-    places = materialize(sets.select("h1", "h2", "first").join(wanted, "h1"), "places")
+        & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= na + nb - 2 * need)).select(
+        "pa", "ha", "pb", "hb").distinct(), "candidates")
+    wanted = pairs.select(F.explode(F.array(F.struct(F.col("pa").alias("parity"), F.col("ha").alias("hash")),
+                                            F.struct(F.col("pb").alias("parity"), F.col("hb").alias("hash")))).alias("s")).select(
+        "s.parity", "s.hash").distinct()
+    places = materialize(sets.select("parity", "hash", "first").join(
+        wanted, ["parity", "hash"], "left_semi"), "places")
     spot = F.xxhash64("first.doc.id", "first.doc.digest", "first.line").bitwiseAND(_BITS - 1)
-    bits = {r["at"]: r["bits"] for r in places.select(F.shiftright(spot, 6).cast("int").alias("at"), F.expr(
-        "shiftleft(1L, cast(xxhash64(first.doc.id, first.doc.digest, first.line) & 63 as int))").alias("bit")).groupBy("at").agg(
-        F.bit_or("bit").alias("bits")).collect()}
+    bits = {r["at"]: r["bits"] for r in places.select(F.shiftright(spot, 6).cast("int").alias("at"), spot.alias("spot")).select(
+        "at", F.expr("shiftleft(1L, cast(spot & 63 as int))").alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).collect()}
     filled = _constant([bits.get(i, 0) for i in range(_BITS // 64)], "bigint")
     lines = source.select("id", "digest", F.posexplode(_lines(F.col("text"))).alias("line", "content"))
     mark = F.xxhash64("id", "digest", "line").bitwiseAND(_BITS - 1)
     held = F.getbit(F.element_at(filled, (F.shiftright(mark, 6) + 1).cast("int")), F.pmod(mark, F.lit(64)))
     texts = lines.where(held == 1).select("id", "digest", "line", _words(F.col("content")).alias("words")).distinct()
-    known = places.alias("p").join(texts.alias("t"), F.col("p.first.doc.id").eqNullSafe(F.col("t.id"))
-                                   & (F.col("p.first.doc.digest") == F.col("t.digest")) & (F.col("p.first.line") == F.col("t.line")))
-    known = materialize(known.select("h1", "h2", "first", "words"), "verifiable")
-    a = known.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("first").alias("a"), F.col("words").alias("wa"))
-    b = known.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("b"), F.col("words").alias("wb"))
-    checked = pairs.select(F.col("a").alias("a1"), F.col("b").alias("b1")).join(a, "a1").join(b, "b1").withColumn(
+    known = places.join(texts, places["first.doc.id"].eqNullSafe(texts["id"]) & (places["first.doc.digest"] == texts["digest"])
+                        & (places["first.line"] == texts["line"]))
+    known = materialize(known.select("parity", "hash", F.struct("parity", "hash", "first").alias("set"), "words"), "verifiable")
+    sides = [known.select(F.col("parity").alias(f"p{x}"), F.col("hash").alias(f"h{x}"), F.col("set").alias(x),
+                          F.col("words").alias(f"w{x}")) for x in "ab"]
+    checked = pairs.join(sides[0], ["pa", "ha"]).join(sides[1], ["pb", "hb"]).withColumn(
         "common", F.size(F.array_intersect("wa", "wb")))
-    return checked.where(F.col("common") * (top + bottom) >= (F.size("wa") + F.size("wb")) * top).select(
-        "a1", "a2", "a", "b1", "b2", "b")
+    return checked.where(F.col("common") * (top + bottom) >= (F.size("wa") + F.size("wb")) * top).select("a", "b")
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", size: str | None = "n_chars",
