@@ -109,6 +109,8 @@ def _near_sets(sets: DataFrame, source: DataFrame, threshold: tuple[int, int]) -
     top, bottom = threshold
     spread = sets.select("parity", "hash", "n", F.posexplode("prefix").alias("at", "word")).select(
         "word", "parity", "hash", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("at")).alias("rest"))
+    # Stated for both sides alike, so that they are one exchange.
+    spread = spread.where("parity is not null and hash is not null and word is not null and rest is not null")
     a, b = (spread.select("word", F.col("parity").alias(f"p{x}"), F.col("hash").alias(f"h{x}"), F.col("rest").alias(f"r{x}")) for x in "ab")
     na, nb = (F.shiftright(r, 32).cast("int") for r in ("ra", "rb"))
     ia, ib = (F.col(r).bitwiseAND(0xFFFFFFFF).cast("int") for r in ("ra", "rb"))
