@@ -120,14 +120,14 @@ def test_line_dedup_agrees_with_all_pairs(make):
     assert sum(map(len, found.values())) > 40
 
 
-def test_line_dedup_of_odd_rows(odd, none):
+def test_line_dedup_of_odd_rows(odd, none, make):
     found = {r["id"]: (r["n_lines"], r["removed"]) for r in linededup.removed_lines(odd).collect() if r["id"] is not None}
     assert found[2] == (2, [0, 1]) and found[8] == (1, [0]) and found[10] == (1, [0]) and found[3] == (1, []) and found[5] == (3, [])
     kept = linededup.deduplicate(odd)
     assert kept.columns == odd.columns
     rows = kept.collect()
     assert sorted(r["doc_id"] for r in rows if r["doc_id"] is not None) == [1, 3, 4, 5, 6, 7, 9, 11]
-    one = linededup.deduplicate(odd.where("doc_id in (1, 11)").replace("Ünïcödé 漢字 \U0001F600 é   x", ODD[0][1] + "\nnew line")).collect()
+    one = linededup.deduplicate(make([(1, ODD[0][1], "en"), (11, ODD[0][1] + "\nnew line", "en")])).collect()
     two = next(r for r in one if r["doc_id"] == 11)
     assert two["text"] == "new line" and two["n_chars"] == 8
     assert linededup.removed_lines(none).count() == linededup.deduplicate(none).count() == 0
