@@ -20,6 +20,16 @@ DATE_PATTERNS = [
 ]
 
 
+# What a strict parse takes: extended or basic dates and times, T or one blank between, a fraction, an offset.
+ISO_PATTERN = (
+    r"^\d{4}(-\d{2}(-\d{2})?|\d{2}\d{2}|\d{2})?"
+    r"([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?|\d{2}(\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+)
+# What a tolerant reading takes as well: fields of one digit.
+_LOOSE_ISO = r"^\d{4}(-\d{1,2}(-\d{1,2}([T ]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?)?)?)?$"
+_OFFSET = r"(?<=:\d{1,2}(\.\d{1,9})?)(Z|[+-]\d{2}(:?\d{2})?)$"
+
+
 def parse_iso(column: Column, on_error: str = "raise") -> Column:
     """ISO-8601 text to timestamp; the basic form (``20240102T0304``) takes a second attempt."""
     if on_error not in ("raise", "null"):
@@ -27,9 +37,8 @@ def parse_iso(column: Column, on_error: str = "raise") -> Column:
     full = F.regexp_replace(column, r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3")
     full = F.regexp_replace(full, r"[T ](\d{2})(\d{2})(\d{2})?(?![\d:])", "T$1:$2:$3")
     full = F.regexp_replace(full, r"(T\d{2}:\d{2}):?(?![\d:])", "$1:00")
-    # A time without a date would be cast to that time today.
-    dated = ~F.instr(column, ":").between(1, 4)
-    parsed = F.when(dated, F.coalesce(column.try_cast("timestamp"), full.try_cast("timestamp")))
+    # The pattern keeps out what a cast also takes: blanks around, zone names, a time without a date.
+    parsed = F.when(column.rlike(ISO_PATTERN), F.coalesce(column.try_cast("timestamp"), full.try_cast("timestamp")))
     if on_error == "null":
         return parsed
     bad = F.raise_error(F.concat(F.lit("not an ISO-8601 timestamp: "), column)).cast("timestamp")
@@ -50,7 +59,13 @@ def strftime_to_pattern(fmt: str) -> str:
 
 
 def parse_any(column: Column, patterns: list[str] | None = None) -> Column:
-    """The first pattern of the list that fits; null when none does."""
-    text = column.cast("string")
+    """The ISO reading, else the first pattern of the list that fits; null when none does.
+
+    Blanks around are ignored. An offset is read over: the result is the time as written. Given patterns are tried alone.
+    """
+    text = F.trim(column.cast("string"))
     tries = [F.try_to_timestamp(text, F.lit(p)) for p in (patterns or DATE_PATTERNS)]
-    return F.coalesce(*tries)
+    if patterns:
+        return F.coalesce(*tries)
+    local = F.regexp_replace(text, _OFFSET, "")
+    return F.coalesce(F.when(local.rlike(_LOOSE_ISO), local.try_cast("timestamp")), *tries)

@@ -23,7 +23,7 @@ def _digest(key: list[str], seed: int) -> Column:
 def train_test_split(df: DataFrame, key: list[str], test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """Add ``split``: exactly ceil(n · test_size) rows are "test", the ones with the smallest md5(seed|key).
 
-    ``key`` must be unique. The cut-off digest is a scalar subquery: bucket
+    ``key`` must be unique; a key repeated at the cut-off raises, as the size would be wrong. The cut-off digest is a scalar subquery: bucket
     counts by digest prefix give the bucket it falls in, and only that bucket
     (n / 65,536 rows, digests being uniform) is ranked. Rows are never shuffled.
     """
@@ -40,9 +40,11 @@ def train_test_split(df: DataFrame, key: list[str], test_size: float = 0.2, seed
         F.struct(F.first("bucket").alias("bucket"), F.first(F.col("upto") - F.col("n")).alias("before")).alias("cut")
     ).scalar()
     in_bucket = digests.filter(prefix == cut.getField("bucket"))
-    ranked = in_bucket.withColumn("rank", F.row_number().over(Window.partitionBy(prefix).orderBy("digest")))
+    order = Window.partitionBy(prefix).orderBy("digest")
+    ranked = in_bucket.withColumns({"rank": F.row_number().over(order), "next": F.lead("digest").over(order)})
     edge = ranked.filter(F.col("rank") + cut.getField("before") == wanted)
-    last = edge.agg(F.max("digest").alias("last")).scalar()
+    repeated = F.raise_error(F.lit("train_test_split: the key is not unique")).cast("string")
+    last = edge.agg(F.max(F.when(F.col("next") == F.col("digest"), repeated).otherwise(F.col("digest"))).alias("last")).scalar()
     is_test = F.coalesce(_digest(key, seed) <= last, F.lit(False))
     return df.withColumn("split", F.when(is_test, "test").otherwise("train"))
 

@@ -24,8 +24,12 @@ def extract_readings(lines: DataFrame, line: str = "line", date: str = "Date") -
 def pivot_stations(readings: DataFrame, stations: list[str] | None = None) -> DataFrame:
     """One row per Date, one column per station; two readings for the same pair raise.
 
-    Give ``stations`` (the metadata's) to save the job in which Spark lists them.
+    Give ``stations`` (the metadata's) to save the job in which Spark lists them; a reading of another station raises.
     """
+    if stations is not None:
+        unlisted = F.raise_error(F.concat(F.lit("station is not listed: "), F.col("Station"))).cast("string")
+        known = F.col("Station").isNull() | F.col("Station").isin(stations)
+        readings = readings.withColumn("Station", F.when(known, F.col("Station")).otherwise(unlisted))
     single = F.when(
         F.count(F.lit(1)) > 1, F.raise_error(F.lit("two readings for one date and station")).cast("double")
     ).otherwise(F.max("WaterLevel"))

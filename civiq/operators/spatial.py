@@ -138,25 +138,31 @@ def assign_polygons(
     grid = plan_grid(polygons, attributes, cell)
     cells = grid_cells(polygons, attributes, grid.cell)
     x, y = (without_nan(quoted(c).cast("double")) for c in (longitude, latitude))
-    located = points.withColumns({"gx": _index(x, grid.cell), "gy": _index(y, grid.cell), "px": x, "py": y, "nx": -x})
-    keys = ["gx", "gy"]
+    # Names of our own that no column of the points has.
+    own = "_"
+    while any(c.lower().startswith(own) for c in points.columns):
+        own += "_"
+    gx, gy, px, py, nx, salt, near, found = (own + n for n in ("gx", "gy", "px", "py", "nx", "salt", "candidates", "hit"))
+    cells = cells.withColumnsRenamed({"gx": gx, "gy": gy, "candidates": near})
+    located = points.withColumns({gx: _index(x, grid.cell), gy: _index(y, grid.cell), px: x, py: y, nx: -x})
+    keys = [gx, gy]
     if grid.bytes <= broadcast_bytes:
         cells = F.broadcast(cells)
     else:
-        located = located.withColumn("salt", F.pmod(F.xxhash64(*[quoted(c) for c in points.columns]), F.lit(salts)))
-        cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))).hint("merge")
-        keys.append("salt")
+        located = located.withColumn(salt, F.pmod(F.xxhash64(*[quoted(c) for c in points.columns]), F.lit(salts)))
+        cells = cells.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))).hint("merge")
+        keys.append(salt)
 
     def holds(c: Column) -> Column:
-        y = F.col("py")
-        return c.whole | F.when(c.flip, strictly_inside(F.col("nx"), y, c.edges)).otherwise(strictly_inside(F.col("px"), y, c.edges))
+        y = F.col(py)
+        return c.whole | F.when(c.flip, strictly_inside(F.col(nx), y, c.edges)).otherwise(strictly_inside(F.col(px), y, c.edges))
 
-    inside = F.filter("candidates", holds)
-    hit = located.join(cells, keys, "left").withColumn("hit", F.get(inside, F.lit(0)))
+    inside = F.filter(near, holds)
+    hit = located.join(cells, keys, "left").withColumn(found, F.get(inside, F.lit(0)))
     return hit.select(
         *[quoted(c) for c in points.columns],
-        F.col("hit.poly_id").alias("poly_id"),
-        *[F.col("hit.attributes").getField(a).alias(a) for a in attributes],
+        F.col(found)["poly_id"].alias("poly_id"),
+        *[F.col(found)["attributes"].getField(a).alias(a) for a in attributes],
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -18,14 +19,13 @@ from civiq.operators.stats import (
 )
 from civiq.operators.tags import explode_tags
 from civiq.operators.tickets import (
-    add_date_parts, add_status_flag, add_upper_name, cast_first_timestamp, cast_lat_lon, parse_timestamps, split_coordinates,
+    add_date_parts, add_status_flag, add_upper_name, cast_first_timestamp, cast_lat_lon, coordinate_rejects, parse_timestamps,
+    split_coordinates,
 )
 from civiq.schemas import UNUSED_TICKET_COLUMNS
 from civiq.sources.rain_text import read_reports
-from civiq.sources.stations import parse_station_arrays, station_metadata
-from civiq.sources.tables import read_csv, read_csv_text, write_csv, write_parquet
-
-_PROFILED_COLUMNS = 20  # the printed report covers the first 20 columns
+from civiq.sources.stations import parse_station_arrays, station_metadata, unreadable_station_texts
+from civiq.sources.tables import read_csv, read_csv_text, reject_open_quotes, write_csv, write_parquet
 
 
 @dataclass
@@ -40,15 +40,14 @@ class Profile:
 
 
 def _watched(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    columns = df.columns[:_PROFILED_COLUMNS]
-    metrics = [m.alias(f"n{i}") for i, m in enumerate(null_count_exprs(df, columns))]
+    metrics = [m.alias(f"n{i}") for i, m in enumerate(null_count_exprs(df, df.columns))]
     watch = Observation(name)
     return df.observe(watch, F.count(F.lit(1)).alias("rows"), *metrics), watch
 
 
 def _profile(df: DataFrame, watch: Observation, top: list, sample: list) -> Profile:
     seen = watch.get
-    nulls = {c: seen[f"n{i}"] for i, c in enumerate(df.columns[:_PROFILED_COLUMNS])}
+    nulls = {c: seen[f"n{i}"] for i, c in enumerate(df.columns)}
     return Profile(df.schema.simpleString(), seen["rows"], nulls, [(r["category"], r["count"]) for r in top], sample)
 
 
@@ -94,28 +93,43 @@ def generic_transform(df: DataFrame) -> DataFrame:
 def generic_etl(
     spark: SparkSession, source: str, target: str, mode: str = "overwrite", multiline: bool = False
 ) -> None:
-    """CSV with inferred types → transform → Parquet."""
+    """CSV with inferred types → transform → Parquet.
+
+    Without ``multiline`` a quoted line break would tear a record apart, so the file is searched for one first, and it raises.
+    """
+    if not multiline:
+        reject_open_quotes(spark, source)
     write_parquet(generic_transform(read_csv(spark, source, multiline=multiline)), target, mode)
 
 
+class CleanTickets(NamedTuple):
+    """The cleaned tickets, and those whose coordinates have too many parts."""
+
+    tickets: DataFrame
+    rejects: DataFrame
+
+
 def clean_tickets(
     raw: DataFrame, boundaries: DataFrame, check: DataFrame | None = None, check_order: str = "seq",
     start: int = 2022, stop: int = 2024, explode: bool = False, **grid,
-) -> DataFrame:
+) -> CleanTickets:
     """Tickets with complete fields, typed times and coordinates, of the wanted years and province,
     whose coordinates agree with their address, and with at least one tag.
 
-    One lazy plan; the tickets are not shuffled while the boundaries fit a broadcast.
+    Complete tickets of the wanted years whose coordinates have more than two parts are the rejects.
+    Calling this sizes the grid, which reads the boundaries; the tickets are read by the results alone, and
+    are not shuffled while the boundaries fit a broadcast.
     """
     typed = parse_timestamps(drop_incomplete(raw))
     # The year range comes first: it needs nothing but the timestamp and shrinks the rest.
-    parts = split_coordinates(add_date_parts(keep_years(typed, start, stop)))
+    timely = add_date_parts(keep_years(typed, start, stop))
+    parts = split_coordinates(timely)
     local = keep_province(drop_columns(parts, UNUSED_TICKET_COLUMNS))
     if "epsg" in boundaries.columns:
         boundaries = to_lonlat(boundaries)
     verified = verify_addresses(local, repair_boundaries(boundaries, check, check_order), **grid)
     tagged = keep_not_equal(verified, "type", "{}")
-    return explode_tags(tagged) if explode else tagged
+    return CleanTickets(explode_tags(tagged) if explode else tagged, coordinate_rejects(timely))
 
 
 def rain_history(spark: SparkSession, source: str, target: str | None = None, stations: list[str] | None = None) -> DataFrame:
@@ -126,12 +140,12 @@ def rain_history(spark: SparkSession, source: str, target: str | None = None, st
     return wide
 
 
-def station_table(texts: DataFrame, column: str, target: str | None = None) -> DataFrame:
-    """Array literals to the station metadata table, written as CSV if asked."""
+def station_table(texts: DataFrame, column: str, target: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Array literals to the station metadata table, written as CSV if asked; and the texts that cannot be read."""
     table = station_metadata(parse_station_arrays(texts, column))
     if target:
         write_csv(table, target)
-    return table
+    return table, unreadable_station_texts(texts, column)
 
 
 @dataclass

@@ -50,7 +50,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 def _remove(spark: SparkSession) -> None:
     """Delete the scratch paths while the session still lives; one that has ended leaves them to its owner."""
-    jvm, context = spark._jvm, spark.sparkContext._jsc
+    jvm, context = getattr(spark, "_jvm", None), getattr(getattr(spark, "sparkContext", None), "_jsc", None)
     if jvm is None or context is None or context.sc().isStopped():
         return
     for path in _made:

@@ -23,6 +23,7 @@ def read_boundaries(
     ``layout`` is ``"collection"`` for a FeatureCollection document or
     ``"lines"`` for one feature per line, which splits over tasks. ``poly_id``
     is the property ``index`` as a number, else (collection only) the position in the document.
+    A feature without a geometry has null edges; one that is no polygon raises.
     """
     if layout == "collection":
         documents = spark.read.schema(_COLLECTION).option("multiLine", True).json(path)
@@ -40,6 +41,8 @@ def read_boundaries(
     rings = (
         F.when(F.col("geometry.type") == "Polygon", F.from_json(coordinates, _POLYGON))
         .when(F.col("geometry.type") == "MultiPolygon", F.flatten(F.from_json(coordinates, f"array<{_POLYGON}>")))
+        .when(F.col("geometry.type").isNotNull(), F.raise_error(
+            F.concat(F.lit("a boundary cannot be a "), F.col("geometry.type"))).cast(_POLYGON))
     )
     named = F.regexp_extract("crs.properties.name", r"EPSG:+(\d+)", 1)
     key = F.col("properties")[index].cast("bigint") if index else F.col("position").cast("bigint")

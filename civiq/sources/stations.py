@@ -11,14 +11,17 @@ from civiq.schemas import STATION_FIELDS, STATION_METADATA_FIELDS
 _NUMBERS = ("Latitude", "Longitude")
 
 
+def _fits(record):
+    return F.size(record) <= len(STATION_FIELDS)
+
+
 def parse_station_arrays(texts: DataFrame, column: str) -> DataFrame:
-    """A row per 18-element record of each text, with named columns.
+    """A row per record of each text, with 18 named columns; what a shorter record lacks is null.
 
-    A text that is no nested array, or has a record of another length, gives no
-    rows; ``unreadable_station_texts`` lists those.
+    A text that is no nested array, or has a longer record, gives no rows; ``unreadable_station_texts`` lists those.
     """
     records = F.from_json(quoted(column), "array<array<string>>", {"allowSingleQuotes": "true"})
-    good = F.when(F.forall(records, lambda r: F.size(r) == len(STATION_FIELDS)), records)
+    good = F.when(F.forall(records, _fits), records)
     exploded = texts.select(F.explode(good).alias("r"))
     return exploded.select(*[
         (F.get("r", F.lit(i)).try_cast("double") if name in _NUMBERS else F.get("r", F.lit(i))).alias(name)
@@ -28,7 +31,7 @@ def parse_station_arrays(texts: DataFrame, column: str) -> DataFrame:
 
 def unreadable_station_texts(texts: DataFrame, column: str) -> DataFrame:
     records = F.from_json(quoted(column), "array<array<string>>", {"allowSingleQuotes": "true"})
-    good = F.coalesce(F.forall(records, lambda r: F.size(r) == len(STATION_FIELDS)), F.lit(False))
+    good = F.coalesce(F.forall(records, _fits), F.lit(False))
     return texts.filter(~good)
 
 

@@ -30,20 +30,40 @@ def read_csv_text(
 
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None,
-    multiline: bool = True, na_tokens: list[str] | None = None,
+    multiline: bool = True, na_tokens: list[str] | None = None, on_error: str = "raise",
 ) -> DataFrame:
     """A CSV with missing-value tokens nulled and types taken from ``schema``, else inferred.
 
+    A value that doesn't fit the schema raises, or is null with ``on_error="null"``.
+
     Inference reads the file once more: one aggregate, one row back to the driver.
     """
     text = read_csv_text(spark, path, multiline=multiline)
     tokens = NA_TOKENS if na_tokens is None else na_tokens
     text = text.select(*[F.when(~quoted(c).isin(tokens), quoted(c)).alias(c) for c in text.columns])
     if schema:
-        return text.select(*[quoted(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+        return text.select(*[_typed(f, on_error).alias(f.name) for f in schema.fields])
     return infer_types(text)
 
 
+def _typed(field: T.StructField, on_error: str) -> Column:
+    if on_error not in ("raise", "null"):
+        raise ValueError("on_error must be 'raise' or 'null'")
+    value = quoted(field.name).try_cast(field.dataType)
+    if on_error == "null":
+        return value
+    bad = F.raise_error(F.concat(F.lit(f"column {field.name} cannot hold: "), quoted(field.name))).cast(field.dataType)
+    return F.when(quoted(field.name).isNotNull(), F.coalesce(value, bad))
+
+
+def reject_open_quotes(spark: SparkSession, path: str) -> None:
+    """Raise if a line of the file ends inside quotes: such records need ``multiline=True``."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
+    torn = spark.read.text(path).filter(quotes % 2 == 1).first()
+    if torn:
+        raise ValueError(f"a quoted value holds a line break, read with multiline=True: {torn['value'][:80]!r}")
+
+
 def infer_types(df: DataFrame) -> DataFrame:
     """Cast string columns that hold only integers, numbers or booleans; a column without values is double."""
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]

@@ -117,6 +117,10 @@ def test_parse_iso_forms(spark):
     ]
     with pytest.raises(Exception, match="not an ISO-8601"):
         evaluate(spark, ["02/01/2024"], parse_iso(F.col("v")))
+    for loose in ("2024-01-05 10:00:00 Asia/Bangkok", " 2024-01-05 ", "2024-1-5"):
+        assert evaluate(spark, [loose], parse_iso(F.col("v"), "null")) == [None]
+        with pytest.raises(Exception, match="not an ISO"):
+            evaluate(spark, [loose], parse_iso(F.col("v")))
     assert evaluate(spark, ["02/01/2024", "10:20", "T10:20:30", "x"], parse_iso(F.col("v"), "null")) == [None] * 4
 
 

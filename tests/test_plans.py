@@ -35,7 +35,7 @@ def above(plan: str, line: str) -> list[str]:
 def test_tickets_are_not_shuffled_while_they_are_cleaned(spark, tmp_path):
     view(spark, SF, "tickets").write.parquet(str(tmp_path / "raw_tickets"))
     raw = spark.read.parquet(str(tmp_path / "raw_tickets"))
-    clean = clean_tickets(raw, polygons(view(spark, SF, "boundaries")), view(spark, SF, "checks"))
+    clean = clean_tickets(raw, polygons(view(spark, SF, "boundaries")), view(spark, SF, "checks")).tickets
     plan = plan_of(clean)
     path = above(plan, ticket_scan(plan))
     assert any("BroadcastHashJoin" in op for op in path)
@@ -45,7 +45,7 @@ def test_tickets_are_not_shuffled_while_they_are_cleaned(spark, tmp_path):
 def test_tickets_scan_filters_early_and_reads_no_unused_column(spark, tmp_path):
     view(spark, SF, "tickets").write.parquet(str(tmp_path / "raw_tickets"))
     raw = spark.read.parquet(str(tmp_path / "raw_tickets"))
-    clean = clean_tickets(raw, polygons(view(spark, SF, "boundaries")), view(spark, SF, "checks"))
+    clean = clean_tickets(raw, polygons(view(spark, SF, "boundaries")), view(spark, SF, "checks")).tickets
     plan = plan_of(clean)
     scan = ticket_scan(plan)
     columns = scan[:scan.index("]")]

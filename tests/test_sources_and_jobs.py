@@ -2,13 +2,14 @@ import datetime
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from civiq.operators.columns import order_columns, union_by_name
 from civiq.operators.rain import date_series, extract_readings, pivot_stations, request_plan
-from civiq.plans.jobs import clean_tickets, explore, generic_etl, rain_history, station_table, ticket_etl
+from civiq.plans.jobs import clean_tickets, explore, generic_etl, profile_table, rain_history, station_table, ticket_etl
 from civiq.schemas import STATION_FIELDS, TICKET_SCHEMA
 from civiq.session import scratch_dir
+from civiq.sources.boundaries import read_boundaries
 from civiq.sources.landing import lookup_pages, parse_bodies, request_url
 from civiq.sources.rain_text import read_reports
 from civiq.sources.stations import parse_station_arrays, unreadable_station_texts
@@ -78,9 +79,9 @@ def test_scratch_folder_follows_the_cluster_setting():
     assert scratch_dir(FakeSession(spark_checkpoint_dir="hdfs://shared/x/", spark_master="yarn"), "s").startswith("hdfs://shared/x/s-")
     with pytest.raises(RuntimeError):
         scratch_dir(FakeSession(spark_master="yarn"), "s")
-    local = FakeSession(spark_master="local[8]")
+    local = FakeSession(spark_master="local[8]", spark_sql_warehouse_dir="/w")
     first, second = scratch_dir(local, "s"), scratch_dir(local, "s")
-    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    assert first != second and first.startswith("/w/s-") and second.startswith("/w/s-")
 
 
 REPORTS = {
@@ -123,6 +124,44 @@ def test_pivot_refuses_two_readings(spark):
         pivot_stations(readings, ["s"]).collect()
 
 
+def test_pivot_refuses_unlisted_stations(spark):
+    readings = spark.createDataFrame([("d", "A", 1.0), ("d", "B", 1.0)], "Date string, Station string, WaterLevel double")
+    with pytest.raises(Exception, match="not listed: B"):
+        pivot_stations(readings, ["A"]).collect()
+    assert pivot_stations(readings, ["A", "B", "C"]).columns == ["Date", "A", "B", "C"]
+
+
+def test_profiles_cover_every_column(spark):
+    wide = spark.range(3).selectExpr(*[f"CASE WHEN id < {i % 3} THEN id END AS c{i}" for i in range(25)])
+    assert len(profile_table(wide).nulls) == 25 and profile_table(wide).nulls["c24"] == 3
+
+
+def test_typed_csv_raises_on_bad_values(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a\n1\nbad\n")
+    schema = T.StructType([T.StructField("a", T.IntegerType())])
+    with pytest.raises(Exception, match="cannot hold: bad"):
+        read_csv(spark, str(tmp_path / "t.csv"), schema).collect()
+    assert [r.a for r in read_csv(spark, str(tmp_path / "t.csv"), schema, on_error="null").collect()] == [1, None]
+
+
+def test_generic_job_refuses_torn_records(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('name,status,value\n"a\nb",active,1\n')
+    with pytest.raises(ValueError, match="line break"):
+        generic_etl(spark, str(tmp_path / "t.csv"), str(tmp_path / "out"))
+    generic_etl(spark, str(tmp_path / "t.csv"), str(tmp_path / "out"), multiline=True)
+    assert spark.read.parquet(str(tmp_path / "out")).first().name == "a\nb"
+
+
+def test_boundaries_refuse_other_geometry(spark, tmp_path):
+    (tmp_path / "b.json").write_text(
+        '{"properties": {"i": "1"}, "geometry": {"type": "GeometryCollection", "coordinates": []}}\n'
+        '{"properties": {"i": "2"}, "geometry": null}\n')
+    areas = read_boundaries(spark, str(tmp_path / "b.json"), [], layout="lines", index="i")
+    assert areas.filter("poly_id = 2").first().edges is None
+    with pytest.raises(Exception, match="cannot be a GeometryCollection"):
+        areas.collect()
+
+
 def test_date_series_and_request_plan(spark):
     bounds = spark.createDataFrame([(datetime.date(2021, 12, 30), datetime.date(2022, 1, 1))], "a date, b date")
     plan = request_plan(date_series(bounds, "a", "b"), note=F.lit("hello")).orderBy("datePick_now").collect()
@@ -142,9 +181,14 @@ def test_station_arrays(spark, tmp_path):
         [(f"\n[\n    {record(1)},\n\n    {record(2)}\n]\n",), ("[[1,2]]",), ("[[oops",), ("",), (None,)], "txt string"
     )
     stations = parse_station_arrays(texts, "txt")
-    assert stations.columns == STATION_FIELDS and stations.count() == 2
-    assert unreadable_station_texts(texts, "txt").count() == 4
-    table = station_table(texts, "txt", str(tmp_path / "s"))
+    assert stations.columns == STATION_FIELDS and stations.count() == 3
+    short = stations.filter("Latitude = 1").first()
+    assert short.Longitude == 2 and short.Timestamp is None
+    assert unreadable_station_texts(texts, "txt").count() == 3
+    table, unreadable = station_table(texts.filter("txt <> '[[1,2]]'"), "txt", str(tmp_path / "s"))
+    assert unreadable.count() == 2
+    longer = spark.createDataFrame([("[[" + ",".join(["'x'"] * 19) + "]]",)], "txt string")
+    assert parse_station_arrays(longer, "txt").count() == 0 and unreadable_station_texts(longer, "txt").count() == 1
     assert table.columns == ["StationCode", "StationName_Short", "DistrictName", "Latitude", "Longitude", "LastReadingTime", "DistrictCode_from_JS"]
     assert sorted(r.LastReadingTime for r in table.collect()) == ["Timestamp 1", "Timestamp 2"]
     assert read_csv(spark, str(tmp_path / "s")).first().Latitude == 13.70791
@@ -241,14 +285,15 @@ def test_clean_tickets_step_by_step(spark):
         "edges array<struct<x1: double, y1: double, x2: double, y2: double>>",
     )
     check = spark.createDataFrame([(1, "S", 9, "D", 1)], "scode int, sname string, dcode int, dname string, seq int")
-    clean = clean_tickets(raw, areas, check)
+    clean, rejects = clean_tickets(raw, areas, check)
+    assert [r.coords for r in rejects.collect()] == ["1,2,3"]
     assert sorted(r.ticket_id for r in clean.collect()) == ["T1", "T2"]
     row = clean.filter("ticket_id = 'T1'").first()
     assert (row.province, row.year_timestamp, row.month_timestamp, row.days_timestamp) == ("กรุงเทพมหานคร", 2022, 5, 31)
     assert (row.longitude, row.latitude) == (0.5, 0.5)
     assert not {"photo", "star", "poly_id", "SUBDISTR_1", "DISTRICT_N"} & set(clean.columns)
-    assert clean_tickets(raw, areas).count() == 0  # unrepaired names agree with no ticket
-    tags = clean_tickets(raw, areas, check, explode=True).filter("ticket_id = 'T1'").collect()
+    assert clean_tickets(raw, areas).tickets.count() == 0  # unrepaired names agree with no ticket
+    tags = clean_tickets(raw, areas, check, explode=True).tickets.filter("ticket_id = 'T1'").collect()
     assert sorted(r.type_list for r in tags) == ["ถนน", "น้ำท่วม"]
 
 

@@ -190,3 +190,11 @@ def test_geojson_collection(spark, tmp_path):
     assert (line.poly_id, line.epsg, len(line.edges)) == (7, 4326, 8)
     with pytest.raises(ValueError):
         read_boundaries(spark, str(lines), ["n"], layout="lines")
+
+
+@pytest.mark.parametrize("limit", [128 << 20, 0])
+def test_columns_of_the_points_are_kept_whatever_their_names(spark, limit):
+    names = ["gx", "gy", "px", "py", "nx", "salt", "hit", "candidates", "_gx", "_salt"]
+    points = spark.createDataFrame([(0.5, 0.5, *names)], "longitude double, latitude double, " + ", ".join(f"{n} string" for n in names))
+    found = assign_polygons(points, polygon_table(spark, [box(0, 0, 1, 1)]), ["name"], broadcast_bytes=limit).first()
+    assert [found[n] for n in names] == names and found.poly_id == 0 and found.name == "p0"

@@ -127,6 +127,12 @@ def test_split_has_the_exact_size_and_repeats(spark, n, test_size):
         assert {r.id for r in other.filter("split = 'test'").collect()} != chosen
 
 
+def test_split_refuses_repeated_keys(spark):
+    df = spark.range(100).selectExpr("id % 3 AS k", "id AS v")
+    with pytest.raises(Exception, match="not unique"):
+        train_test_split(df, ["k"]).collect()
+
+
 def test_scaling_is_fitted_on_the_training_rows(spark):
     df = spark.createDataFrame([(1.0, 5.0, "train"), (3.0, 5.0, "train"), (9.0, 6.0, "test"), (float("nan"), 5.0, "test")], "a double, b double, split string")
     rows = {tuple(r) for r in standard_scale(df, ["a", "b"]).collect()}

@@ -101,6 +101,13 @@ def test_cast_lat_lon_needs_both(spark):
     assert cast_lat_lon(df.select("latitude")).schema["latitude"].dataType.typeName() == "string"
 
 
+def test_normalize_dates_reads_iso_first(spark):
+    texts = ["2024-01-05T10:00:00Z", "2024-01-05T23:30:00.123+07:00", " 2024-01-05 ", "2024-1-5", "2024", "2024-01-05T1:2:3", "2024-13-05", "5"]
+    df = spark.createDataFrame([(t,) for t in texts], "d string")
+    want = ["2024-01-05 10:00", "2024-01-05 23:30", "2024-01-05 00:00", "2024-01-05 00:00", "2024-01-01 00:00", "2024-01-05 01:02", None, None]
+    assert [r.d for r in normalize_dates(df, ["d"], "%Y-%m-%d %H:%M").collect()] == want
+
+
 def test_normalize_dates(spark):
     df = spark.createDataFrame([("2024-01-02",), ("13/02/2024",), ("02/03/2024",), ("x",), (None,)], "d string")
     assert rows(normalize_dates(df, ["d", "none"])) == [("2024-01-02",), ("2024-02-03",), ("2024-02-13",), (None,), (None,)]

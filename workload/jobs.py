@@ -12,7 +12,7 @@ from civiq.sources.tables import read_csv, read_parquet, write_csv
 from civiq.streaming.ingest import ingest_rain_reports
 from workload.analytics import REPAIRED, STATIONS, pivot_sql, plain_names
 from workload.registry import register
-from workload.rows import COORDS, DUCK_TAGS
+from workload.rows import COORDS, DUCK_TAGS, TICKETS
 from workload.sources import land_reports
 from workload.views import duck, polygons, table, view
 
@@ -59,7 +59,7 @@ _CLEAN = f"""
 @register("e3_clean_tickets", f"""
     SELECT ticket_id, type, 'กรุงเทพมหานคร' AS province, district, subdistrict, y, longitude, latitude FROM {_CLEAN}""")
 def e3(spark, sf):
-    clean = clean_tickets(view(spark, sf, "tickets"), polygons(view(spark, sf, "boundaries")), view(spark, sf, "checks"))
+    clean = clean_tickets(view(spark, sf, "tickets"), polygons(view(spark, sf, "boundaries")), view(spark, sf, "checks")).tickets
     return clean.select(
         "ticket_id", "type", "province", "district", "subdistrict", F.col("year_timestamp").cast("bigint").alias("y"),
         "longitude", "latitude",
@@ -71,7 +71,7 @@ def e3(spark, sf):
 def e3_exploded(spark, sf):
     clean = clean_tickets(
         view(spark, sf, "tickets"), polygons(view(spark, sf, "boundaries")), view(spark, sf, "checks"), explode=True
-    )
+    ).tickets
     return clean.select("ticket_id", "type_list")
 
 
@@ -105,6 +105,48 @@ def e5(spark, sf):
     return read_csv(spark, target, multiline=False)
 
 
+@register("s10_unreadable", f"SELECT s_suppkey FROM {duck('station_texts')} WHERE txt LIKE '[[broken%'")
+def s10_unreadable(spark, sf):
+    return station_table(view(spark, sf, "station_texts"), "txt")[1].select("s_suppkey")
+
+
+@register("e3_rejects", f"""
+    SELECT ticket_id, coords FROM {TICKETS}
+    WHERE coords LIKE '%,%,%' AND CAST(substr("timestamp", 1, 4) AS BIGINT) BETWEEN 2022 AND 2024 AND ticket_id IS NOT NULL
+      AND type IS NOT NULL AND organization IS NOT NULL AND "timestamp" IS NOT NULL AND last_activity IS NOT NULL""")
+def e3_rejects(spark, sf):
+    found = clean_tickets(view(spark, sf, "tickets"), polygons(view(spark, sf, "boundaries")), view(spark, sf, "checks"))
+    return found.rejects.select("ticket_id", "coords")
+
+
+@register("e1_profile", f"""
+    WITH raw AS (
+      SELECT event_id, event_type, CASE WHEN event_id % 8 <> 3 THEN ts END AS ts, CASE WHEN event_id % 6 <> 1 THEN value END AS value,
+             user_id FROM events),
+    landed AS (SELECT *, unnest(CASE WHEN event_id % 3 = 0 THEN [1, 2] ELSE [1] END) AS copy FROM raw),
+    cleaned AS (SELECT DISTINCT event_id, event_type, ts, value, user_id FROM raw)
+    SELECT 'before' AS part, count(*) AS n_rows, count(*) - count(event_type) AS no_type, 0 AS no_time, 0 AS no_lat,
+           count(*) - count(user_id) AS no_lon FROM landed
+    UNION ALL
+    SELECT 'after', count(*), count(*) - count(event_type), count(*) - count(ts), count(*) - count(value),
+           count(*) - count(user_id) FROM cleaned""")
+def e1_profile(spark, sf):
+    """Both profiles of the ticket job: rows and nulls before and after."""
+    raw = table(spark, sf, "events").selectExpr(
+        "event_id AS `Event-ID`", "event_type AS `Event Type`",
+        "CASE WHEN event_id % 8 = 3 THEN 'then' ELSE date_format(ts, 'yyyy-MM-dd HH:mm:ss') END AS `Time Stamp`",
+        "CASE WHEN event_id % 6 = 1 THEN 'here' ELSE CAST(value AS STRING) END AS ` Lat `", "user_id AS `Lon.`",
+    )
+    copies = F.when(F.col("Event-ID") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    source, target = scratch_dir(spark, "e1p-in"), scratch_dir(spark, "e1p-out")
+    write_csv(raw.withColumn("copy", F.explode(copies)).drop("copy"), source)
+    rows = []
+    for part, profile in zip(("before", "after"), ticket_etl(spark, source, target, multiline=False)):
+        nulls = list(profile.nulls.values())
+        rows.append((part, profile.rows, *nulls[1:]))
+    return spark.createDataFrame(rows, "part string, n_rows long, no_type long, no_time long, no_lat long, no_lon long")
+
+
 _FRAME = """
     (SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN o_custkey END AS cust, o_totalprice AS price, o_orderkey % 2 AS target FROM orders)"""
 
