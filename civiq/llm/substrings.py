@@ -149,8 +149,8 @@ class _Shard:
         spelled = "".join([letters.setdefault(w, chr(len(letters) + 1)) for w in phrase.split(" ")])
         self.automaton.add_word(spelled, first)
 
-    def find(self, words: str, own: int) -> list[int]:
-        """Starts of windows in the words that a document with a smaller key has."""
+    def find(self, words: str) -> list[tuple[int, int]]:
+        """Where phrases start in the words, each with the least key that has it."""
         if not len(self.automaton):
             return []
         if not self.made:
@@ -158,7 +158,7 @@ class _Shard:
             self.made = True
         get = self.letters.get
         spelled = "".join([get(w, "\0") for w in words.split(" ")])
-        return [end - WINDOW + 1 for end, first in self.automaton.iter(spelled) if first < own]
+        return [(end - WINDOW + 1, first) for end, first in self.automaton.iter(spelled)]
 
 
 def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,31 +167,36 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Kind 0 is a phrase confirmed elsewhere, with the least key that has it; kind 1 a segment. A shard's segments are held
     until all are there, since any two of them may confirm a phrase.
     """
-    now, ready, held = None, {}, []
+    now, ready, held = None, {}, {}
     for batch in batches:
         for number, kind, own, digest, start, words in zip(*(c.to_pylist() for c in batch.columns)):
             if number != now:
                 if held:
                     yield _located(ready, held)
-                now, ready, held = number, {}, []
+                now, ready, held = number, {}, {}
             if kind == 0:
                 ready[words] = own
             else:
-                held.append((own, digest, start, words))
+                held.setdefault(words, []).append((own, digest, start))
     if held:
         yield _located(ready, held)
 
 
-def _located(ready: dict[str, int], held: list[tuple]) -> pa.RecordBatch:
-    """Confirm what two documents of the shard share, compile it with what is ready, and run it over the segments."""
+def _located(ready: dict[str, int], held: dict[str, list[tuple]]) -> pa.RecordBatch:
+    """Confirm what two documents of the shard share, compile it with what is ready, and run it over the segments.
+
+    ``held`` has each different segment once, with (key, digest, start) of all places that have it.
+    """
     first: dict[str, int] = {}
     shared = set()
-    for own, _, _, text in held:
+    for text, places in held.items():
+        own = min(p[0] for p in places)
+        several = any(p[0] != own for p in places)
         words = text.split(" ")
         for a in range(len(words) - WINDOW + 1):
             phrase = " ".join(words[a:a + WINDOW])
             known = first.setdefault(phrase, own)
-            if known != own:
+            if several or known != own:
                 shared.add(phrase)
                 first[phrase] = min(known, own)
     shard = _Shard()
@@ -199,7 +204,12 @@ def _located(ready: dict[str, int], held: list[tuple]) -> pa.RecordBatch:
         shard.add(phrase, min(first[phrase], ready.pop(phrase, first[phrase])))
     for phrase, own in ready.items():
         shard.add(phrase, own)
-    rows = [(own, digest, [start + f for f in found]) for own, digest, start, words in held if (found := shard.find(words, own))]
+    rows = []
+    for text, places in held.items():
+        if found := shard.find(text):
+            for own, digest, start in places:
+                if starts := [start + at for at, least in found if least < own]:
+                    rows.append((own, digest, starts))
     return pa.RecordBatch.from_arrays(
         [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
          pa.array([r[2] for r in rows], pa.list_(pa.int32()))], ["id", "digest", "starts"])
