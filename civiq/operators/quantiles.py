@@ -3,7 +3,8 @@
 The built-in exact ``percentile`` keeps every distinct value of a group in one
 buffer, and approximate sketches are merged one by one in a single task. Here
 counts narrow the place of each wanted rank: first by magnitude, then by equal
-slices of the magnitude found, and only what is left is ranked value by value.
+slices of the magnitude found, again and again while many different values are
+left in one of them, and only what is left is ranked value by value.
 """
 
 from __future__ import annotations
@@ -14,19 +15,25 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _PER_FOLD = 16   # magnitude classes per factor e
 _SLICES = 4096   # equal-width slices of a bracket
+_CROWD = 200_000  # rows of different values that may be ranked in one place
 _PLACE = ["column", "region", "slice"]
 
 
 def exact_quantiles(long: DataFrame, probs: Sequence[float]) -> DataFrame:
     """(column, prob, value) with linear interpolation, from a long frame (column, x) without nulls.
 
-    Three scans, each ending in a small aggregate that is combined before its
-    shuffle. A bracket is the range of the counted places that hold the wanted
-    ranks, so it cannot miss them, whatever the distribution.
+    Two scans when called and one when used, normally, each ending in a small
+    aggregate that is combined before its shuffle. A bracket is the range of the
+    counted places that hold the wanted ranks, so it cannot miss them. Every
+    further scan narrows the brackets some thousandfold; it is made while a place
+    holds more than ``_CROWD`` rows that are not all equal. Brackets are a row a column.
     """
     probs = sorted(set(probs))
-    coarse = _brackets(_counted(_by_magnitude(long)), probs)
-    fine = _brackets(_counted(_by_slice(long, coarse, len(probs))), probs)
+    fine, _ = _known(_brackets(_counted(_by_magnitude(long)), probs))
+    while True:
+        fine, crowd = _known(_brackets(_counted(_by_slice(long, fine, len(probs))), probs))
+        if crowd <= _CROWD:
+            break
     placed = _by_slice(long, fine, len(probs)).withColumn("v", F.when(F.col("b") >= 0, F.col("x")))
     # Both uses of `ranked` read the same columns, so Spark reuses its shuffle.
     ranked = placed.groupBy(*_PLACE, "v").agg(F.count(F.lit(1)).alias("cnt"))
@@ -49,6 +56,13 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float]) -> DataFrame:
     return ends.groupBy("column", "prob").agg((low + (high - low) * F.max("weight")).alias("value"))
 
 
+def _known(brackets: DataFrame) -> tuple[DataFrame, int]:
+    """The brackets as a local table, and the most rows of different values in a wanted place."""
+    rows = brackets.collect()
+    table = brackets.sparkSession.createDataFrame([(r["column"], r["lows"], r["highs"]) for r in rows], brackets.drop("crowd").schema)
+    return table, max((r["crowd"] or 0 for r in rows), default=0)
+
+
 def _by_magnitude(long: DataFrame) -> DataFrame:
     """Places by sign and logarithm; (region, slice) never falls as x grows."""
     x = F.col("x")
@@ -94,14 +108,17 @@ def _running(places: DataFrame) -> DataFrame:
 
 
 def _brackets(places: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """(column, lows, highs): per probability the range of the places that hold its two ranks."""
+    """(column, lows, highs, crowd): per probability the range of the places that hold its two ranks."""
     running = _running(places)
-    lows, highs = [], []
+    lows, highs, wanted = [], [], F.lit(False)
     for p in probs:
         below, above, _ = _ranks(F.col("n"), p)
-        lows.append(F.max(F.when((below >= F.col("start")) & (below < F.col("end")), F.col("lo"))))
-        highs.append(F.max(F.when((above >= F.col("start")) & (above < F.col("end")), F.col("hi"))))
-    return running.groupBy("column").agg(F.array(*lows).alias("lows"), F.array(*highs).alias("highs"))
+        has_below, has_above = ((rank >= F.col("start")) & (rank < F.col("end")) for rank in (below, above))
+        lows.append(F.max(F.when(has_below, F.col("lo"))))
+        highs.append(F.max(F.when(has_above, F.col("hi"))))
+        wanted = wanted | has_below | has_above
+    crowd = F.max(F.when(wanted & (F.col("lo") < F.col("hi")), F.col("cnt")))
+    return running.groupBy("column").agg(F.array(*lows).alias("lows"), F.array(*highs).alias("highs"), crowd.alias("crowd"))
 
 
 def _ranks(n: Column, p: float) -> tuple[Column, Column, Column]:

@@ -7,6 +7,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from civiq.operators.features import prepare_features, standard_scale, train_test_split
+from civiq.operators import quantiles
 from civiq.operators.quantiles import exact_quantiles
 from civiq.operators.stats import correlation_matrix, histogram, null_counts, row_count, summary_stats, top_categories
 from conftest import plan_of
@@ -55,6 +56,21 @@ def test_quantiles_do_not_rank_a_whole_column(spark):
     assert "functions=[percentile(" not in plan and "CartesianProduct" not in plan and "Python" not in plan
 
 
+def test_quantiles_narrow_until_few_values_are_left(spark, monkeypatch):
+    crowds, known = [], quantiles._known
+
+    def watched(brackets):
+        table, crowd = known(brackets)
+        crowds.append(crowd)
+        return table, crowd
+
+    monkeypatch.setattr(quantiles, "_known", watched)
+    monkeypatch.setattr(quantiles, "_CROWD", 40)
+    rng = np.random.default_rng(1)
+    check_quantiles(spark, {"x": np.concatenate([1e9 + rng.random(20_000), [-1e300, 1e300, 5e-300], np.full(500, 1e9)])})
+    assert max(crowds) > 10_000 and crowds[-1] <= 40
+
+
 def test_summary_agrees_with_pandas(spark):
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"a": rng.normal(size=301), "b": rng.integers(0, 50, 301), "e": np.nan})
