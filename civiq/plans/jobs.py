@@ -23,9 +23,11 @@ from civiq.operators.tickets import (
     split_coordinates,
 )
 from civiq.schemas import UNUSED_TICKET_COLUMNS
+from civiq.session import scratch_dir
+from civiq.sources.boundaries import read_boundaries, read_check_file
 from civiq.sources.rain_text import read_reports
 from civiq.sources.stations import parse_station_arrays, station_metadata, unreadable_station_texts
-from civiq.sources.tables import read_csv, read_csv_text, reject_open_quotes, write_csv, write_parquet
+from civiq.sources.tables import read_csv, read_csv_text, read_parquet, reject_open_quotes, write_csv, write_parquet
 
 
 @dataclass
@@ -117,8 +119,8 @@ def clean_tickets(
     whose coordinates agree with their address, and with at least one tag.
 
     Complete tickets of the wanted years whose coordinates have more than two parts are the rejects.
-    Calling this sizes the grid, which reads the boundaries; the tickets are read by the results alone, and
-    are not shuffled while the boundaries fit a broadcast.
+    Calling this repairs and stores the boundaries and sizes their grid; the tickets are read by the results
+    alone, and are not shuffled while the boundaries fit a broadcast.
     """
     typed = parse_timestamps(drop_incomplete(raw))
     # The year range comes first: it needs nothing but the timestamp and shrinks the rest.
@@ -127,11 +129,28 @@ def clean_tickets(
     local = keep_province(drop_columns(parts, UNUSED_TICKET_COLUMNS))
     if "epsg" in boundaries.columns:
         boundaries = to_lonlat(boundaries)
-    verified = verify_addresses(local, repair_boundaries(boundaries, check, check_order), **grid)
+    areas = repair_boundaries(boundaries, check, check_order)
+    stored = scratch_dir(areas.sparkSession, "areas")
+    write_parquet(areas, stored)
+    verified = verify_addresses(local, read_parquet(areas.sparkSession, stored), **grid)
     tagged = keep_not_equal(verified, "type", "{}")
     return CleanTickets(explode_tags(tagged) if explode else tagged, coordinate_rejects(timely))
 
 
+AREA_PROPERTIES = ["SUBDISTR_1", "SUBDISTRIC", "DISTRICT_N", "DISTRICT_I"]
+
+
+def clean_tickets_from_files(
+    spark: SparkSession, tickets: str, boundaries: str, check: str | None = None, layout: str = "collection",
+    index: str | None = None, multiline: bool = True, **options,
+) -> CleanTickets:
+    """``clean_tickets`` from a CSV of tickets, a GeoJSON boundary file and a CSV check file; of several entries
+    for a code in the check file the last counts."""
+    areas = read_boundaries(spark, boundaries, AREA_PROPERTIES, layout, index)
+    known = read_check_file(spark, check) if check else None
+    return clean_tickets(read_csv_text(spark, tickets, multiline=multiline), areas, known, **options)
+
+
 def rain_history(spark: SparkSession, source: str, target: str | None = None, stations: list[str] | None = None) -> DataFrame:
     """Landed reports to one row per date and one column per station, written as CSV if asked."""
     wide = pivot_stations(extract_readings(read_reports(spark, source)), stations)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from civiq.functions.geometry import rings_to_edges
+from civiq.sources.tables import read_csv
 
 _POLYGON = "array<array<array<double>>>"
 _FEATURE = "properties map<string,string>, geometry struct<type: string, coordinates: string>"
@@ -53,3 +54,8 @@ def read_boundaries(
         rings_to_edges(rings).alias("edges"),
     )
 
+
+
+def read_check_file(spark: SparkSession, path: str, order: str = "seq") -> DataFrame:
+    """The name check table of one CSV file (scode, sname, dcode, dname), with the lines' order as ``order``."""
+    return read_csv(spark, path).withColumn(order, F.monotonically_increasing_id())

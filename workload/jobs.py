@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from civiq.operators.columns import union_by_name
 from civiq.operators.rain import pivot_stations
-from civiq.plans.jobs import clean_tickets, explore, generic_etl, rain_history, station_table, ticket_etl
+from civiq.plans.jobs import clean_tickets, clean_tickets_from_files, explore, generic_etl, rain_history, station_table, ticket_etl
 from civiq.session import scratch_dir
 from civiq.sources.tables import read_csv, read_parquet, write_csv
 from civiq.streaming.ingest import ingest_rain_reports
 from workload.analytics import REPAIRED, STATIONS, pivot_sql, plain_names
 from workload.registry import register
 from workload.rows import COORDS, DUCK_TAGS, TICKETS
-from workload.sources import land_reports
+from workload.sources import geojson_lines, land_reports
 from workload.views import duck, polygons, table, view
 
 
@@ -110,6 +110,21 @@ def s10_unreadable(spark, sf):
     return station_table(view(spark, sf, "station_texts"), "txt")[1].select("s_suppkey")
 
 
+@register("e3_from_files", f"""
+    SELECT ticket_id, type, 'กรุงเทพมหานคร' AS province, district, subdistrict, y, longitude, latitude FROM {_CLEAN}""")
+def e3_from_files(spark, sf):
+    """Landed CSV, features and a check file of four columns."""
+    tickets, areas, check = (scratch_dir(spark, f"e3-{part}") for part in ("tickets", "areas", "check"))
+    write_csv(view(spark, sf, "tickets"), tickets)
+    geojson_lines(spark, sf).write.text(areas)
+    write_csv(view(spark, sf, "checks").coalesce(1).sortWithinPartitions("seq").drop("seq"), check)
+    clean = clean_tickets_from_files(spark, tickets, areas, check, layout="lines", index="poly_id", multiline=False).tickets
+    return clean.select(
+        "ticket_id", "type", "province", "district", "subdistrict", F.col("year_timestamp").cast("bigint").alias("y"),
+        "longitude", "latitude",
+    )
+
+
 @register("e3_rejects", f"""
     SELECT ticket_id, coords FROM {TICKETS}
     WHERE coords LIKE '%,%,%' AND CAST(substr("timestamp", 1, 4) AS BIGINT) BETWEEN 2022 AND 2024 AND ticket_id IS NOT NULL
