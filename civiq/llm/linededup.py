@@ -11,6 +11,7 @@ import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civiq.llm.common import free_name, materialize
 
@@ -76,14 +77,10 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     sets = materialize(lines.where("n > 0").groupBy("parity", "hash").agg(
         F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("uses"), F.first("n").alias("n"),
         F.first("prefix").alias("prefix")), "sets")
-    near = materialize(_near_sets(sets, source, threshold), "near")
-    own, other = [F.col(f"a.{c}").alias(c) for c in ("parity", "hash")], [F.col(f"b.{c}").alias(c) for c in ("parity", "hash")]
-    places = [sets.where("uses > 1").select("parity", "hash", F.col("first").alias("place"))]
-    places += [near.select(*k, F.col(f"{side}.first").alias("place")) for k in (own, other) for side in "ab"]
-    best = places[0]
-    for more in places[1:]:
-        best = best.unionByName(more)
-    best = best.groupBy("parity", "hash").agg(F.min("place").alias("best"))
+    near = _near_sets(sets, source, threshold)
+    best = sets.where("uses > 1").select("parity", "hash", F.col("first").alias("place")).unionByName(
+        near.select("later.parity", "later.hash", F.col("earlier.first").alias("place"))).groupBy("parity", "hash").agg(
+        F.min("place").alias("best"))
     gone = lines.where("n > 0").select("doc", "line", "parity", "hash").join(best, ["parity", "hash"]).where(
         F.struct("doc", "line") > F.col("best")).select("doc", F.col("line").alias("gone"))
     marks = lines.select("doc", "line", F.lit(None).cast("int").alias("gone")).unionByName(
@@ -105,30 +102,68 @@ def _rarity(source: DataFrame) -> Column:
 
 
 def _near_sets(sets: DataFrame, source: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """(a, b): pairs of different sets at least as similar as the threshold, each with parity, hash and first place."""
+    """(later, earlier), each with parity, hash and first place: for every set that is as similar as the threshold to a
+    different one of an earlier first place, at least one such.
+
+    Groups of near copies have very many pairs, so of its candidates a set first meets the one of the least key alone.
+    The few sets that don't match it, and have more, then meet all of theirs.
+    """
+    met = _candidates(sets, sets, threshold).groupBy("pl", "hl").agg(
+        F.min_by("pe", "order").alias("pe"), F.min_by("he", "order").alias("he"), F.count("*").alias("met"))
+    met = materialize(met, "candidates")
+    near = materialize(_verified(met.select("pl", "hl", "pe", "he"), sets, source, threshold), "near")
+    open_sets = met.where("met > 1").join(
+        near.select(F.col("later.parity").alias("pl"), F.col("later.hash").alias("hl")), ["pl", "hl"], "left_anti").select(
+        F.col("pl").alias("parity"), F.col("hl").alias("hash"))
+    left = materialize(sets.join(open_sets, ["parity", "hash"], "left_semi"), "open")
+    pairs = materialize(_candidates(left, sets, threshold).select("pl", "hl", "pe", "he").distinct(), "candidates")
+    return near.unionByName(materialize(_verified(pairs, left.unionByName(sets), source, threshold), "near"))
+
+
+def _key_type(sets: DataFrame) -> T.DataType:
+    return sets.schema["first"].dataType["doc"].dataType["id"].dataType
+
+
+def _candidates(left: DataFrame, right: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """(pl, hl, pe, he, order): parity and hash of a later set among ``left``, of an earlier one among ``right`` that passes
+    all filters, and the latter's key as a number. Sets of one key are met both ways."""
     top, bottom = threshold
-    spread = sets.select("parity", "hash", "n", F.posexplode("prefix").alias("at", "word")).select(
-        "word", "parity", "hash", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("at")).alias("rest"))
-    # Stated for both sides alike, so that they are one exchange.
-    spread = spread.where("parity is not null and hash is not null and word is not null and rest is not null")
-    a, b = (spread.select("word", F.col("parity").alias(f"p{x}"), F.col("hash").alias(f"h{x}"), F.col("rest").alias(f"r{x}")) for x in "ab")
-    na, nb = (F.shiftright(r, 32).cast("int") for r in ("ra", "rb"))
-    ia, ib = (F.col(r).bitwiseAND(0xFFFFFFFF).cast("int") for r in ("ra", "rb"))
-    need = F.ceil((na + nb) * top / F.lit(top + bottom))
-    pairs = materialize(a.join(b, "word").where(
-        ((na < nb) | ((na == nb) & ((F.col("pa") < F.col("pb")) | ((F.col("pa") == F.col("pb")) & (F.col("ha") < F.col("hb"))))))
-        & (na * bottom >= nb * top)
-        # The shorter set of a pair is sure of a common word among fewer.
-        & (ia < _prefix(F.least(na, nb), 2 * top, top + bottom))
-        & ((F.least(ia, ib) + 1 + F.least(na - ia - 1, nb - ib - 1)) * (top + bottom) >= (na + nb) * top)
+    whole = isinstance(_key_type(left), T.IntegralType)
+    # Of keys that are no whole numbers none comes before another here; the verification looks at them.
+    order = F.coalesce(F.col("first.doc.id").cast("long"), F.lit((1 << 63) - 1)) if whole else F.lit(0).cast("long")
+
+    def spread(sets: DataFrame, side: str) -> DataFrame:
+        words = sets.select("parity", "hash", "n", order.alias("order"), F.posexplode("prefix").alias("at", "word")).select(
+            "word", "parity", "hash", "order", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("at")).alias("rest"))
+        # Stated for both sides alike, so that they can be one exchange.
+        words = words.where("parity is not null and hash is not null and word is not null and rest is not null and order is not null")
+        return words.select("word", *[F.col(c).alias(f"{c}_{side}") for c in ("parity", "hash", "order", "rest")])
+
+    nl, ne = (F.shiftright(f"rest_{s}", 32).cast("int") for s in "le")
+    il, ie = (F.col(f"rest_{s}").bitwiseAND(0xFFFFFFFF).cast("int") for s in "le")
+    need = F.ceil((nl + ne) * top / F.lit(top + bottom))
+    least, most = F.least(nl, ne), F.greatest(nl, ne)
+    # The shorter set of a pair is sure of a common word among fewer.
+    short = _prefix(least, 2 * top, top + bottom)
+    return spread(left, "l").join(spread(right, "e"), "word").where(
+        (F.col("order_e") <= F.col("order_l"))
+        & ((F.col("hash_l") != F.col("hash_e")) | (F.col("parity_l") != F.col("parity_e"))) & (least * bottom >= most * top)
+        & (((nl <= ne) & (il < short)) | ((ne <= nl) & (ie < short)))
+        & ((F.least(il, ie) + 1 + F.least(nl - il - 1, ne - ie - 1)) * (top + bottom) >= (nl + ne) * top)
         # A word of only one of the sets turns one bit of the parities at most.
-        & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= na + nb - 2 * need)).select(
-        "pa", "ha", "pb", "hb").distinct(), "candidates")
-    wanted = pairs.select(F.explode(F.array(F.struct(F.col("pa").alias("parity"), F.col("ha").alias("hash")),
-                                            F.struct(F.col("pb").alias("parity"), F.col("hb").alias("hash")))).alias("s")).select(
+        & (F.bit_count(F.col("parity_l").bitwiseXOR(F.col("parity_e"))) <= nl + ne - 2 * need)).select(
+        F.col("parity_l").alias("pl"), F.col("hash_l").alias("hl"), F.col("parity_e").alias("pe"), F.col("hash_e").alias("he"),
+        F.col("order_e").alias("order"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Of the pairs those that are as similar as the threshold by their words, the one really earlier than the other."""
+    top, bottom = threshold
+    wanted = pairs.select(F.explode(F.array(F.struct(F.col("pl").alias("parity"), F.col("hl").alias("hash")),
+                                            F.struct(F.col("pe").alias("parity"), F.col("he").alias("hash")))).alias("s")).select(
         "s.parity", "s.hash").distinct()
     places = materialize(sets.select("parity", "hash", "first").join(
-        wanted, ["parity", "hash"], "left_semi"), "places")
+        wanted, ["parity", "hash"], "left_semi").distinct(), "places")
     spot = F.xxhash64("first.doc.id", "first.doc.digest", "first.line").bitwiseAND(_BITS - 1)
     bits = {r["at"]: r["bits"] for r in places.select(F.shiftright(spot, 6).cast("int").alias("at"), spot.alias("spot")).select(
         "at", F.expr("shiftleft(1L, cast(spot & 63 as int))").alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).collect()}
@@ -140,11 +175,11 @@ def _near_sets(sets: DataFrame, source: DataFrame, threshold: tuple[int, int]) -
     known = places.join(texts, places["first.doc.id"].eqNullSafe(texts["id"]) & (places["first.doc.digest"] == texts["digest"])
                         & (places["first.line"] == texts["line"]))
     known = materialize(known.select("parity", "hash", F.struct("parity", "hash", "first").alias("set"), "words"), "verifiable")
-    sides = [known.select(F.col("parity").alias(f"p{x}"), F.col("hash").alias(f"h{x}"), F.col("set").alias(x),
-                          F.col("words").alias(f"w{x}")) for x in "ab"]
-    checked = pairs.join(sides[0], ["pa", "ha"]).join(sides[1], ["pb", "hb"]).withColumn(
-        "common", F.size(F.array_intersect("wa", "wb")))
-    return checked.where(F.col("common") * (top + bottom) >= (F.size("wa") + F.size("wb")) * top).select("a", "b")
+    later, earlier = (known.select(F.col("parity").alias(f"p{x}"), F.col("hash").alias(f"h{x}"), F.col("set").alias(name),
+                                   F.col("words").alias(f"w{x}")) for x, name in (("l", "later"), ("e", "earlier")))
+    checked = pairs.join(later, ["pl", "hl"]).join(earlier, ["pe", "he"]).withColumn("common", F.size(F.array_intersect("wl", "we")))
+    return checked.where((F.col("earlier.first") < F.col("later.first")) & (
+        F.col("common") * (top + bottom) >= (F.size("wl") + F.size("we")) * top)).select("later", "earlier")
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", size: str | None = "n_chars",
