@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import SparkSession
@@ -51,8 +52,9 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 def _remove(spark: SparkSession) -> None:
     """Delete the scratch paths while the session still lives; one that has ended leaves them to its owner."""
     jvm, context = getattr(spark, "_jvm", None), getattr(getattr(spark, "sparkContext", None), "_jsc", None)
-    if jvm is None or context is None or context.sc().isStopped():
+    if jvm is None or context is None:
         return
-    for path in _made:
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(context.hadoopConfiguration()).delete(place, True)
+    with contextlib.suppress(Exception):  # the gateway may have ended first
+        for path in () if context.sc().isStopped() else sorted(_made):
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context.hadoopConfiguration()).delete(place, True)
