@@ -171,13 +171,17 @@ def _verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, threshold: t
     lines = source.select("id", "digest", F.posexplode(_lines(F.col("text"))).alias("line", "content"))
     mark = F.xxhash64("id", "digest", "line").bitwiseAND(_BITS - 1)
     held = F.getbit(F.element_at(filled, (F.shiftright(mark, 6) + 1).cast("int")), F.pmod(mark, F.lit(64)))
-    texts = lines.where(held == 1).select("id", "digest", "line", _words(F.col("content")).alias("words")).distinct()
+    texts = lines.where(held == 1).select("id", "digest", "line", "content")
     known = places.join(texts, places["first.doc.id"].eqNullSafe(texts["id"]) & (places["first.doc.digest"] == texts["digest"])
                         & (places["first.line"] == texts["line"]))
-    known = materialize(known.select("parity", "hash", F.struct("parity", "hash", "first").alias("set"), "words"), "verifiable")
+    # Repeated rows have a line more than once.
+    known = materialize(known.select("parity", "hash", F.struct("parity", "hash", "first").alias("set"), "content").dropDuplicates(
+        ["parity", "hash"]), "verifiable")
     later, earlier = (known.select(F.col("parity").alias(f"p{x}"), F.col("hash").alias(f"h{x}"), F.col("set").alias(name),
-                                   F.col("words").alias(f"w{x}")) for x, name in (("l", "later"), ("e", "earlier")))
-    checked = pairs.join(later, ["pl", "hl"]).join(earlier, ["pe", "he"]).withColumn("common", F.size(F.array_intersect("wl", "we")))
+                                   F.col("content").alias(f"t{x}")) for x, name in (("l", "later"), ("e", "earlier")))
+    checked = pairs.join(later, ["pl", "hl"]).join(earlier, ["pe", "he"]).select(
+        "later", "earlier", _words(F.col("tl")).alias("wl"), _words(F.col("te")).alias("we")).withColumn(
+        "common", F.size(F.array_intersect("wl", "we")))
     return checked.where((F.col("earlier.first") < F.col("later.first")) & (
         F.col("common") * (top + bottom) >= (F.size("wl") + F.size("we")) * top)).select("later", "earlier")
 
