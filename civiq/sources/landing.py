@@ -18,12 +18,23 @@ def request_url(base: Column, endpoint: Column) -> Column:
     return F.regexp_replace(F.concat(base, F.lit("/"), F.coalesce(endpoint, F.lit(""))), "/+$", "")
 
 
-def lookup_pages(requests: DataFrame, pages: DataFrame, base: str, endpoint: str, url: str = "url") -> DataFrame:
+def lookup_pages(
+    requests: DataFrame, pages: DataFrame, base: str, endpoint: str, url: str = "url", landed: str | None = None
+) -> DataFrame:
     """Every request with the page landed under its URL, nulls where none is.
 
-    ``pages`` has one row per URL, so a much-requested URL adds no rows; its
-    requests are split over tasks by the adaptive skew join.
+    A URL landed more than once counts with its greatest ``landed`` value; without such a column it raises. The pages are
+    gathered by URL for the join anyway, so this costs no further shuffle. Requests of a much-requested URL are
+    split over tasks by the adaptive skew join.
     """
-    landed = pages.withColumnRenamed(url, "_landed_url")
+    page = F.struct(*[quoted(c) for c in pages.columns if c != url])
+    if landed:
+        chosen = F.max_by(page, quoted(landed))
+    else:
+        twice = F.raise_error(F.concat(F.lit("landed more than once: "), F.first(quoted(url)))).cast("boolean")
+        chosen = F.when(F.when(F.count(F.lit(1)) > 1, twice).otherwise(True), F.first(page))
+    single = pages.groupBy(quoted(url).alias("_landed_url")).agg(chosen.alias("_page"))
     wanted = requests.withColumn("request_url", request_url(quoted(base), quoted(endpoint)))
-    return wanted.join(landed, F.col("request_url") == F.col("_landed_url"), "left").drop("_landed_url")
+    joined = wanted.join(single, F.col("request_url") == F.col("_landed_url"), "left")
+    return joined.select(*[quoted(c) for c in wanted.columns], *[
+        F.col("_page").getField(c).alias(c) for c in pages.columns if c != url])

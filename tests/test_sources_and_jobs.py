@@ -84,6 +84,15 @@ def test_scratch_folder_follows_the_cluster_setting():
     assert first != second and first.startswith("/w/s-") and second.startswith("/w/s-")
 
 
+def test_a_url_landed_twice(spark):
+    requests = spark.createDataFrame([("http://a", "x"), ("http://a", "y")], "base string, endpoint string")
+    pages = spark.createDataFrame([("http://a/x", "old", 1), ("http://a/x", "new", 2)], "url string, html string, at int")
+    found = lookup_pages(requests, pages, "base", "endpoint", landed="at").collect()
+    assert sorted((r.endpoint, r.html) for r in found) == [("x", "new"), ("y", None)]
+    with pytest.raises(Exception, match="landed more than once"):
+        lookup_pages(requests, pages, "base", "endpoint").collect()
+
+
 REPORTS = {
     "01-01-2022": "header\n1 2 0.5 RF.KTY.01\n1 2     RF.KTY.02\n",
     "02-01-2022": "1 2 1.5 RF.KTY.01\r\n1 2 - RF.NEW.9 x\n",
