@@ -110,7 +110,24 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
-@_query("op9_substrings")
+@_query("op9_substrings", r"""
+WITH listed AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+spelled AS (
+  SELECT doc_id, len(words) AS n, unnest(words) AS word, unnest(generate_series(1, len(words))) AS spot FROM listed WHERE len(words) > 0),
+windowed AS (
+  SELECT *, CASE WHEN spot <= n - 12 THEN string_agg(word, ' ') OVER (
+    PARTITION BY doc_id ORDER BY spot ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) END AS phrase FROM spelled),
+firsts AS (SELECT phrase, min(doc_id) AS first FROM windowed WHERE phrase IS NOT NULL GROUP BY phrase),
+marked AS (SELECT w.*, coalesce(f.first < w.doc_id, false) AS repeats FROM windowed w LEFT JOIN firsts f ON w.phrase = f.phrase),
+covered AS (
+  SELECT doc_id, spot, word, bool_or(repeats) OVER (
+    PARTITION BY doc_id ORDER BY spot ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM marked),
+counted AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY spot) FILTER (NOT gone) AS kept
+  FROM covered GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN counted USING (doc_id)""")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
