@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civiq.llm import shingles
 from civiq.llm.common import free_name, materialize, shuffle_partitions
 from civiq.llm.components import connected_components
 
@@ -130,25 +131,33 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return marked.join(labels, "fp").select(key, "fp", "component")
 
 
-def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, distance: int = 3) -> DataFrame:
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
+               threshold: tuple[int, int] = shingles.THRESHOLD) -> DataFrame:
     """The rows, all columns unchanged, without those linked to a row with a smaller key.
 
-    Of rows that share key and fingerprint one stays. A component whose keys are all null keeps one row.
+    Two rows are linked if the sets of their shingles have a Jaccard similarity of at least ``threshold``; links count across
+    others. Nothing of it rests on fingerprints: at 0.8 those of 64 bits differ in about ten, too many to find by equality.
+    Of rows that share key and words one stays. A component whose keys are all null keeps one row.
     """
     mark = free_name(docs, "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [fingerprint(t, words) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            marks = pa.array(np.array(values, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns, marks], [*batch.schema.names, mark])
+            values = [shingles.text_id(t.as_py()) for t in batch.column(batch.schema.get_field_index(text))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.int64())], [*batch.schema.names, mark])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(mark, T.LongType())])
-    marked = materialize(docs.mapInArrow(run, schema), "fingerprinted")
-    nodes = marked.groupBy(F.col(mark).alias("fp")).agg(F.min(key).alias("least"))
-    found = connected_components(links(nodes.select("fp"), distance)).select(F.col("node").alias("fp"), "component")
-    roots = nodes.join(found, "fp", "left").groupBy(F.coalesce("component", "fp")).agg(
-        F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("first"))
-    first = roots.select(F.col("first.fp").alias("first_fp"), F.col("first.least").alias("first_key"))
-    kept = marked.join(first, (marked[mark] == first["first_fp"]) & marked[key].eqNullSafe(first["first_key"]), "left_semi")
+    marked = docs.mapInArrow(run, schema)
+    one = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"))
+    nodes = materialize(docs.select(key, text).mapInArrow(run, T.StructType([docs.schema[key], docs.schema[text], schema[mark]])).groupBy(
+        F.col(mark).alias("node")).agg(F.count("*").alias("rows"), F.min(one).alias("least")), "nodes")
+    # Of copies only one is compared.
+    copied = nodes.where("rows > 1").select(F.col("node").alias("copied"), "least")
+    texts = marked.join(copied, marked[mark] == copied["copied"], "left").where(
+        F.col("copied").isNull() | marked[key].eqNullSafe(F.col("least.key"))).select(F.col(mark).alias("node"), F.col(text).alias("text"))
+    found = shingles.similar_components(texts, words, threshold)
+    roots = nodes.join(found, "node", "left").groupBy(F.coalesce("component", "node")).agg(
+        F.min(F.struct("least", "node")).alias("first"))
+    first = roots.select(F.col("first.node").alias("first_node"), F.col("first.least.key").alias("first_key"))
+    kept = marked.join(first, (marked[mark] == first["first_node"]) & marked[key].eqNullSafe(first["first_key"]), "left_semi")
     return kept.dropDuplicates([mark, key]).drop(mark)

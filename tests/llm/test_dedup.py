@@ -83,6 +83,47 @@ def test_one_row_of_a_group_stays(odd, none):
     assert simhash.keep_first(none).count() == 0
 
 
+def shingle_texts(text, words=5):
+    tokens = (text or "").lower().split()
+    return {" ".join(tokens[i:i + words]) for i in range(max(1, len(tokens) - words + 1))} if tokens else set()
+
+
+def brute_components(texts, words=5):
+    """Text number to the least number reachable over pairs with a Jaccard similarity of 0.8 or more."""
+    sets, root = [shingle_texts(t, words) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and (similar(sets[i], sets[j]) or not sets[i] | sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return root
+
+
+def near_copies(seed=17):
+    """Texts of 8 to 400 words with copies that differ in a few words, many at 0.8 to 0.95 of their shingles."""
+    r = random.Random(seed)
+    vocabulary, texts = [f"w{i}" for i in range(900)], []
+    for _ in range(25):
+        base = [r.choice(vocabulary) for _ in range(r.choice([8, 20, 60, 150, 400]))]
+        texts.append(" ".join(base))
+        for _ in range(r.randint(0, 6)):
+            other = list(base)
+            for _ in range(r.randint(1, max(1, len(base) // 35))):
+                other[r.randrange(len(base))] = r.choice(vocabulary)
+            texts.append(" ".join(other) + r.choice(["", " w1", " w2 w3"]))
+    r.shuffle(texts)
+    return texts
+
+
+def test_near_copies_down_to_the_similarity_go(make):
+    texts = near_copies()
+    sets = [shingle_texts(t) for t in texts]
+    low = sum(0.8 <= len(a & b) / len(a | b) < 0.95 for i, a in enumerate(sets) for b in sets[:i])
+    kept = sorted(r["doc_id"] for r in simhash.keep_first(make([(i, t, "en") for i, t in enumerate(texts)])).collect())
+    root = brute_components(texts)
+    assert kept == sorted(set(root)) and low > 20 and len(kept) < len(texts) - 20
+
+
 def similar(a, b):
     return 5 * len(a & b) >= 4 * len(a | b)
 
