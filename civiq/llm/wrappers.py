@@ -195,13 +195,23 @@ def align(shape: str, reference: str) -> dict[int, int]:
 
 
 def main_text(page: Page, template: set[int]) -> str:
-    """The wanted blocks outside template slots, inside the content root where there is one, with blank lines between."""
+    """The wanted blocks outside template slots, inside the content root where there is one, with blank lines between.
+
+    A template slot takes what is below along only where all text there is template too.
+    """
     rooted = any(inside and not unwanted for _, unwanted, inside, _ in page.blocks)
-    fixed = [False] * len(page.keys)
+    constant = [True] * len(page.keys)  # whether every text in or below a slot is template
+    for slot, unwanted, _, _ in page.blocks:
+        constant[slot] &= unwanted or slot in template
+    for slot in range(len(page.keys) - 1, 0, -1):
+        constant[page.parents[slot]] &= constant[slot]
+    fixed, whole = [False] * len(page.keys), [False] * len(page.keys)
     for slot in range(1, len(page.keys)):
         # Paragraphs of a content root are content even where pages repeat them.
         safe = page.rooted[slot] and page.keys[slot].partition(".")[0] in _PARAGRAPHS | _ROOTS
-        fixed[slot] = fixed[page.parents[slot]] or (slot in template and not safe)
+        own = slot in template and not safe
+        whole[slot] = whole[page.parents[slot]] or (own and constant[slot])
+        fixed[slot] = own or whole[slot]
     return "\n\n".join(text for slot, unwanted, inside, text in page.blocks
                        if not unwanted and not fixed[slot] and (inside or not rooted))
 

@@ -176,6 +176,20 @@ def test_constant_slots_of_a_host_are_template(llm):
     assert wrappers.extract(llm.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def texts_of(llm, pages):
+    rows = [(i, f"http://host.example/{i}", p) for i, p in enumerate(pages)]
+    found = wrappers.extract(llm.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r["text"] for r in sorted(found, key=lambda r: r["page_id"])]
+
+
+def test_constant_text_of_a_wrapper_leaves_what_varies_below(llm):
+    page = "<body>Skip to content<div class=box>{0}</div></body>"
+    assert texts_of(llm, [page.format(f"<p>Story {i}</p><p>More {i}</p>") for i in range(4)]) == [
+        f"Story {i}\n\nMore {i}" for i in range(4)]
+    page = "<article><h1>Title {0}</h1><div class=body>Share this<p>Story {0}</p></div><div class=end>All<p>rights</p></div></article>"
+    assert texts_of(llm, [page.format(i) for i in range(4)]) == [f"Title {i}\n\nStory {i}" for i in range(4)]
+
+
 @pytest.mark.parametrize("kind", ["odd", "none"])
 def test_stages_take_odd_rows(llm, request, kind, tmp_path):
     docs = request.getfixturevalue(kind)
