@@ -217,24 +217,22 @@ def main_text(page: Page, template: set[int]) -> str:
 
 
 def _slot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, shape, slot, digest of its text) of every page; slot 0 stands for the page."""
+    """(host, page, shape, slots, digests of their texts) of every page; slot 0 stands for the page, ``page`` for all of it."""
     for batch in batches:
-        hosts, shapes, slots, digests = [], [], [], []
-        for host, html in zip(batch.column(0).to_pylist(), batch.column(1)):
+        pages, shapes, slots, digests = [], [], [], []
+        for html in batch.column(1):
             page = parse(html.as_py())
             texts: dict[int, list[str]] = {0: []}
             for slot, unwanted, _, text in page.blocks:
                 if not unwanted:
                     texts.setdefault(slot, []).append(text)
-            shape = page.shape()
-            for slot, parts in texts.items():
-                hosts.append(host)
-                shapes.append(shape)
-                slots.append(slot)
-                digests.append(xxhash.xxh64_intdigest("\n".join(parts)) >> 1)
+            shapes.append(page.shape())
+            slots.append(list(texts))
+            digests.append([xxhash.xxh64_intdigest("\n".join(parts)) >> 1 for parts in texts.values()])
+            pages.append(xxhash.xxh64_intdigest(f"{shapes[-1]} {slots[-1]} {digests[-1]}") >> 1)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(shapes, pa.string()), pa.array(slots, pa.int32()), pa.array(digests, pa.int64())],
-            ["host", "shape", "slot", "digest"])
+            [batch.column(0), pa.array(pages, pa.int64()), pa.array(shapes, pa.string()), pa.array(slots, pa.list_(pa.int32())),
+             pa.array(digests, pa.list_(pa.int64()))], ["host", "page", "shape", "slots", "digests"])
 
 
 def _aligned_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,11 +264,14 @@ def induce(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(host, reference, template): each host's commonest shape and the slots of it that are template.
 
     A slot is template if it holds the same text on all pages that have it, at least ``LEAST_PAGES``, while another slot of
-    the host varies. Counts and least and greatest digests are aggregated, so a host with very many pages is no bottleneck.
+    the host varies. Copies of a page count once. Counts and least and greatest digests are aggregated, so a host with very many pages is no bottleneck.
     """
     rows = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
-    seen = materialize(rows.mapInArrow(_slot_rows, "host string, shape string, slot int, digest long")
-                       .groupBy("host", "shape", "slot").agg(
+    different = rows.mapInArrow(_slot_rows, "host string, page long, shape string, slots array<int>, digests array<long>").groupBy(
+        "host", "page").agg(F.first(F.struct("shape", F.arrays_zip("slots", "digests").alias("slots"))).alias("one"))
+    slots = different.select("host", "one.shape", F.explode("one.slots").alias("slot")).select(
+        "host", "shape", F.col("slot.slots").alias("slot"), F.col("slot.digests").alias("digest"))
+    seen = materialize(slots.groupBy("host", "shape", "slot").agg(
         F.count("*").alias("pages"), F.min("digest").alias("low"), F.max("digest").alias("high")), "slots")
     references = seen.where("slot = 0").groupBy("host").agg(
         F.max(F.struct("pages", F.col("shape").alias("reference"))).alias("top")).select("host", "top.reference")

@@ -190,6 +190,12 @@ def test_constant_text_of_a_wrapper_leaves_what_varies_below(llm):
     assert texts_of(llm, [page.format(i) for i in range(4)]) == [f"Title {i}\n\nStory {i}" for i in range(4)]
 
 
+def test_copies_of_a_page_are_no_template(llm):
+    copy = "<body><h1>Notice</h1><div class=text>The story of the copies</div></body>"
+    others = [f"<body><h1>Title {i}</h1><section><p>Story {i}</p></section></body>" for i in range(3)]
+    assert texts_of(llm, [copy] * 5 + others) == ["Notice\n\nThe story of the copies"] * 5 + [f"Title {i}\n\nStory {i}" for i in range(3)]
+
+
 @pytest.mark.parametrize("kind", ["odd", "none"])
 def test_stages_take_odd_rows(llm, request, kind, tmp_path):
     docs = request.getfixturevalue(kind)
