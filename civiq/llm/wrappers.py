@@ -27,6 +27,8 @@ _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                     "span strike strong sub sup time tt u var".split())
 _NEVER = frozenset("head title script style noscript template iframe object svg canvas audio video nav aside form button select "
                    "textarea label fieldset footer dialog menu map".split())
+_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript template".split())
+_HEAD_HOLDERS = frozenset("title style script noscript template".split())
 _PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 li td th dt dd blockquote pre figcaption caption".split())
 _ROOTS = frozenset("article main".split())
 _CLOSED_BY_NEXT = {"li": "ul ol menu", "dt": "dl", "dd": "dl", "td": "table", "th": "table", "tr": "table", "option": "select"}
@@ -51,6 +53,8 @@ class Page(HTMLParser):
         self._text: list[str] = []
 
     def handle_starttag(self, tag, attrs):
+        if tag not in _HEAD:
+            self._end_head(tag == "body")
         if tag in _VOID:
             self._text.append(" ")
             if tag not in ("br", "wbr", "img", "input"):
@@ -81,6 +85,17 @@ class Page(HTMLParser):
             slot = found
         self._open.append((tag, slot, unwanted or marked, inside or root))
 
+    def _end_head(self, always):
+        """End an open head, whose end tag may be left out; not from within what can stand in one, unless ``always``."""
+        for i in range(len(self._open) - 1, 0, -1):
+            name = self._open[i][0]
+            if name == "head":
+                self._flush()
+                del self._open[i:]
+                return
+            if name == "body" or (name in _HEAD_HOLDERS and not always):
+                return
+
     def _close_before(self, tag):
         """End what this element cannot be inside: a paragraph; of lists and tables, the item before."""
         limit = _CLOSED_BY_NEXT.get(tag)
@@ -119,6 +134,8 @@ class Page(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self._open[-1][0] == "head" and not data.isspace():
+            self._end_head(False)
         self._text.append(data)
 
     def finish(self) -> Page:

@@ -152,6 +152,13 @@ def test_text_of_one_page():
     assert wrappers.main_text(wrappers.parse("plain &lt;text&gt; &am"), set()) == "plain <text> &am"
 
 
+def test_a_head_ends_without_its_end_tag():
+    head = "<!DOCTYPE html><html><head><title>t</title><meta charset=utf-8><noscript><p>No script</p></noscript><style>p{}</style>"
+    for rest in ("<body><p>Text</p></body></html>", "<p>Text", "<b>Text</b>", "Text", "</head><body>Text", "<body><link href=x>Text",
+                 "<script>var a;</script>\n<article><p>Text</p></article>", "<noscript>none<body><p>Text"):
+        assert wrappers.main_text(wrappers.parse(head + rest), set()) == "Text", rest
+
+
 def test_matching_keeps_order_and_is_largest():
     a = wrappers.parse("<body><div class=x><p>1</p></div><div class=y></div><section><p>2</p></section></body>").shape()
     b = wrappers.parse("<body><div class=y></div><div class=x><p>1</p></div><table></table><section><p>2</p></section></body>").shape()
