@@ -8,6 +8,7 @@ import pytest
 import corpus_pipeline
 from civiq.llm import decontam, langid, toxicity, wrappers
 from tests.llm.conftest import LONG, ODD
+from tests.llm.test_dedup import brute_components, brute_lines, shingle_texts
 
 
 def least_distance(item, text):
@@ -214,3 +215,43 @@ def test_stages_take_odd_rows(llm, request, kind, tmp_path):
         assert docs.columns == columns or at == len(corpus_pipeline.STAGES) - 1
     assert (docs.count() > 0) == (kind == "odd")
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+def stage_rows(seed=23):
+    """Texts over ten words each, so that a few new words change a line's words but few shingles; copies; one leak."""
+    r, texts = random.Random(seed), []
+    for family in range(5):
+        base = [f"f{family}x{r.randrange(10)}" for _ in range(300)]
+        texts += [" ".join(base), " ".join(base)]
+        for new in (3, 5, 6, 9):
+            other = list(base)
+            for at in range(new):
+                other[20 + 30 * at] = f"new{family}n{new}n{at}"
+            texts.append(" ".join(other))
+    texts += ["before the leak stands this\nseven green letters under the old market window\nand after it that", ""]
+    r.shuffle(texts)
+    return [(i, t, "en") for i, t in enumerate(texts)]
+
+
+def test_stages_keep_what_brute_force_keeps(llm, make, tmp_path):
+    leak = "seven green letters under the old market window"
+    llm.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = stage_rows()
+    gone = brute_lines(rows)
+    want = {i: "\n".join(x for at, x in enumerate(t.split("\n")) if at not in gone[i, t]) for i, t, _ in rows}
+    want = {i: t for i, t in want.items() if t.strip() or not gone[i, rows[i][1]]}  # without a word from the start: stays
+    line_kept = dict(want)
+    order = sorted(want)
+    root = brute_components([want[i] for i in order])
+    want = {i: want[i] for at, i in enumerate(order) if root[at] == at}
+    near_kept = dict(want)
+    want = {i: t for i, t in want.items() if leak not in t}
+    sets = [shingle_texts(t) for t in line_kept.values()]
+    assert sum(0.8 <= len(a & b) / len(a | b) < 0.95 for at, a in enumerate(sets) for b in sets[:at]) >= 5
+    assert len(rows) > len(line_kept) > len(near_kept) > len(want)
+    docs = make(rows)
+    expected = {"line_dedup": line_kept, "simhash_near_dedup": near_kept, "decontamination": want}
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        stage(llm, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        docs = llm.read.parquet(f"{tmp_path}/{name}")
+        assert {r["doc_id"]: r["text"] for r in docs.collect()} == expected[name], name
