@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiq.llm import decontam, fingerprints, langid, linededup, packing, records, simhash, substrings, toxicity, wrappers
+from civiq.llm import (
+    ann, codebooks, decontam, fingerprints, langid, linededup, packing, periodic, records, simhash, substrings, toxicity, wrappers,
+)
 from civiq.llm.common import read_table, remainder
 from civiq.session import apply_settings
 
@@ -136,3 +140,71 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
+@_query("op11_nearest", """
+WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_reduce([0::DOUBLE] || [q.v[i] * c.v[i] for i in generate_series(1, least(len(q.v), len(c.v)))], lambda x, y: x + y) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank FROM scored) WHERE rank <= 20""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    return ann.nearest(rows, rows.where(F.col("vec_id") % 20 == 0))
+
+
+def made_periodic(doc_id, words: int) -> np.ndarray | None:
+    """The order of words that makes every tenth document, by its number's hash, periodic from some word on."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10:
+        return None
+    g = h // 10
+    a = g % words
+    p = 1 + (words - a) // (3 + g % 8)
+    at = np.arange(words)
+    return np.where(at < a, at, a + (at - a) % p)
+
+
+@_query("op12_periodic")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(read_table(spark, sf_dir, "documents"), rearranged=made_periodic)
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def _rounds_sql(rounds: int) -> str:
+    """Assignment and update as often as there are rounds; the last assignment stands alone."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS (
+  SELECT vec_id, p, any_value(x.c) AS c, min(list_sum([(x.c[i] - b.c[i]) ** 2 for i in generate_series(1, len(x.c))])::HUGEINT * 64 + e) AS best
+  FROM pieces x JOIN b{r} b USING (p) GROUP BY vec_id, p)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (
+  SELECT p, (best % 64)::INT AS e, i, floor(sum(c[i])::DOUBLE / count(*))::BIGINT AS m
+  FROM a{r}, generate_series(1, 16) g(i) WHERE i <= len(c) GROUP BY ALL),
+b{r + 1} AS (
+  SELECT p, e, coalesce(any_value(n.c), any_value(b.c)) AS c FROM b{r} b
+  LEFT JOIN (SELECT p, e, list(m ORDER BY i) AS c FROM m{r} GROUP BY p, e) n USING (p, e) GROUP BY p, e)""")
+    return ",\n".join(steps)
+
+
+@_query("op13_codebooks", f"""
+WITH kept AS (
+  SELECT vec_id, label, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pieces AS (SELECT vec_id, p, v[p * (len(v) // 16) + 1 : (p + 1) * (len(v) // 16)] AS c FROM kept, generate_series(0, 15) g(p)),
+firsts AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < 64),
+b0 AS (SELECT p, e, c FROM pieces JOIN firsts USING (vec_id)),
+{_rounds_sql(2)},
+coded AS (SELECT vec_id, string_agg(format('{{:02x}}', (best % 64)::INT), '' ORDER BY p) AS code, sum(best // 64)::BIGINT AS error FROM a2 GROUP BY vec_id),
+books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), books""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codebooks.compress(read_table(spark, sf_dir, "embeddings")).drop("label")
