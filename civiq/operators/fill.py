@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from civiq.functions.values import nan_to_null, quoted
 from civiq.operators.columns import numeric_columns
-from civiq.operators.quantiles import exact_quantiles
+from civiq.operators.quantiles import profile
 from civiq.operators.stats import melted
 
 STRATEGIES = ("mean", "median", "mode", "zero")
@@ -23,8 +23,9 @@ def fill_constant(df: DataFrame, value: float, columns: list[str] | None = None)
 def fill_missing(df: DataFrame, strategy: str = "mean") -> DataFrame:
     """Fill each numeric column with its mean, median, mode or zero; a column without values stays null.
 
-    The statistics are a one-row scalar subquery: no join. Mean and median make
-    integer columns double, as a fraction must fit. The smallest mode wins a tie.
+    Mean and mode are a one-row scalar subquery, medians are constants found
+    before: no join. Mean and median make integer columns double, as a fraction
+    must fit. The smallest mode wins a tie.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
@@ -32,11 +33,14 @@ def fill_missing(df: DataFrame, strategy: str = "mean") -> DataFrame:
     if strategy == "zero" or not columns:
         return fill_constant(df, 0, columns)
     clean = nan_to_null(df)
+    if strategy == "median":
+        found = profile(melted(clean, columns), [0.5])
+        medians = {c: F.lit(found[c].quantiles[0.5] if c in found else None).cast("double") for c in columns}
+        return clean.withColumns({c: F.coalesce(quoted(c).cast("double"), medians[c]) for c in columns})
     if strategy == "mean":
         stats = clean.agg(*[F.avg(quoted(c)).cast("double").alias(c) for c in columns])
     else:
-        long = melted(clean, columns)
-        per_column = exact_quantiles(long, [0.5]) if strategy == "median" else _modes(long)
+        per_column = _modes(melted(clean, columns))
         stats = per_column.agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns])
     value = stats.select(F.struct(*[quoted(c) for c in columns]).alias("s")).scalar()
     kept = {c: clean.schema[c].dataType if strategy == "mode" else "double" for c in columns}

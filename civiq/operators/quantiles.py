@@ -1,137 +1,174 @@
-"""Exact quantiles without holding a column's values in one task.
+"""Exact quantiles by radix descent, without holding a column's values in one task.
 
 The built-in exact ``percentile`` keeps every distinct value of a group in one
 buffer, and approximate sketches are merged one by one in a single task. Here
-counts narrow the place of each wanted rank: first by magnitude, then by equal
-slices of the magnitude found, again and again while many different values are
-left in one of them, and only what is left is ranked value by value.
+every value becomes a 64-bit integer of the same order, read as four digits of
+16 bits. A pass counts the next digit of the values that share the digits found
+so far, and the running counts tell which digit holds a wanted rank. Four
+passes spell out every wanted value, however the values are spread.
 """
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Sequence
+from dataclasses import dataclass
+from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_PER_FOLD = 16   # magnitude classes per factor e
-_SLICES = 4096   # equal-width slices of a bracket
-_CROWD = 200_000  # rows of different values that may be ranked in one place
-_PLACE = ["column", "region", "slice"]
+DIGIT_BITS = 16
+PASSES = 64 // DIGIT_BITS
+_MANTISSA = 52
+_INFINITY = 0x7FF << _MANTISSA
 
 
-def exact_quantiles(long: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """(column, prob, value) with linear interpolation, from a long frame (column, x) without nulls.
+@dataclass(frozen=True)
+class Profile:
+    """What the passes learn about one column; ``std`` is the sample deviation."""
+
+    n: int
+    mean: float
+    std: float | None
+    low: float
+    high: float
+    quantiles: dict[float, float]
+
 
-    Two scans when called and one when used, normally, each ending in a small
-    aggregate that is combined before its shuffle. A bracket is the range of the
-    counted places that hold the wanted ranks, so it cannot miss them. Every
-    further scan narrows the brackets some thousandfold; it is made while a place
-    holds more than ``_CROWD`` rows that are not all equal. Brackets are a row a column.
+def ordered_key(x: Column) -> Column:
+    """A bigint that grows with the double ``x``: the bits of its magnitude, negated for negative numbers.
+
+    The exponent is guessed by logarithm and corrected by one where rounding
+    misled it; scaling by powers of two is exact, so no two values share a key.
     """
-    probs = sorted(set(probs))
-    fine, _ = _known(_brackets(_counted(_by_magnitude(long)), probs))
-    while True:
-        fine, crowd = _known(_brackets(_counted(_by_slice(long, fine, len(probs))), probs))
-        if crowd <= _CROWD:
-            break
-    placed = _by_slice(long, fine, len(probs)).withColumn("v", F.when(F.col("b") >= 0, F.col("x")))
-    # Both uses of `ranked` read the same columns, so Spark reuses its shuffle.
-    ranked = placed.groupBy(*_PLACE, "v").agg(F.count(F.lit(1)).alias("cnt"))
-
-    totals = ranked.groupBy(*_PLACE).agg(F.sum("cnt").alias("cnt"))
-    wanted = F.filter(_targets(F.col("n"), probs), lambda t: (t.rank >= F.col("start")) & (t.rank < F.col("end")))
-    hits = _running(totals).select(*_PLACE, "start", wanted.alias("wanted")).filter(F.size("wanted") > 0)
-
-    # Only the slices that hold a wanted rank are ordered value by value: at
-    # most two per probability and column, which also bounds the broadcast.
-    by_value = Window.partitionBy(*_PLACE).orderBy("v")
-    settled = ranked.join(F.broadcast(hits), _PLACE).withColumn(
-        "from_rank", F.col("start") + F.sum("cnt").over(by_value) - F.col("cnt")
-    )
-    picked = settled.select("column", "v", "cnt", "from_rank", F.explode("wanted").alias("w")).filter(
-        (F.col("w.rank") >= F.col("from_rank")) & (F.col("w.rank") < F.col("from_rank") + F.col("cnt"))
-    )
-    ends = picked.select("column", F.col("w.prob").alias("prob"), F.col("w.weight").alias("weight"), F.col("v").alias("value"))
-    low, high = F.min("value"), F.max("value")
-    return ends.groupBy("column", "prob").agg((low + (high - low) * F.max("weight")).alias("value"))
+    size = F.abs(x)
+    guess = F.greatest(F.lit(-1022.0), F.least(F.lit(1023.0), F.floor(F.log2(size)).cast("double")))
+    part = size / F.pow(F.lit(2.0), guess)
+    # Below 2^-1022 there is no further exponent: the part is under 1 by right.
+    low = (part < 1) & (guess > -1022)
+    exponent = guess + F.when(part >= 2, 1).when(low, -1).otherwise(0)
+    part = F.when(part >= 2, part / 2).when(low, part * 2).otherwise(part)
+    unit = float(1 << _MANTISSA)
+    bits = (exponent + 1022).cast("bigint") * (1 << _MANTISSA) + (part * unit).cast("bigint")
+    bits = F.when(size == 0, 0).when(size == float("inf"), _INFINITY).otherwise(bits)
+    return F.when(x < 0, -bits).otherwise(bits)
 
 
-def _known(brackets: DataFrame) -> tuple[DataFrame, int]:
-    """The brackets as a local table, and the most rows of different values in a wanted place."""
-    rows = brackets.collect()
-    table = brackets.sparkSession.createDataFrame([(r["column"], r["lows"], r["highs"]) for r in rows], brackets.drop("crowd").schema)
-    return table, max((r["crowd"] or 0 for r in rows), default=0)
+def key_value(key: int) -> float:
+    """The double of an ordered key."""
+    size = struct.unpack("<d", struct.pack("<q", abs(key)))[0]
+    return -size if key < 0 else size
 
 
-def _by_magnitude(long: DataFrame) -> DataFrame:
-    """Places by sign and logarithm; (region, slice) never falls as x grows."""
-    x = F.col("x")
-    fold = F.floor(F.log(F.abs(x)) * _PER_FOLD)
-    return long.select(
-        "column", "x", F.signum(x).cast("int").alias("region"),
-        F.when(x > 0, fold).when(x < 0, -fold).otherwise(F.lit(0)).alias("slice"),
-    )
+def _digit(key: Column, at: int) -> Column:
+    """The 16 bits of the pass ``at``; the first digit has the sign."""
+    moved = F.shiftright(key, 64 - DIGIT_BITS * (at + 1))
+    return (moved if at == 0 else moved.bitwiseAND((1 << DIGIT_BITS) - 1)).cast("int")
 
 
-def _by_slice(long: DataFrame, brackets: DataFrame, k: int) -> DataFrame:
-    """Places by the brackets passed and by equal slices inside a bracket; ``b`` is the bracket or -1.
+def _prefix(key: Column, at: int) -> Column:
+    return F.shiftright(key, 64 - DIGIT_BITS * at)
 
-    The brackets' broadcast has one row per column name, so the schema's width bounds it.
-    """
-    region, bracket = F.lit(0), F.lit(-1)
-    x = F.col("x")
-    for j in range(k):
-        low, high = F.get("lows", F.lit(j)), F.get("highs", F.lit(j))
-        # This and the coalesce below never act; they tell Spark the keys are not null. A
-        # not-null filter on one use of the result would keep its shuffle from being shared.
-        region = region + F.coalesce((x >= low).cast("int") + (x > high).cast("int"), F.lit(0))
-        bracket = F.when(x.between(low, high), F.lit(j)).otherwise(bracket)
-    placed = long.join(F.broadcast(brackets), "column").select(
-        "column", "x", "lows", "highs", region.alias("region"), bracket.alias("b")
-    )
-    low, high = F.get("lows", F.col("b")), F.get("highs", F.col("b"))
-    share = F.when((F.col("b") >= 0) & (high > low), (x - low) / (high - low)).otherwise(F.lit(0.0))
-    return placed.select("column", "x", "region", F.coalesce(F.floor(share * _SLICES), F.lit(0)).alias("slice"), "b")
 
+def _running(counts: DataFrame, *place: str) -> DataFrame:
+    """With the ranks ``start`` to ``end`` a digit covers; at most 65,536 digits stand in one place."""
+    end = F.sum("cnt").over(Window.partitionBy(*place).orderBy("digit"))
+    return counts.withColumn("end", end).withColumn("start", F.col("end") - F.col("cnt"))
 
-def _counted(placed: DataFrame) -> DataFrame:
-    return placed.groupBy(*_PLACE).agg(
-        F.count(F.lit(1)).alias("cnt"), F.min("x").alias("lo"), F.max("x").alias("hi")
-    )
 
+def _ranks(n: int, p: float) -> tuple[int, int, float]:
+    """The two ranks around (n - 1)·p and the share of the upper one."""
+    place = (n - 1) * float(p)
+    return floor(place), ceil(place), place - floor(place)
 
-def _running(places: DataFrame) -> DataFrame:
-    """With n, and the ranks ``start`` to ``end`` a place covers: a window over places, not over rows."""
-    column = Window.partitionBy("column")
-    end = F.sum("cnt").over(column.orderBy("region", "slice"))
-    return places.withColumns({"n": F.sum("cnt").over(column), "end": end}).withColumn("start", F.col("end") - F.col("cnt"))
 
+def _first_pass(long: DataFrame, probs: Sequence[float]) -> tuple[dict, dict]:
+    """Moments per column, and (column, rank) → (first digit, rank within it).
 
-def _brackets(places: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """(column, lows, highs, crowd): per probability the range of the places that hold its two ranks."""
-    running = _running(places)
-    lows, highs, wanted = [], [], F.lit(False)
-    for p in probs:
-        below, above, _ = _ranks(F.col("n"), p)
-        has_below, has_above = ((rank >= F.col("start")) & (rank < F.col("end")) for rank in (below, above))
-        lows.append(F.max(F.when(has_below, F.col("lo"))))
-        highs.append(F.max(F.when(has_above, F.col("hi"))))
-        wanted = wanted | has_below | has_above
-    crowd = F.max(F.when(wanted & (F.col("lo") < F.col("hi")), F.col("cnt")))
-    return running.groupBy("column").agg(F.array(*lows).alias("lows"), F.array(*highs).alias("highs"), crowd.alias("crowd"))
+    Digits' means and variances are merged pairwise, so one scan gives moments and places alike.
+    """
+    size = F.count(F.lit(1))
+    counts = long.groupBy("column", _digit(ordered_key(F.col("x")), 0).alias("digit")).agg(
+        size.alias("cnt"), F.avg("x").alias("mean"), F.var_pop("x").alias("var"), F.min("x").alias("lo"), F.max("x").alias("hi"),
+    )
+    # One row per column and digit; what comes to the driver are the digits of two ranks per probability.
+    whole = Window.partitionBy("column")
+    n = F.sum("cnt").over(whole)
+    share = F.col("cnt") / F.col("n")
+    spread = _running(counts, "column").withColumn("n", n)
+    spread = spread.withColumn("centre", F.sum(F.col("mean") * share).over(whole))
+    inner = F.col("cnt") * (F.col("var") + (F.col("mean") - F.col("centre")) ** 2)
+    places = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
+    ends = [rank.cast("bigint") for place in places for rank in (F.floor(place), F.ceil(place))]
+    hit = F.lit(False)
+    for rank in ends:
+        hit = hit | ((rank >= F.col("start")) & (rank < F.col("end")))
+    moments = spread.groupBy("column").agg(
+        F.max("n").alias("n"), F.max("centre").alias("mean"), F.sum(inner).alias("inner"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.collect_list(F.when(hit, F.struct("start", "end", "digit"))).alias("digits"),
+    )
+    found, places = {}, {}
+    for r in moments.collect():
+        deviation = None if r["n"] < 2 else (r["inner"] / (r["n"] - 1)) ** 0.5
+        found[r["column"]] = (r["n"], r["mean"], deviation, r["lo"], r["hi"])
+        wanted = {rank for p in probs for rank in _ranks(r["n"], p)[:2]}
+        for rank in wanted:
+            home = next(d for d in r["digits"] if d["start"] <= rank < d["end"])
+            places[r["column"], rank] = (home["digit"], rank - home["start"])
+    return found, places
+
+
+def _next_pass(long: DataFrame, at: int, places: dict) -> dict:
+    """Each wanted rank's place with one more digit.
+
+    Only values that share a prefix found so far are counted. The broadcast
+    prefixes are at most two per probability and column.
+    """
+    spark = long.sparkSession
+    ranks: dict[tuple[str, int], list[int]] = {}
+    for (column, _), (prefix, rank) in places.items():
+        ranks.setdefault((column, prefix), []).append(rank)
+    table = spark.createDataFrame(
+        [(c, p, sorted(set(r))) for (c, p), r in ranks.items()], "column string, prefix bigint, ranks array<bigint>")
+    keyed = long.select("column", ordered_key(F.col("x")).alias("key"))
+    inside = keyed.select("column", _prefix(F.col("key"), at).alias("prefix"), _digit(F.col("key"), at).alias("digit")).join(
+        F.broadcast(table.select("column", "prefix")), ["column", "prefix"])
+    counts = inside.groupBy("column", "prefix", "digit").agg(F.count(F.lit(1)).alias("cnt"))
+    hits = _running(counts, "column", "prefix").join(F.broadcast(table), ["column", "prefix"]).filter(
+        F.exists("ranks", lambda r: (r >= F.col("start")) & (r < F.col("end"))))
+    by_place: dict[tuple[str, int], list] = {}
+    for r in hits.select("column", "prefix", "digit", "start", "end").collect():
+        by_place.setdefault((r["column"], r["prefix"]), []).append(r)
+    found = {}
+    for (column, wanted), (prefix, rank) in places.items():
+        home = next(r for r in by_place[column, prefix] if r["start"] <= rank < r["end"])
+        found[column, wanted] = ((prefix << DIGIT_BITS) | home["digit"], rank - home["start"])
+    return found
+
+
+def profile(long: DataFrame, probs: Sequence[float]) -> dict[str, Profile]:
+    """Moments and exact quantiles, linearly interpolated, of a long frame (column, x) without nulls or NaN.
+
+    ``PASSES`` scans for any input, each ending in counts that are combined before
+    their shuffle; the driver sees a few rows per column. A column without rows has no profile.
+    """
+    moments, places = _first_pass(long, probs)
+    for at in range(1, PASSES):
+        if places:
+            places = _next_pass(long, at, places)
+    out = {}
+    for column, (n, mean, std, low, high) in moments.items():
+        values = {}
+        for p in probs:
+            below, above, weight = _ranks(n, p)
+            a, b = (key_value(places[column, rank][0]) for rank in (below, above))
+            # Equal ends may be infinite, and the difference of far ends may not fit a double.
+            values[p] = a if a == b else a * (1 - weight) + b * weight if abs(b - a) == float("inf") else a + (b - a) * weight
+        out[column] = Profile(n, mean, std, low, high, values)
+    return out
 
 
-def _ranks(n: Column, p: float) -> tuple[Column, Column, Column]:
-    """The two ranks around (n - 1)·p and the share of the upper one."""
-    place = (n - 1) * F.lit(float(p))
-    return F.floor(place), F.ceil(place), place - F.floor(place)
-
-
-def _targets(n: Column, probs: Sequence[float]) -> Column:
-    """Array of (prob, rank, weight)."""
-    rows = []
-    for p in probs:
-        below, above, weight = _ranks(n, p)
-        for rank in (below, above):
-            rows.append(F.struct(F.lit(float(p)).alias("prob"), rank.alias("rank"), weight.alias("weight")))
-    return F.array(*rows)
+def exact_quantiles(long: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(column, prob, value) of ``profile``, as a table of one row per column and probability."""
+    rows = [(c, float(p), v) for c, found in profile(long, probs).items() for p, v in found.quantiles.items()]
+    return long.sparkSession.createDataFrame(rows, "column string, prob double, value double")

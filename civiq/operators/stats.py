@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from civiq.functions.values import is_floating, is_number, is_timestamp, quoted, without_nan
-from civiq.operators.quantiles import exact_quantiles
+from civiq.operators.quantiles import profile
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -80,33 +80,27 @@ def summary_stats(df: DataFrame) -> DataFrame:
 
     Numbers fill ``value``; timestamps fill ``ts_value`` and have no deviation.
     A frame with neither gives count, unique, top and freq as (column, stat, value, top).
+    All columns share the scans of ``profile``, whose first one gives the moments too.
     """
     fields = [f for f in df.schema.fields if is_number(f.dataType) or is_timestamp(f.dataType)]
     if not fields:
         return describe_categories(df)
     names = [f.name for f in fields]
     times = [f.name for f in fields if is_timestamp(f.dataType)]
-    long = melted(df, names)
-    moments = long.groupBy("column").agg(
-        F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"), F.max("x").alias("max"),
-    )
-    labels = [f"{int(p * 100)}%" for p in QUARTILES]
-    quartiles = exact_quantiles(long, QUARTILES).groupBy("column").agg(
-        *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(label) for p, label in zip(QUARTILES, labels)]
-    )
-    by_column = moments.join(quartiles, "column")
-    # A column without values still has its rows: the count is 0, the rest null.
-    frame = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, names))).alias("column"))
-    cells = [("count", F.coalesce(F.col("n"), F.lit(0)).cast("double"))]
-    cells += [(name, F.col(name)) for name in ("mean", "std", "min")]
-    cells += [(label, quoted(label)) for label in labels]
-    cells.append(("max", F.col("max")))
-    stats = frame.join(by_column, "column", "left").select(
-        "column", F.inline(F.array(*[F.struct(F.lit(s).alias("stat"), v.alias("v")) for s, v in cells]))
-    )
+    found = profile(melted(df, names), QUARTILES)
+    stats = []
+    for c in names:
+        # A column without values still has its rows: the count is 0, the rest null.
+        seen = found.get(c)
+        cells = [("count", float(seen.n if seen else 0))]
+        for stat in ("mean", "std", "low"):
+            cells.append(({"low": "min"}.get(stat, stat), getattr(seen, stat, None)))
+        cells += [(f"{int(p * 100)}%", seen.quantiles[p] if seen else None) for p in QUARTILES]
+        cells.append(("max", getattr(seen, "high", None)))
+        stats += [(c, stat, value) for stat, value in cells]
+    table = df.sparkSession.createDataFrame(stats, "column string, stat string, v double")
     is_time = F.col("column").isin(times) & (F.col("stat") != "count")
-    return stats.select(
+    return table.select(
         "column", "stat",
         F.when(~is_time, F.col("v")).alias("value"),
         F.when(is_time & (F.col("stat") != "std"), F.timestamp_micros(F.col("v").cast("bigint"))).alias("ts_value"),

@@ -18,7 +18,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

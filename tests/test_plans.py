@@ -9,7 +9,7 @@ from civiq.operators.features import train_test_split
 from civiq.operators.rain import extract_readings, pivot_stations
 from civiq.operators.tags import cooccurrence
 from civiq.plans.jobs import clean_tickets, clean_tickets_basic
-from conftest import plan_of
+from plan_text import plan_of
 from workload.views import polygons, view
 
 SF = "/root/testdata/sf0.001"

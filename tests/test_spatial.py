@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from civiq.operators.boundaries import join_counts, repair_boundaries, report_counts, to_lonlat
 from civiq.operators.spatial import assign_polygons, grid_cells, plan_grid, verify_addresses
 from civiq.sources.boundaries import read_boundaries
-from conftest import plan_of
+from plan_text import plan_of
 
 POLYGONS = "poly_id bigint, name string, edges array<struct<x1: double, y1: double, x2: double, y2: double>>"
 

@@ -10,7 +10,7 @@ from civiq.operators.features import prepare_features, standard_scale, train_tes
 from civiq.operators import quantiles
 from civiq.operators.quantiles import exact_quantiles
 from civiq.operators.stats import correlation_matrix, histogram, null_counts, row_count, summary_stats, top_categories
-from conftest import plan_of
+from plan_text import plan_of
 
 PROBS = (0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0)
 
@@ -56,19 +56,39 @@ def test_quantiles_do_not_rank_a_whole_column(spark):
     assert "functions=[percentile(" not in plan and "CartesianProduct" not in plan and "Python" not in plan
 
 
-def test_quantiles_narrow_until_few_values_are_left(spark, monkeypatch):
-    crowds, known = [], quantiles._known
-
-    def watched(brackets):
-        table, crowd = known(brackets)
-        crowds.append(crowd)
-        return table, crowd
-
-    monkeypatch.setattr(quantiles, "_known", watched)
-    monkeypatch.setattr(quantiles, "_CROWD", 40)
-    rng = np.random.default_rng(1)
-    check_quantiles(spark, {"x": np.concatenate([1e9 + rng.random(20_000), [-1e300, 1e300, 5e-300], np.full(500, 1e9)])})
-    assert max(crowds) > 10_000 and crowds[-1] <= 40
+def test_two_far_clusters_take_as_many_scans_as_any_column(spark, monkeypatch):
+    scans, following = [], quantiles._next_pass
+    monkeypatch.setattr(quantiles, "_next_pass", lambda long, at, places: scans.append(at) or following(long, at, places))
+    half = 500_000
+    x = F.when(F.col("id") < half, 0.97 + F.col("id") * 1e-8).otherwise(1e9 + (F.col("id") - half) * 1e-7)
+    far = spark.range(2 * half, numPartitions=8).select(F.lit("far").alias("column"), x.alias("x"))
+    found = quantiles.profile(far, [0.25, 0.5])["far"]
+    assert found.quantiles[0.5] == pytest.approx((0.97 + (half - 1) * 1e-8 + 1e9) / 2, rel=1e-15)
+    assert found.n == 2 * half and found.low == 0.97
+    assert scans == list(range(1, quantiles.PASSES)) == [1, 2, 3]
+
+
+def test_largest_smallest_and_infinite_numbers(spark):
+    edge = [1.7e308, -1.7e308, 1.79e308, -1.79e308, 5e-324, -5e-324, 0.0, -0.0, 2.0**-1022, 2.0**-1023]
+    got = {(r.column, r.prob): r.value for r in exact_quantiles(long_frame(spark, edge=edge, ends=[-float("inf"), 1.0, float("inf")]), (0, 0.5, 1)).collect()}
+    assert (got["edge", 0], got["edge", 1]) == (-1.79e308, 1.79e308) and got["edge", 0.5] == 0
+    assert [got["ends", p] for p in (0, 0.5, 1)] == [-float("inf"), 1.0, float("inf")]
+    two = exact_quantiles(long_frame(spark, two=[-1.7e308, 1.7e308]), (0.5,)).first()
+    assert two.value == 0
+
+
+def test_keys_are_those_of_the_binary_form_and_in_its_order(spark):
+    rng = np.random.default_rng(6)
+    values = np.concatenate([
+        rng.integers(0, 2**63 - 2**53, 20_000).view(np.float64), [0.0, -0.0, np.inf, -np.inf, 5e-324, -5e-324, 2.2250738585072014e-308],
+        np.nextafter(2.0 ** np.arange(-1070, 1023), 0), 2.0 ** np.arange(-1074, 1024), np.nextafter(2.0 ** np.arange(-1074, 1023), np.inf),
+    ])
+    values = np.concatenate([values, -values])
+    values = values[~np.isnan(values)]
+    df = spark.createDataFrame(pd.DataFrame({"x": values})).select("x", quantiles.ordered_key(F.col("x")).alias("key")).toPandas()
+    bits = np.abs(df["x"].to_numpy()).view(np.int64)
+    assert (df["key"].to_numpy() == np.where(df["x"] < 0, -bits, bits)).all()
+    assert all(quantiles.key_value(int(k)) == x for k, x in zip(df["key"], df["x"]))
 
 
 def test_summary_agrees_with_pandas(spark):

@@ -11,7 +11,7 @@ from civiq.operators.fill import fill_constant, fill_missing
 from civiq.operators.filters import any_missing, drop_incomplete, keep_matching, keep_not_equal, keep_province, keep_years
 from civiq.operators.tags import cooccurrence, explode_tags
 from civiq.operators.tickets import add_date_parts, cast_lat_lon, coordinate_rejects, normalize_dates, split_coordinates
-from conftest import plan_of
+from plan_text import plan_of
 
 
 def rows(df):
