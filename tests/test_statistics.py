@@ -56,16 +56,23 @@ def test_quantiles_do_not_rank_a_whole_column(spark):
     assert "functions=[percentile(" not in plan and "CartesianProduct" not in plan and "Python" not in plan
 
 
-def test_two_far_clusters_take_as_many_scans_as_any_column(spark, monkeypatch):
+def test_no_spread_of_values_takes_more_than_four_scans(spark, monkeypatch):
     scans, following = [], quantiles._next_pass
-    monkeypatch.setattr(quantiles, "_next_pass", lambda long, at, places: scans.append(at) or following(long, at, places))
+    monkeypatch.setattr(quantiles, "_next_pass", lambda long, known, *rest: scans.append(known) or following(long, known, *rest))
     half = 500_000
     x = F.when(F.col("id") < half, 0.97 + F.col("id") * 1e-8).otherwise(1e9 + (F.col("id") - half) * 1e-7)
     far = spark.range(2 * half, numPartitions=8).select(F.lit("far").alias("column"), x.alias("x"))
     found = quantiles.profile(far, [0.25, 0.5])["far"]
     assert found.quantiles[0.5] == pytest.approx((0.97 + (half - 1) * 1e-8 + 1e9) / 2, rel=1e-15)
     assert found.n == 2 * half and found.low == 0.97
-    assert scans == list(range(1, quantiles.PASSES)) == [1, 2, 3]
+    assert scans[0] == 16 and len(scans) < quantiles.PASSES == 4
+    # The tenth of a thousandth apart, and a quarter of a million of one value beside them: no digit but the last tells them apart.
+    near = F.when(F.col("id") % 4 == 0, 1.0).otherwise(1 + (F.col("id") % 100_000) * 2.0**-52)
+    close = spark.range(2 * half, numPartitions=8).select(F.lit("near").alias("column"), near.alias("x"))
+    scans.clear()
+    values = close.toPandas()["x"].to_numpy()
+    found = quantiles.profile(close, [0.1, 0.5, 0.9])["near"].quantiles
+    assert found == {p: np.quantile(values, p) for p in (0.1, 0.5, 0.9)} and scans == [16, 32, 48]
 
 
 def test_largest_smallest_and_infinite_numbers(spark):
@@ -85,10 +92,9 @@ def test_keys_are_those_of_the_binary_form_and_in_its_order(spark):
     ])
     values = np.concatenate([values, -values])
     values = values[~np.isnan(values)]
-    df = spark.createDataFrame(pd.DataFrame({"x": values})).select("x", quantiles.ordered_key(F.col("x")).alias("key")).toPandas()
+    df = quantiles.with_key(spark.createDataFrame(pd.DataFrame({"x": values}))).toPandas()
     bits = np.abs(df["x"].to_numpy()).view(np.int64)
     assert (df["key"].to_numpy() == np.where(df["x"] < 0, -bits, bits)).all()
-    assert all(quantiles.key_value(int(k)) == x for k, x in zip(df["key"], df["x"]))
 
 
 def test_summary_agrees_with_pandas(spark):
