@@ -29,6 +29,14 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_name(taken: list[str], base: str) -> str:
+    """``base``, with underscores behind it until no taken name equals it, whatever the case."""
+    lower = {t.lower() for t in taken}
+    while base.lower() in lower:
+        base += "_"
+    return base
+
+
 def without_nan(column: Column) -> Column:
     return F.when(~F.isnan(column), column)
 

@@ -1,13 +1,15 @@
 import json
 import math
 import random
+import re
 from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from civiq.operators.boundaries import join_counts, repair_boundaries, report_counts, to_lonlat
-from civiq.operators.spatial import assign_polygons, grid_cells, plan_grid, verify_addresses
+from civiq.operators import spatial
+from civiq.operators.spatial import assign_polygons, grid_rows, grow_tree, hot_cells, plan_grid, verify_addresses
 from civiq.sources.boundaries import read_boundaries
 from plan_text import plan_of
 
@@ -76,7 +78,7 @@ def random_shape(rng):
     return ring(*corners)
 
 
-@pytest.mark.parametrize("options", [{"cell": 0.1}, {"cell": 0.5}, {"cell": 5.0}, {"cell": 0.5, "broadcast_bytes": 0, "salts": 3}])
+@pytest.mark.parametrize("options", [{"cell": 0.1}, {"cell": 0.5}, {"cell": 5.0}, {"cell": 0.5, "broadcast_bytes": 0, "salt_rows": 5}, {"cell": 5.0, "crowd": 4, "broadcast_bytes": 0}])
 def test_random_polygons_match_exact_brute_force(spark, options):
     rng = random.Random(11)
     shapes = [random_shape(rng) for _ in range(25)] + [HOLED]
@@ -92,7 +94,7 @@ def test_hot_point_in_the_shuffled_plan(spark):
     """A third of all rows on one spot spreads over the salts and stays whole."""
     points = [(i, 0.5, 0.5) if i % 3 == 0 else (i, 3.0, float(i % 5)) for i in range(3000)]
     df = spark.createDataFrame(points, "id bigint, longitude double, latitude double")
-    out = assign_polygons(df, polygon_table(spark, [HOLED]), [], cell=1.0, broadcast_bytes=0, salts=8)
+    out = assign_polygons(df, polygon_table(spark, [HOLED]), [], cell=1.0, broadcast_bytes=0, salt_rows=50)
     assert out.filter("poly_id = 0").count() == sum((i % 3 == 0) or 0 < i % 5 < 4 for i in range(3000))
     assert "salt" in plan_of(out) and "SortMergeJoin" in plan_of(out)
 
@@ -105,18 +107,79 @@ def test_plans(spark):
         assert bad not in plan
 
 
+def test_a_hot_cell_is_dealt_by_its_count(spark):
+    places = spark.range(3000).select(F.lit(0).alias("level"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("gx"), F.lit(1).alias("gy"))
+    hot = hot_cells(places, ["level", "gx", "gy"], 50)
+    assert [tuple(r) for r in hot.collect()] == [(0, 7, 1, 21)]  # 1000 and the one of id 7, by fifties: more than 16 tasks
+    same = spark.createDataFrame([(0.5, 0.5)] * 2000, "longitude double, latitude double").repartition(4)
+    out = assign_polygons(same, polygon_table(spark, [HOLED]), [], cell=1.0, broadcast_bytes=0, salt_rows=50)
+    salts = re.findall(r"__?salt#\d+", plan_of(out))
+    assert salts and out.filter("poly_id = 0").count() == 2000
+
+
 def test_grid_stays_within_its_bound(spark):
     shapes = [box(0, 0, 50, 50), box(3, 3, 4, 4), HOLED]
     polygons = polygon_table(spark, shapes)
-    grid = plan_grid(polygons, ["name"], cell=0.01, max_rows=5000)
+    grid = plan_grid(polygons, cell=0.01, max_rows=5000)
     assert grid.cell > 0.01 and grid.rows <= 5000
-    cells = grid_cells(polygons, ["name"], grid.cell)
-    kept = cells.select(F.explode("candidates").alias("c")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.size("c.edges"), F.lit(0))).alias("edges")
-    ).first()
-    assert kept.n <= grid.rows and kept.edges * 72 <= grid.bytes
+    rows = grid_rows(polygons, ["name"], grid.cell)
+    assert rows.count() <= grid.rows
     # Cells wholly inside carry no edges at all.
-    assert cells.select(F.explode("candidates").alias("c")).filter("c.whole").count() > kept.n / 2
+    assert rows.filter("whole AND size(kept) = 0").count() > rows.count() / 2
+
+
+def first_box(points, corners):
+    return {i: next((k for k, (a, b, c, d) in enumerate(corners) if a < x < c and b < y < d), None) for i, x, y in points}
+
+
+def tree_of(spark, shapes, places, **options):
+    return grow_tree(polygon_table(spark, shapes), ["name"], spark.createDataFrame(places, "px double, py double"), **options)
+
+
+def test_crowded_cells_are_cut_until_their_polygons_are_apart(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "_SPLIT_WORK", 100)
+    rng = random.Random(5)
+    corners = [(x, y, x + 0.01, y + 0.01) for x, y in ((rng.random(), rng.random()) for _ in range(600))]
+    shapes = [box(*c) for c in corners]
+    places = [(rng.random(), rng.random()) for _ in range(800)]
+    tree = tree_of(spark, shapes, places, cell=4.0, crowd=20)
+    assert len(tree.splits) >= 3
+    sizes = tree.leaves.groupBy("level", "gx", "gy").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 20 and tree.crowded is None
+    assert tree.leaves.count() < 3 * len(shapes)
+    points = [(i, x, y) for i, (x, y) in enumerate(places)]
+    assert joined(spark, points, shapes, cell=4.0, crowd=20, broadcast_bytes=0, salt_rows=10) == first_box(points, corners)
+
+
+def test_polygons_on_one_another_stay_rows(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "_SPLIT_WORK", 100)
+    monkeypatch.setattr(spatial, "_PAIR_BLOCK", 50)
+    rng = random.Random(6)
+    corners = [(0.1, 0.1, 0.4 + i * 1e-4, 0.4 + i * 1e-4) for i in range(300)]
+    rng.shuffle(corners)
+    stack = [box(*c) for c in corners]
+    points = [(i, rng.random(), rng.random()) for i in range(500)] + [(1000 + i, 0.41, 0.405) for i in range(100)]
+    tree = tree_of(spark, stack, [(x, y) for _, x, y in points], cell=1.0, crowd=10)
+    assert tree.crowded.count() > 0
+    # Where a cell is wholly inside a polygon, none behind that one is a candidate.
+    whole = tree.leaves.groupBy("level", "gx", "gy").agg(F.min(F.when(F.col("whole"), F.col("poly_id"))).alias("w"), F.max("poly_id").alias("m"))
+    assert whole.filter("level > 0 AND w < m").count() == 0
+    assert joined(spark, points, stack, cell=1.0, crowd=10) == first_box(points, corners)
+
+
+def test_very_many_polygons_in_one_cell(spark):
+    """100,000 of them: no list is longer than the bound, and every point has its own."""
+    side = 400
+    edges = ", ".join(f"struct({a} AS x1, {b} AS y1, {c} AS x2, {d} AS y2)" for a, b, c, d in (
+        ("x", "y", "x + s", "y"), ("x + s", "y", "x + s", "y + s"), ("x + s", "y + s", "x", "y + s"), ("x", "y + s", "x", "y")))
+    polygons = spark.range(100_000).selectExpr("id AS poly_id", f"double(id % {side}) / {2 * side} AS x", f"double(floor(id / {side})) / {2 * side} AS y", "0.001D AS s")
+    polygons = polygons.selectExpr("poly_id", f"array({edges}) AS edges")
+    points = spark.range(20_000).selectExpr("id", f"double(id % {side}) / {2 * side} + 0.0005D AS longitude", f"double(floor(id / {side})) / {2 * side} + 0.0005D AS latitude")
+    tree = grow_tree(polygons, [], points.selectExpr("longitude AS px", "latitude AS py"), cell=1.0)
+    listed = tree.leaves if tree.crowded is None else tree.leaves.join(tree.crowded, ["level", "gx", "gy"], "left_anti")
+    assert tree.splits and listed.groupBy("level", "gx", "gy").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0] <= 64
+    out = assign_polygons(points, polygons, [], cell=1.0)
+    assert out.filter("poly_id = id").count() == 20_000
 
 
 def test_verified_tickets(spark):
@@ -198,3 +261,16 @@ def test_columns_of_the_points_are_kept_whatever_their_names(spark, limit):
     points = spark.createDataFrame([(0.5, 0.5, *names)], "longitude double, latitude double, " + ", ".join(f"{n} string" for n in names))
     found = assign_polygons(points, polygon_table(spark, [box(0, 0, 1, 1)]), ["name"], broadcast_bytes=limit).first()
     assert [found[n] for n in names] == names and found.poly_id == 0 and found.name == "p0"
+
+
+@pytest.mark.parametrize("crowd", [64, 1])
+def test_points_may_have_columns_named_like_the_new_ones(spark, crowd):
+    points = spark.createDataFrame([(0.5, 0.5, "a", "b", "p0", "d")], "longitude double, latitude double, poly_id string, Name string, subdistrict string, district string")
+    areas = polygon_table(spark, [box(0, 0, 1, 1), box(0, 0, 2, 2), box(0, 0, 3, 3)])
+    found = assign_polygons(points, areas, ["name"], crowd=crowd, cell=1.0)
+    assert found.columns == [*points.columns, "poly_id_", "name_"]
+    assert tuple(found.first()) == (0.5, 0.5, "a", "b", "p0", "d", 0, "p0")
+    named = areas.withColumns({"DISTRICT_N": F.lit("d"), "SUBDISTR_1": F.col("name")})
+    tickets = points.withColumns({"DISTRICT_N": F.lit("own"), "SUBDISTR_1": F.lit("own")})
+    kept = verify_addresses(tickets, named, crowd=crowd, cell=1.0)
+    assert kept.columns == tickets.columns and kept.first().DISTRICT_N == "own" and kept.first().poly_id == "a"

@@ -42,8 +42,8 @@ def j1(spark, sf):
 @register("j1_spatial_join_shuffled", f"""
     SELECT ticket_id, poly_id, "SUBDISTR_1" FROM {MATCHED}""")
 def j1_shuffled(spark, sf):
-    """The plan for boundaries beyond a broadcast: salted cells on both sides."""
-    joined = assign_polygons(points(spark, sf), areas(spark, sf), ["SUBDISTR_1"], broadcast_bytes=0, salts=4)
+    """The plan for boundaries beyond a broadcast: both sides shuffled on the cell, busy cells salted."""
+    joined = assign_polygons(points(spark, sf), areas(spark, sf), ["SUBDISTR_1"], broadcast_bytes=0, salt_rows=500)
     return joined.select("ticket_id", "poly_id", "SUBDISTR_1")
 
 
