@@ -67,9 +67,9 @@ def _boxed(polygons: DataFrame) -> DataFrame:
     })
 
 
-def _spread(low: Column, high: Column, cell: float) -> Column:
+def _spread(low: Column, high: Column, width: Column) -> Column:
     """Cells between two values, as a double: far too many cells must not overflow."""
-    return F.floor(high / F.lit(cell)).cast("double") - F.floor(low / F.lit(cell)) + 1
+    return F.floor(high / width).cast("double") - F.floor(low / width) + 1
 
 
 def plan_grid(polygons: DataFrame, cell: float = 0.01, max_rows: int = 2_000_000) -> Grid:
@@ -78,16 +78,13 @@ def plan_grid(polygons: DataFrame, cell: float = 0.01, max_rows: int = 2_000_000
     The width never changes a result. All widths are counted arithmetically in one
     small aggregate over the polygons; nothing is exploded.
     """
-    widths = [cell * 2**k for k in range(_WIDTHS)]
-    rows = [
-        F.sum(_spread(F.col("xmin"), F.col("xmax"), w) * _spread(F.col("ymin"), F.col("ymax"), w)).alias(f"w{k}")
-        for k, w in enumerate(widths)
-    ]
-    size = _boxed(polygons).agg(F.count(F.lit(1)).alias("polygons"), *rows).first()
+    boxes = _boxed(polygons).select("xmin", "xmax", "ymin", "ymax", F.explode(F.sequence(F.lit(0), F.lit(_WIDTHS - 1))).alias("k"))
+    width = F.lit(cell) * F.pow(F.lit(2.0), F.col("k").cast("double"))
+    pairs = _spread(F.col("xmin"), F.col("xmax"), width) * _spread(F.col("ymin"), F.col("ymax"), width)
+    found = boxes.groupBy("k").agg(F.count(F.lit(1)).alias("polygons"), F.sum(pairs).alias("rows")).orderBy("k").collect()
     # Four cells per polygon are as coarse as is useful.
-    bound = max(max_rows, 4 * size["polygons"])
-    k = next((k for k in range(_WIDTHS) if (size[f"w{k}"] or 0) <= bound), _WIDTHS - 1)
-    return Grid(widths[k], int(size[f"w{k}"] or 0))
+    fit = next((r for r in found if r["rows"] <= max(max_rows, 4 * r["polygons"])), found[-1] if found else None)
+    return Grid(cell * 2 ** fit["k"], int(fit["rows"])) if fit else Grid(cell, 0)
 
 
 def _mirrored(e: Column) -> Column:
