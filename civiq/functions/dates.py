@@ -20,10 +20,11 @@ DATE_PATTERNS = [
 ]
 
 
-# What a strict parse takes: extended or basic dates and times, T or one blank between, a fraction, an offset.
+# What a strict parse takes: extended or basic dates and times, T or one blank between, a fraction behind a point, an offset.
+# Six digits could be a month or a day of a short year and are refused; an offset without a colon has two digits or four.
 ISO_PATTERN = (
-    r"^\d{4}(-\d{2}(-\d{2})?|\d{2}\d{2}|\d{2})?"
-    r"([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?|\d{2}(\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+    r"^\d{4}(-\d{2}(-\d{2})?|\d{2}\d{2})?"
+    r"([T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?|\d{2}(\d{2}(\.\d+)?)?)?(Z|[+-](\d{1,2}(:\d{2})?|\d{4}))?)?$"
 )
 # What a tolerant reading takes as well: fields of one digit.
 _LOOSE_ISO = r"^\d{4}(-\d{1,2}(-\d{1,2}([T ]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?)?)?)?$"
@@ -31,12 +32,14 @@ _OFFSET = r"(?<=:\d{1,2}(\.\d{1,9})?)(Z|[+-]\d{2}(:?\d{2})?)$"
 
 
 def parse_iso(column: Column, on_error: str = "raise") -> Column:
-    """ISO-8601 text to timestamp; the basic form (``20240102T0304``) takes a second attempt."""
+    """ISO-8601 text to timestamp; the basic form (``20240102T0304``), bare hours and short offsets take a second attempt."""
     if on_error not in ("raise", "null"):
         raise ValueError("on_error must be 'raise' or 'null'")
     full = F.regexp_replace(column, r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3")
     full = F.regexp_replace(full, r"[T ](\d{2})(\d{2})(\d{2})?(?![\d:])", "T$1:$2:$3")
+    full = F.regexp_replace(full, r"[T ](\d{2})(?![\d:])", "T$1:00")
     full = F.regexp_replace(full, r"(T\d{2}:\d{2}):?(?![\d:])", "$1:00")
+    full = F.regexp_replace(full, r"([+-])(\d)(:\d{2})?$", "$10$2$3")
     # The pattern keeps out what a cast also takes: blanks around, zone names, a time without a date.
     parsed = F.when(column.rlike(ISO_PATTERN), F.coalesce(column.try_cast("timestamp"), full.try_cast("timestamp")))
     if on_error == "null":

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from civiq.functions.values import MISSING_PATTERN, NUMBER_PATTERN, SPECIAL_PATTERN, quoted, strip_blanks, text_to_double
+from civiq.sources.blocks import is_large, opens_quote, read_csv_blocks
 
 # The texts pandas reads as missing.
 NA_TOKENS = [
@@ -21,9 +22,11 @@ def read_csv_text(
 ) -> DataFrame:
     """A CSV with a header, every column a string; quoted newlines and doubled quotes are kept.
 
-    A multi-line file is one task, as its records cannot be found by splitting.
-    Give ``multiline=False`` where the files are large and hold no quoted newline.
+    Spark reads a multi-line file in one task; a file longer than a task's share goes to ``read_csv_blocks``, which
+    finds the same records in many. Without quoted newlines, ``multiline=False`` needs no shuffle.
     """
+    if multiline and is_large(spark, path):
+        return read_csv_blocks(spark, path, schema)
     reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
     return (reader.schema(schema) if schema else reader).csv(path)
 
@@ -57,9 +60,11 @@ def _typed(field: T.StructField, on_error: str) -> Column:
 
 
 def reject_open_quotes(spark: SparkSession, path: str) -> None:
-    """Raise if a line of the file ends inside quotes: such records need ``multiline=True``."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
-    torn = spark.read.text(path).filter(quotes % 2 == 1).first()
+    """Raise if a line of the file ends inside a quoted value: such records need ``multiline=True``.
+
+    A quote inside a value that doesn't start with one is a character like any other.
+    """
+    torn = spark.read.text(path).filter(opens_quote(F.col("value"))).first()
     if torn:
         raise ValueError(f"a quoted value holds a line break, read with multiline=True: {torn['value'][:80]!r}")
 

@@ -124,6 +124,21 @@ def test_parse_iso_forms(spark):
     assert evaluate(spark, ["02/01/2024", "10:20", "T10:20:30", "x"], parse_iso(F.col("v"), "null")) == [None] * 4
 
 
+def test_bare_hours_and_short_offsets(spark):
+    shown = F.date_format(parse_iso(F.col("v")), "yyyy-MM-dd HH:mm:ss.SSS")
+    forms = {
+        "2024-01-05T10Z": "10:00:00.000", "2024-01-05T10:00+7": "03:00:00.000", "2024-01-05 10": "10:00:00.000",
+        "2024-01-05T10+07:00": "03:00:00.000", "2024-01-05T10:00-3:30": "13:30:00.000", "2024-01-05T10:00:01.5+07": "03:00:01.500",
+        "20240105T10": "10:00:00.000", "2024-01-05T10:00:00.25+0130": "08:30:00.250", "20240105T101112-1": "11:11:12.000",
+    }
+    assert evaluate(spark, list(forms), shown) == [f"2024-01-05 {v}" for v in forms.values()]
+    refused = ["202401", "2024-01-05T10:00:00,5", "2024-01-05T10:00+730", "2024-01-05T1", "2024-01-05+7"]
+    assert evaluate(spark, refused, parse_iso(F.col("v"), "null")) == [None] * len(refused)
+    for text in refused:
+        with pytest.raises(Exception, match="not an ISO"):
+            evaluate(spark, [text], parse_iso(F.col("v")))
+
+
 def test_strftime_patterns():
     assert strftime_to_pattern("%Y-%m-%d") == "yyyy-MM-dd"
     assert strftime_to_pattern("%d/%m/%Y at %H:%M") == "dd/MM/yyyy 'at' HH:mm"

@@ -199,6 +199,27 @@ def f1(spark, sf):
     )
 
 
+_FORMS = {
+    0: ("date_format(ts, \"yyyy-MM-dd'T'HH'Z'\")", "date_trunc('hour', ts)"),
+    1: ("date_format(ts, \"yyyy-MM-dd'T'HH:mm'+7'\")", "date_trunc('minute', ts) - INTERVAL 7 HOUR"),
+    2: ("date_format(ts, 'yyyyMMdd')", "date_trunc('day', ts)"),
+    3: ("date_format(ts, 'yyyy-MM-dd HH')", "date_trunc('hour', ts)"),
+    4: ("date_format(ts, \"yyyy-MM-dd'T'HH'-3:30'\")", "date_trunc('hour', ts) + INTERVAL 210 MINUTE"),
+    5: ("date_format(ts, \"yyyyMMdd'T'HHmmss'+0130'\")", "date_trunc('second', ts) - INTERVAL 90 MINUTE"),
+    6: ("date_format(ts, 'yyyyMM')", "NULL"),
+}
+
+
+@register("f1_iso_forms", f"""
+    SELECT event_id, strftime(CASE event_id % 7 {' '.join(f'WHEN {k} THEN {sql}' for k, (_, sql) in _FORMS.items())} END,
+        '%Y-%m-%d %H:%M:%S') AS ts FROM events""")
+def f1_forms(spark, sf):
+    """Bare hours, basic forms and short offsets; six digits are no date."""
+    text = " ".join(f"WHEN {k} THEN {form}" for k, (form, _) in _FORMS.items())
+    df = table(spark, sf, "events").selectExpr("event_id", f"CASE event_id % 7 {text} END AS text")
+    return df.select("event_id", F.date_format(parse_iso(F.col("text"), "null"), "yyyy-MM-dd HH:mm:ss").alias("ts"))
+
+
 # Every fourth date is broken.
 _LOOSE_DATE = "CASE WHEN o_orderkey % 4 = 1 THEN 'soon' ELSE {iso} || ' 10:20:30' END"
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from civiq.operators.rain import date_series, request_plan
 from civiq.session import scratch_dir
+from civiq.sources.blocks import read_csv_blocks
 from civiq.sources.boundaries import read_boundaries
 from civiq.sources.landing import lookup_pages, parse_bodies
 from civiq.sources.rain_text import read_reports
@@ -30,6 +31,16 @@ def s1(spark, sf):
     return back.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "lang", "source", "n_chars")
 
 
+@register("s1_csv_scan_blocks", """
+    SELECT CAST(doc_id AS STRING) AS doc_id, md5(text) AS text_md5, lang, source, CAST(n_chars AS STRING) AS n_chars
+    FROM documents""")
+def s1_blocks(spark, sf):
+    """The same records, found block by block."""
+    path = scratch_dir(spark, "s1b")
+    write_csv(table(spark, sf, "documents"), path)
+    return read_csv_blocks(spark, path).select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "lang", "source", "n_chars")
+
+
 @register("s2_csv_scan_inferred", f"""
     SELECT l_returnflag, count(*) AS n, count(quantity) AS n_quantity, CAST(sum(quantity) AS DOUBLE) AS sum_quantity,
            round(sum(price), 2) AS sum_price, CAST(sum(level) AS BIGINT) AS sum_level
@@ -101,15 +112,13 @@ def geojson_lines(spark, sf):
     return view(spark, sf, "boundaries").select(F.to_json(feature).alias("value"))
 
 
-@register("s8_boundary_scan", f"""
+_BOXES = f"""
     SELECT poly_id, SUBDISTR_1, DISTRICT_I, CAST(4326 AS BIGINT) AS epsg, CAST(4 AS BIGINT) AS n_edges,
            round(x0, 6) AS xmin, round(x1, 6) AS xmax, round(y0, 6) AS ymin, round(y1, 6) AS ymax
-    FROM {duck('boundaries')}""")
-def s8(spark, sf):
-    path = scratch_dir(spark, "s8")
-    geojson_lines(spark, sf).write.text(path)
-    polygons = read_boundaries(spark, path, ["SUBDISTR_1", "DISTRICT_I"], layout="lines", index="poly_id")
+    FROM {duck('boundaries')}"""
 
+
+def _boxes(polygons):
     def extreme(pick, a):
         return F.round(pick(F.transform("edges", lambda e: e[a])), 6)
 
@@ -121,6 +130,26 @@ def s8(spark, sf):
     )
 
 
+@register("s8_boundary_scan", _BOXES)
+def s8(spark, sf):
+    path = scratch_dir(spark, "s8")
+    geojson_lines(spark, sf).write.text(path)
+    return _boxes(read_boundaries(spark, path, ["SUBDISTR_1", "DISTRICT_I"], layout="lines", index="poly_id"))
+
+
+@register("s8_boundary_collection", _BOXES)
+def s8_collection(spark, sf):
+    """One FeatureCollection document, its features found by depth."""
+    path = scratch_dir(spark, "s8c")
+    number = F.get_json_object("value", "$.properties.poly_id").cast("bigint")
+    lines = geojson_lines(spark, sf).select(number.alias("at"), "value")
+    ends = spark.createDataFrame([(-1, '{"type": "FeatureCollection", "features": ['), (1 << 62, "]}")], "at bigint, value string")
+    last = lines.agg(F.max("at")).scalar()
+    listed = lines.select("at", F.when(F.col("at") == last, F.col("value")).otherwise(F.concat("value", F.lit(","))).alias("value"))
+    listed.unionByName(ends).coalesce(1).sortWithinPartitions("at").select("value").write.text(path)
+    return _boxes(read_boundaries(spark, path, ["SUBDISTR_1", "DISTRICT_I"], layout="blocks", index="poly_id"))
+
+
 def land_reports(spark, sf, label):
     """One folder of text per date, as the reports would be landed."""
     path = scratch_dir(spark, label)
