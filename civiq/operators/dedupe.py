@@ -5,12 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from civiq.functions.values import quoted
+from civiq.session import scratch_dir
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def drop_rare_duplicates(df: DataFrame, most: int = 4_000_000) -> DataFrame:
+    """The rows of ``drop_exact_duplicates``, at less cost where rows are wide and few are repeated.
+
+    Digests are counted first: 16 bytes a row are shuffled, whatever its width. Rows whose digest stands alone are unlike
+    all others and stay where they are; only the rest is shuffled whole, and compared by value. The repeated digests are
+    counted when this is called and broadcast up to ``most`` of them; beyond that, all rows are shuffled as usual.
+    The rows are read twice.
+    """
+    own = "_digest"
+    while any(c.lower().startswith(own) for c in df.columns):
+        own += "_"
+    cells = [quoted(c) for c in df.columns]
+    # Two hashes of one row: the second starts from a constant, so that they differ.
+    keys = [own + "a", own + "b"]
+    marked = df.withColumns(dict(zip(keys, (F.xxhash64(*cells), F.xxhash64(F.lit(own), *cells)))))
+    counts = marked.groupBy(*keys).agg(F.count(F.lit(1)).alias(own + "n"))
+    stored = scratch_dir(df.sparkSession, "digests")
+    counts.filter(F.col(own + "n") > 1).select(*keys, F.lit(True).alias(own + "r")).write.parquet(stored)
+    repeated = df.sparkSession.read.parquet(stored)
+    if repeated.count() > most:
+        return drop_exact_duplicates(df)
+    told = marked.join(F.broadcast(repeated), keys, "left")
+    alone = told.filter(F.col(own + "r").isNull()).select(*cells)
+    return alone.unionByName(told.filter(F.col(own + "r")).select(*cells).dropDuplicates())
+
+
 def keep_first(df: DataFrame, subset: list[str], order_by: list[str]) -> DataFrame:
     """One row per ``subset``: the first in ``order_by`` order.
 

@@ -126,29 +126,48 @@ def describe_categories(df: DataFrame) -> DataFrame:
     )))
 
 
-def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def _tiles(count: int, width: int) -> list[list[tuple[int, int]]]:
+    """All pairs i <= j in tiles of ``width`` columns against ``width`` columns."""
+    starts = range(0, count, width)
+    return [
+        [(i, j) for i in range(a, min(a + width, count)) for j in range(max(i, b), min(b + width, count))]
+        for a in starts for b in starts if b >= a
+    ]
+
+
+def correlation_matrix(df: DataFrame, columns: list[str] | None = None, tile: int | None = None) -> DataFrame:
     """Pearson correlation of every column pair as (row, col, corr), pairwise complete.
 
-    Each row is stacked into one row per pair and one small aggregate runs per
-    pair: hundreds of aggregates side by side would make a function too large
-    to be compiled. A column without variance gives null.
+    Co-moments of a tile of column pairs are aggregated side by side, merged from task to task in one row: rows are
+    neither stacked nor shuffled, whatever the number of columns. A tile reads its own columns only, and its width bounds
+    the size of the compiled aggregate: few columns make tiles of 4, which Spark compiles into one loop, many make
+    tiles of 12, which read each column less often. A column without variance gives null.
     """
     columns = columns or [f.name for f in df.schema.fields if is_number(f.dataType)]
+    tile = tile or (4 if len(columns) <= 12 else 12)
     doubles = df.select(*[_as_double(quoted(c), df.schema[c].dataType).alias(f"c{i}") for i, c in enumerate(columns)])
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    cells = [part for k, (i, j) in enumerate(pairs) for part in (F.lit(k), F.col(f"c{i}"), F.col(f"c{j}"))]
-    stacked = doubles.select(F.stack(F.lit(len(pairs)), *cells).alias("pair", "x", "y"))
-    complete = stacked.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    # The built-in corr divides by zero, and so raises, for a column without variance.
-    spread = F.sqrt(F.var_pop("x") * F.var_pop("y"))
-    found = complete.groupBy("pair").agg(F.try_divide(F.covar_pop("x", "y"), spread).alias("corr"))
-
-    named = [
-        F.struct(F.lit(k).alias("pair"), F.lit(columns[a]).alias("row"), F.lit(columns[b]).alias("col"))
-        for k, (i, j) in enumerate(pairs) for a, b in sorted({(i, j), (j, i)})
-    ]
-    frame = df.sparkSession.range(1).select(F.inline(F.array(*named)))
-    return frame.join(found, "pair", "left").select("row", "col", "corr")
+    found = None
+    for pairs in _tiles(len(columns), tile):
+        moments, cells = [], []
+        for k, (i, j) in enumerate(pairs):
+            x, y = F.col(f"c{i}"), F.col(f"c{j}")
+            if i == j:
+                moments.append(F.var_pop(x).alias(f"xx{k}"))
+                corr = F.try_divide(F.col(f"xx{k}"), F.col(f"xx{k}"))
+            else:
+                moments += [
+                    F.covar_pop(x, y).alias(f"xy{k}"), F.var_pop(F.when(y.isNotNull(), x)).alias(f"xx{k}"),
+                    F.var_pop(F.when(x.isNotNull(), y)).alias(f"yy{k}"),
+                ]
+                # The built-in corr divides by zero, and so raises, for a column without variance.
+                corr = F.try_divide(F.col(f"xy{k}"), F.sqrt(F.col(f"xx{k}")) * F.sqrt(F.col(f"yy{k}")))
+            cells += [
+                F.struct(F.lit(columns[a]).alias("row"), F.lit(columns[b]).alias("col"), corr.alias("corr"))
+                for a, b in sorted({(i, j), (j, i)})
+            ]
+        part = doubles.agg(*moments).select(F.inline(F.array(*cells)))
+        found = part if found is None else found.unionByName(part)
+    return found if found is not None else df.sparkSession.createDataFrame([], "row string, col string, corr double")
 
 
 def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 20) -> DataFrame:

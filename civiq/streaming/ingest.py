@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from civiq.operators.rain import extract_readings
+from civiq.operators.rain import DATE_PATTERN, extract_readings, pivot_stations
+from civiq.session import scratch_dir
 from civiq.sources.rain_text import as_report_lines
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -40,3 +41,46 @@ def ingest_rain_reports(spark: SparkSession, source: str, target: str, checkpoin
         spark, source, target, checkpoint, "value string", "text",
         lambda text: extract_readings(as_report_lines(text, F.col("_path"))),
     )
+
+
+def ingest_wide_history(
+    spark: SparkSession, source: str, target: str, checkpoint: str, stations: list[str], files_per_batch: int = 10000,
+) -> None:
+    """New report files into the wide table, one row per date and one column per station, kept in a folder per ``month``.
+
+    A date that is landed, or landed again, replaces its row; only the months of such dates are read and written, by a
+    dynamic partition overwrite. A batch that is repeated after a failure writes the same rows again. Two readings for
+    one date and station in one batch raise, as does a station that isn't listed.
+    """
+    def merge(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        month = F.date_format(F.to_date("Date", DATE_PATTERN), "yyyy-MM").alias("month")
+        fresh = pivot_stations(extract_readings(as_report_lines(batch, F.col("_path"))), stations)
+        stored = scratch_dir(session, "wide")
+        fresh.select("*", month).write.parquet(f"{stored}/new")
+        fresh = session.read.parquet(f"{stored}/new")
+        # One value per month of the batch.
+        months = sorted(r["month"] for r in fresh.select("month").distinct().collect())
+        if not months:
+            return
+        rows = fresh
+        if _exists(session, target):
+            kept = session.read.schema(fresh.schema).parquet(target).filter(F.col("month").isin(months))
+            rows = kept.join(fresh.select("Date"), "Date", "left_anti").unionByName(fresh)
+            rows.write.parquet(f"{stored}/merged")
+            rows = session.read.parquet(f"{stored}/merged")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(target)
+
+    reader = spark.readStream.format("text").schema("value string").option("recursiveFileLookup", True)
+    landed = reader.option("maxFilesPerTrigger", files_per_batch).load(source)
+    present = landed.select("value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_size").alias("_size"))
+    query = (
+        present.filter(F.col("_size") > 0).drop("_size").writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)

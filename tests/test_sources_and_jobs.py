@@ -14,7 +14,7 @@ from civiq.sources.landing import lookup_pages, parse_bodies, request_url
 from civiq.sources.rain_text import read_reports
 from civiq.sources.stations import parse_station_arrays, unreadable_station_texts
 from civiq.sources.tables import read_csv, read_csv_text, read_json, write_csv, write_json, write_parquet
-from civiq.streaming.ingest import ingest_landed, ingest_rain_reports
+from civiq.streaming.ingest import ingest_landed, ingest_rain_reports, ingest_wide_history
 
 
 def rows(df):
@@ -231,6 +231,36 @@ def test_each_landed_file_is_taken_once(spark, tmp_path):
     assert rows(spark.read.parquet(target)) == [(1,), (2,), (3,)]
 
 
+def test_a_new_date_rewrites_its_month_alone(spark, tmp_path):
+    source, target, state = tmp_path / "in", tmp_path / "wide", str(tmp_path / "state")
+
+    def land(name, day, *lines):
+        folder = source / f"day={day}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text("\n".join(lines))
+
+    def table():
+        ingest_wide_history(spark, str(source), str(target), state, ["A", "B.1"])
+        return {r["Date"]: (r["A"], r["B.1"]) for r in spark.read.parquet(str(target)).collect()}
+
+    def written():
+        return {p.parent.name: (p.name, p.stat().st_mtime_ns) for p in target.glob("month=*/*.parquet")}
+
+    land("a.txt", "2024-01-30", "1 2 0.5 RF.A", "1 2 1.5 RF.B.1")
+    land("a.txt", "2024-02-01", "1 2 0.25 RF.A")
+    first = table()
+    assert first == {"30/01/2024": (0.5, 1.5), "01/02/2024": (0.25, None)}
+    before = written()
+    land("b.txt", "2024-02-02", "1 2 7.0 RF.B.1")
+    assert table() == first | {"02/02/2024": (None, 7.0)}
+    after = written()
+    assert after["month=2024-01"] == before["month=2024-01"] and after["month=2024-02"] != before["month=2024-02"]
+    land("again.txt", "2024-01-30", "1 2 9.0 RF.A")
+    assert table() == {"30/01/2024": (9.0, None), "01/02/2024": (0.25, None), "02/02/2024": (None, 7.0)}
+    assert written()["month=2024-02"] == after["month=2024-02"]
+    assert table()["30/01/2024"] == (9.0, None)
+
+
 def test_incremental_reports_equal_the_batch(spark, tmp_path):
     source, target, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     land(source, ["01-01-2022"])

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from civiq.operators.boundaries import join_counts, repair_boundaries, report_counts, to_lonlat
+from civiq.functions.geometry import EVEREST_1937, INDIAN_1975_SHIFT, WGS_84, Shift, shift_datum
 from civiq.operators import spatial
 from civiq.operators.spatial import assign_polygons, grid_rows, grow_tree, hot_cells, plan_grid, verify_addresses
 from civiq.sources.boundaries import read_boundaries
@@ -231,6 +232,23 @@ def test_utm_of_known_places(spark):
         to_lonlat(df.withColumn("epsg", F.lit(3857))).collect()
 
 
+def test_datum_shifts(spark):
+    def shifted(lon, lat, *how):
+        point = F.array(F.struct(F.lit(lon).alias("x"), F.lit(lat).alias("y")))
+        return spark.range(1).select(F.inline(shift_datum(point, *how))).first()
+
+    same = shifted(100.5, 13.75, WGS_84, WGS_84, Shift(0, 0, 0))
+    assert tuple(same) == (pytest.approx(100.5, abs=1e-12), pytest.approx(13.75, abs=1e-11))
+    # On the equator at the prime meridian, a turn about the axis by an arc second moves the longitude by as much.
+    assert shifted(0.0, 0.0, WGS_84, WGS_84, Shift(0, 0, 0, rz=1.0)).x == pytest.approx(1 / 3600, rel=1e-9)
+    assert shifted(0.0, 0.0, WGS_84, WGS_84, Shift(0, 100.0, 0)).x == pytest.approx(math.degrees(math.atan(100 / 6378137)), rel=1e-12)
+    pole = shifted(10.0, 90.0, WGS_84, WGS_84, Shift(0, 0, 50.0, ppm=3.0))
+    assert pole.y == pytest.approx(90.0, abs=1e-9)
+    # In Bangkok the older coordinates lie some 400 m to the south-east; the query beside its SQL checks the digits.
+    moved = shifted(100.5, 13.75, EVEREST_1937, WGS_84, INDIAN_1975_SHIFT)
+    assert 250 < (100.5 - moved.x) * 108_000 < 450 and 150 < (moved.y - 13.75) * 110_600 < 250
+
+
 def test_geojson_collection(spark, tmp_path):
     square = [[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]
     hole = [[1, 1], [2, 1], [2, 2], [1, 2], [1, 1]]

@@ -137,6 +137,19 @@ def test_correlations_are_pairwise_complete(spark):
     assert got[("a", "c")] is None and got[("c", "c")] is None
 
 
+def test_correlations_of_many_columns_stack_no_rows(spark):
+    rng = np.random.default_rng(7)
+    pdf = pd.DataFrame(rng.normal(size=(300, 40)), columns=[f"v{i}" for i in range(40)])
+    pdf = pdf.mask(rng.random(pdf.shape) < 0.1)
+    df = spark.createDataFrame(pdf)
+    matrix = correlation_matrix(df, tile=16)
+    plan = plan_of(matrix)
+    assert "Expand" not in plan and "stack" not in plan and "hashpartitioning" not in plan
+    got = matrix.toPandas().pivot(index="row", columns="col", values="corr").loc[pdf.columns, pdf.columns]
+    assert np.allclose(got.to_numpy(), pdf.corr().to_numpy(), rtol=0, atol=1e-12)
+    assert correlation_matrix(df.select(F.lit("x").alias("t"))).collect() == []
+
+
 def test_histogram_agrees_with_numpy(spark):
     rng = np.random.default_rng(5)
     columns = {"a": rng.normal(size=500), "b": np.round(rng.uniform(0, 1, 500), 2), "k": np.full(500, 3.0)}
@@ -169,10 +182,20 @@ def test_split_has_the_exact_size_and_repeats(spark, n, test_size):
         assert {r.id for r in other.filter("split = 'test'").collect()} != chosen
 
 
-def test_split_refuses_repeated_keys(spark):
+def test_rows_that_share_a_key_are_split_by_their_content(spark):
     df = spark.range(100).selectExpr("id % 3 AS k", "id AS v")
-    with pytest.raises(Exception, match="not unique"):
-        train_test_split(df, ["k"]).collect()
+    for size in (0.2, 0.5):
+        assert train_test_split(df, ["k"], size).filter("split = 'test'").count() == 100 * size
+    with pytest.raises(ValueError, match="cannot be told apart"):
+        train_test_split(spark.range(10).selectExpr("1 AS k"), ["k"])
+
+
+def test_the_plan_does_not_grow_with_the_features(spark):
+    def relations(count):
+        df = spark.range(50).select("id", *[(F.col("id") % (i + 2)).alias(f"f{i}") for i in range(count)], F.lit(1).alias("y"))
+        return plan_of(prepare_features(df, "y", ["id"])).count("Range")
+
+    assert relations(1) == relations(10) == 1
 
 
 def test_scaling_is_fitted_on_the_training_rows(spark):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from civiq.operators.columns import clean_names, drop_columns, order_columns, select_numeric, standardize_names, union_by_name
-from civiq.operators.dedupe import drop_exact_duplicates, keep_first
+from civiq.operators.dedupe import drop_exact_duplicates, drop_rare_duplicates, keep_first
 from civiq.operators.fill import fill_constant, fill_missing
 from civiq.operators.filters import any_missing, drop_incomplete, keep_matching, keep_not_equal, keep_province, keep_years
 from civiq.operators.tags import cooccurrence, explode_tags
@@ -161,3 +161,19 @@ def test_fill_missing_strategies(spark):
     with pytest.raises(ValueError):
         fill_missing(df, "most")
     assert "NestedLoop" not in plan_of(fill_missing(df, "mean"))
+
+
+def test_rare_duplicates_are_found_by_digests(spark, tmp_path):
+    wide = [f"md5(cast(id * {i} AS string)) AS c{i}" for i in range(2, 22)]
+    rows = spark.range(20_000).selectExpr("id", "cast(null AS string) AS empty", "double('NaN') AS nan", *wide)
+    path = str(tmp_path / "rows")
+    rows.unionByName(rows.filter("id % 2000 = 0")).unionByName(rows.filter("id % 4000 = 0")).write.parquet(path)
+    df = spark.read.parquet(path)
+    found = drop_rare_duplicates(df)
+    assert found.columns == df.columns and found.count() == 20_000 and found.distinct().count() == 20_000
+    # Only rows with a digest that occurs more than once go into a shuffle of whole rows.
+    found.write.format("noop").mode("overwrite").save()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("BroadcastExchange") >= 1
+    assert drop_rare_duplicates(df, most=3).count() == 20_000
+    assert drop_rare_duplicates(spark.createDataFrame([(1, 2)] * 5, "_digest int, `a.b` int")).count() == 1

@@ -110,16 +110,40 @@ _SNYDER = """
   FROM h"""
 
 
-@register("j6_reproject", _SNYDER)
-def j6(spark, sf):
-    """Rectangles in UTM zone 47 north, their first corner compared."""
+def _reprojected(spark, sf, epsg):
+    """Rectangles in a zone 47, their first corner as longitude and latitude."""
     east, north = "double(500000 + (s_suppkey % 100) * 1000)", "double(1500000 + floor(s_suppkey / 1e2) * 1000)"
     edges = f"array(named_struct('x1', {east}, 'y1', {north}, 'x2', {east} + 1000, 'y2', {north}))"
-    metric = table(spark, sf, "supplier").selectExpr("s_suppkey AS poly_id", "32647 AS epsg", f"{edges} AS edges")
+    metric = table(spark, sf, "supplier").selectExpr("s_suppkey AS poly_id", f"{epsg} AS epsg", f"{edges} AS edges")
     first = F.get("edges", F.lit(0))
     return to_lonlat(metric).select("poly_id", F.round(first.x1, 5).alias("lon"), F.round(first.y1, 5).alias("lat"))
 
 
+@register("j6_reproject", _SNYDER)
+def j6(spark, sf):
+    return _reprojected(spark, sf, 32647)
+
+
+# Another series on another ellipsoid, then geocentric coordinates, the way back iterated.
+_INDIAN = _SNYDER.replace("6378137.0", "6377276.345").replace("298.257223563", "300.8017").replace(", 5) AS l", ", 12) AS l") + """ """
+_GEOCENTRIC = """
+  SELECT poly_id, radians(lon) AS l, radians(lat) AS b, 6377276.345::DOUBLE AS a, (2 - 1 / 300.8017::DOUBLE) / 300.8017::DOUBLE AS e2 FROM old"""
+_ITERATED = " ".join(f"""
+  , i{k + 1} AS (SELECT *, atan2(z + 0.00669437999014132 * 6378137.0 / sqrt(1 - 0.00669437999014132 * sin(f{k}) ** 2) * sin(f{k}), r) AS f{k + 1} FROM i{k})"""
+    for k in range(6))
+
+
+@register("j6_reproject_indian", f"""
+  WITH old AS ({_INDIAN}), g AS ({_GEOCENTRIC}),
+  n AS (SELECT *, a / sqrt(1 - e2 * sin(b) ** 2) AS n FROM g),
+  p AS (SELECT poly_id, n * cos(b) * cos(l) + 210 AS x, n * cos(b) * sin(l) + 814 AS y, n * (1 - e2) * sin(b) + 289 AS z FROM n),
+  i0 AS (SELECT *, sqrt(x * x + y * y) AS r, atan2(z, sqrt(x * x + y * y)) AS f0 FROM p) {_ITERATED}
+  SELECT poly_id, round(degrees(atan2(y, x)), 5) AS lon, round(degrees(f6), 5) AS lat FROM i6""")
+def j6_indian(spark, sf):
+    """The same rectangles on the datum usual for older maps of the region."""
+    return _reprojected(spark, sf, 24047)
+
+
 @register("a1_row_count", "SELECT count(*) AS rows FROM events")
 def a1(spark, sf):
     return row_count(table(spark, sf, "events"))

@@ -9,7 +9,7 @@ from civiq.operators.rain import pivot_stations
 from civiq.plans.jobs import clean_tickets, clean_tickets_from_files, explore, generic_etl, rain_history, station_table, ticket_etl
 from civiq.session import scratch_dir
 from civiq.sources.tables import read_csv, read_parquet, write_csv
-from civiq.streaming.ingest import ingest_rain_reports
+from civiq.streaming.ingest import ingest_rain_reports, ingest_wide_history
 from workload.analytics import REPAIRED, STATIONS, pivot_sql, plain_names
 from workload.registry import register
 from workload.rows import COORDS, DUCK_TAGS, TICKETS
@@ -93,6 +93,16 @@ def e4_incremental(spark, sf):
     return plain_names(pivot_stations(read_parquet(spark, target), STATIONS))
 
 
+@register("e4_rain_history_by_month", pivot_sql())
+def e4_by_month(spark, sf):
+    """The wide table kept by month: the second run finds nothing new and rewrites nothing."""
+    source = land_reports(spark, sf, "e4m-in")
+    target, checkpoint = scratch_dir(spark, "e4m-out"), scratch_dir(spark, "e4m-state")
+    for _ in range(2):
+        ingest_wide_history(spark, source, target, checkpoint, STATIONS)
+    return plain_names(read_parquet(spark, target).drop("month"))
+
+
 @register("e5_station_metadata", """
     SELECT 'RF.S.' || CAST(s_suppkey AS STRING) AS "StationCode", s_name AS "StationName_Short",
            'NATION_' || CAST(s_suppkey % 25 AS STRING) AS "DistrictName",

@@ -11,7 +11,7 @@ from civiq.functions.values import text_to_bigint, text_to_double
 from civiq.operators.columns import (
     clean_names, drop_columns, order_columns, select_numeric, select_renamed, standardize_names, union_by_name,
 )
-from civiq.operators.dedupe import drop_exact_duplicates, first_rows, keep_first, sort_descending
+from civiq.operators.dedupe import drop_exact_duplicates, drop_rare_duplicates, first_rows, keep_first, sort_descending
 from civiq.operators.filters import (
     any_missing, drop_incomplete, keep_agreeing, keep_matching, keep_not_equal, keep_present, keep_province,
     keep_tag, keep_years,
@@ -346,6 +346,13 @@ def d1(spark, sf):
     return drop_exact_duplicates(table(spark, sf, "lineitem").select("l_suppkey", "l_linenumber", "l_returnflag", "l_discount"))
 
 
+@register("d1_rare_duplicates", "SELECT DISTINCT * FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 50 = 0)")
+def d1_rare(spark, sf):
+    """Whole rows, few of them repeated."""
+    rows = table(spark, sf, "lineitem")
+    return drop_rare_duplicates(rows.unionByName(rows.filter("l_orderkey % 50 = 0")))
+
+
 @register("d2_keep_first", """
     SELECT o_custkey, o_orderkey, o_totalprice, o_orderstatus FROM orders
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1""")
