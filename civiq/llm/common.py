@@ -10,6 +10,9 @@ from pyspark.sql.window import Window
 from civiq.session import scratch_dir
 
 
+_VALUES = 100_000  # counts that are broadcast
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -58,8 +61,11 @@ def draw(rows: DataFrame, by: str, key: str, most: int) -> DataFrame:
     """At most ``most`` rows of each value of ``by``, those with the least hashes of the key; with ``drawn``, the hash.
 
     Values with more rows are thinned by their count first, so that about twice ``most`` of each are ranked in one place.
+    The counts, one for each value, are broadcast up to ``_VALUES`` of them: no row is dealt by its value before it is thinned.
     """
     counts = rows.groupBy(by).agg(F.count("*").alias("rows_of_value"))
+    if counts.count() <= _VALUES:
+        counts = F.broadcast(counts)
     thinned = rows.join(counts, by).withColumn("drawn", F.pmod(F.xxhash64(key, F.lit("draw")), F.lit(1 << 40))).where(
         F.col("drawn") * F.col("rows_of_value").cast("double") < 2.0 * (most + 100) * (1 << 40))
     place = F.row_number().over(Window.partitionBy(by).orderBy("drawn", key))

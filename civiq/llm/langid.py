@@ -94,7 +94,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     """Fit the model on labelled rows; rows with a null label or no letter teach nothing.
 
     Document frequencies count all labelled rows. The regression is fitted on at most ``rows_per_language`` rows of
-    each language, drawn by a hash of the key, so what reaches the driver doesn't grow with the input. Without
+    each language, drawn by a hash of the key, so what reaches the driver doesn't grow with the input: rows that share key
+    and language count once there, with the least of their texts. Without
     labelled rows the model knows no language and every prediction is undetermined.
     """
     spark = labelled.sparkSession
@@ -111,7 +112,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     idf = np.log((1.0 + total) / (1.0 + frequency)) + 1.0
     drawn = draw(rows.select("id", "lang"), "lang", "id", rows_per_language).distinct()
     # The drawn rows are bounded by rows_per_language × languages, so they are broadcast against the texts.
-    picked = rows.join(F.broadcast(drawn), ["id", "lang"]).select("lang", F.col("drawn").alias("draw"), "text")
+    picked = rows.join(F.broadcast(drawn), ["id", "lang"]).groupBy("id", "lang", F.col("drawn").alias("draw")).agg(
+        F.min("text").alias("text")).select("lang", "draw", "text")
     vectors = picked.mapInArrow(_vectors(letters, spark.sparkContext.broadcast(idf)),
                                 "lang string, draw long, features binary, amounts binary").collect()
     samples = sorted(((r["draw"], r["lang"], np.frombuffer(r["features"], np.int32), np.frombuffer(r["amounts"], np.float32))

@@ -75,11 +75,12 @@ def features(words: list[str], found: dict[int, float]) -> list[float]:
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-          rows_per_label: int = 6000, entries: int = 4000, least_uses: int = 3) -> dict:
+          rows_per_label: int = 6000, least_uses: int = 3) -> dict:
     """Learn entries, weights, exception phrases and the scale of the score from labelled rows.
 
-    Only the fit is bounded: at most ``rows_per_label`` rows of each label, drawn by a hash of the key. A quarter of them is
-    kept aside for the scale. An entry's weight is its log odds, less the error of so many counts. A phrase of an entry
+    Only the fit is bounded: at most ``rows_per_label`` rows of each label, drawn by a hash of the key; documents that share
+    a key count once there, with the least of their texts, and one labelled both ways counts for both. All entries and exceptions
+    that this sample bears out are kept. A quarter of it is kept aside for the scale. An entry's weight is its log odds, less the error of so many counts. A phrase of an entry
     and its neighbour that only harmless texts use is an exception. Without labelled rows of both kinds every score
     is the share of toxic rows, or 0.
     """
@@ -90,7 +91,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     drawn = draw(known, "y", "id", rows_per_label).select(
         "id", "y", (F.pmod(F.xxhash64("id", F.lit("aside")), F.lit(4)) == 0).alias("aside"))
     # Bounded by twice rows_per_label, so broadcast against the texts.
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(drawn), "id")
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(drawn), "id").groupBy(
+        "id", "y", "aside").agg(F.min("text").alias("text"))
     taught = rows.where(~F.col("aside"))
     counted = (taught.select("text", "y").mapInArrow(_candidates(), "entry string, y int").groupBy("entry")
                .agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("q")).where(F.col("p") >= least_uses))
@@ -98,13 +100,12 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     p_all, q_all = sizes.get(1, 0), sizes.get(0, 0)
     gain = F.log((F.col("p") + 0.5) / (p_all + 1.0)) - F.log((F.col("q") + 0.5) / (q_all + 1.0))
     weight = gain - 1.96 * F.sqrt(1.0 / (F.col("p") + 0.5) + 1.0 / (F.col("q") + 0.5))
-    best = counted.withColumn("weight", weight).where("weight > 0.8").orderBy(F.desc("weight"), "entry").limit(entries)
+    best = counted.withColumn("weight", weight).where("weight > 0.8")
     weights = {r["entry"]: r["weight"] for r in best.collect()}
     state = spark.sparkContext.broadcast(compile_lexicon(weights, []))
     phrases = (taught.select("text", "y").mapInArrow(_phrases(state), "phrase string, y int").groupBy("phrase")
-               .agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("q")).where((F.col("p") == 0) & (F.col("q") >= least_uses))
-               .orderBy(F.desc("q"), "phrase").limit(entries))
-    exceptions = [r["phrase"] for r in phrases.collect()]
+               .agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("q")).where((F.col("p") == 0) & (F.col("q") >= least_uses)))
+    exceptions = sorted(r["phrase"] for r in phrases.collect())
     state = spark.sparkContext.broadcast(compile_lexicon(weights, exceptions))
     seen = rows.where("aside").select("text", "y").mapInArrow(_measured(state), "x array<double>, y int").collect()
     scale = _scale([(r["x"], r["y"]) for r in seen], totals)
