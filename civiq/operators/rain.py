@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from civiq.functions.gauges import has_reading, level_of, station_of
-from civiq.functions.values import quoted
+from civiq.functions.values import free_name, quoted
 from civiq.operators.columns import order_columns
 
 # Fixed values of the request form.
@@ -41,8 +41,9 @@ def date_series(bounds: DataFrame, start: str, end: str, name: str = "Date") ->
     """Every day from ``start`` to ``end`` of each row, both included, as ``dd/MM/yyyy`` text."""
     days = F.when(quoted(start) <= quoted(end), F.sequence(quoted(start), quoted(end), F.expr("interval 1 day")))
     rest = [quoted(c) for c in bounds.columns if c not in (start, end)]
-    exploded = bounds.select(*rest, F.explode(days).alias("_day"))
-    return exploded.withColumn(name, F.date_format("_day", DATE_PATTERN)).drop("_day")
+    day = free_name([*bounds.columns, name], "_day")
+    exploded = bounds.select(*rest, F.explode(days).alias(day))
+    return exploded.withColumn(name, F.date_format(day, DATE_PATTERN)).drop(day)
 
 
 def request_plan(dates: DataFrame, date: str = "Date", note: Column | None = None) -> DataFrame:

@@ -37,11 +37,15 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under a folder all executors share, removed when the driver's process ends.
 
-    The cluster names that folder in ``spark.checkpoint.dir``; where it names none, the warehouse folder serves.
+    The cluster names that folder in ``spark.checkpoint.dir``; where it names none, the warehouse folder serves, unless
+    that is a local one and the executors are on other machines.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        base = spark.conf.get("spark.sql.warehouse.dir", None)
+        alone = spark.conf.get("spark.master", "local").split("[")[0] == "local"
+        if not base or not alone and (":" not in base or base.startswith("file:")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     if not _made:
         atexit.register(_remove, spark)

@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from civiq import session
 from civiq.operators.columns import order_columns, union_by_name
 from civiq.operators.rain import date_series, extract_readings, pivot_stations, request_plan
 from civiq.plans.jobs import clean_tickets, explore, generic_etl, profile_table, rain_history, station_table, ticket_etl
@@ -342,3 +343,24 @@ def test_exploration(spark):
     assert {r.column: r.nulls for r in found.missing.collect()} == {"a": 0, "b": 25, "y": 0}
     assert found.summary.count() == 24 and found.correlations.count() == 9 and found.histograms.count() == 60
     assert found.features.groupBy("split").count().orderBy("split").collect()[0]["count"] == 20
+
+
+def test_scratch_data_never_goes_to_a_folder_of_one_machine(monkeypatch):
+    monkeypatch.setattr(session, "_made", {"some"})  # these are not to be removed
+
+    class Session:
+        def __init__(self, **settings):
+            self.conf = {k.replace("_", "."): v for k, v in settings.items()}
+
+    shared = {"spark_sql_warehouse_dir": "hdfs://store/warehouse", "spark_master": "yarn"}
+    assert scratch_dir(Session(**shared), "x").startswith("hdfs://store/warehouse/x-")
+    assert scratch_dir(Session(spark_sql_warehouse_dir="file:/tmp/w", spark_master="local[4]"), "x").startswith("file:/tmp/w/x-")
+    assert scratch_dir(Session(spark_checkpoint_dir="file:/mnt/all", spark_master="yarn"), "x").startswith("file:/mnt/all/x-")
+    for place in ("file:/tmp/w", "/tmp/w"):
+        with pytest.raises(RuntimeError, match="shared by all"):
+            scratch_dir(Session(spark_sql_warehouse_dir=place, spark_master="local-cluster[2,1,1024]"), "x")
+
+
+def test_date_series_keeps_columns_of_any_name(spark):
+    bounds = spark.createDataFrame([(datetime.date(2024, 1, 1), datetime.date(2024, 1, 2), "k")], "a date, b date, _day string")
+    assert rows(date_series(bounds, "a", "b")) == [("k", "01/01/2024"), ("k", "02/01/2024")]

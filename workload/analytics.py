@@ -231,7 +231,7 @@ def a7(spark, sf):
     return matrix.select("row", "col", F.round("corr", 6).alias("corr"))
 
 
-def _histogram_sql(source: str, column: str) -> str:
+def histogram_sql(source: str, column: str) -> str:
     return f"""
       SELECT '{column}' AS "column", b.bin AS bin, round(lo + b.bin * w, 6) AS "left",
              round(CASE WHEN b.bin = 19 THEN hi ELSE lo + (b.bin + 1) * w END, 6) AS "right", coalesce(n, 0) AS count
@@ -245,7 +245,7 @@ def _histogram_sql(source: str, column: str) -> str:
         GROUP BY bin) c ON c.bin = b.bin"""
 
 
-@register("a8_histogram", " UNION ALL ".join(_histogram_sql(MEASURES, c) for c in ("quantity", "price")))
+@register("a8_histogram", " UNION ALL ".join(histogram_sql(MEASURES, c) for c in ("quantity", "price")))
 def a8(spark, sf):
     bins = histogram(view(spark, sf, "measures"), ["quantity", "price"])
     return bins.select("column", "bin", F.round("left", 6).alias("left"), F.round("right", 6).alias("right"), "count")

@@ -10,7 +10,7 @@ from civiq.plans.jobs import clean_tickets, clean_tickets_from_files, explore, g
 from civiq.session import scratch_dir
 from civiq.sources.tables import read_csv, read_parquet, write_csv
 from civiq.streaming.ingest import ingest_rain_reports, ingest_wide_history
-from workload.analytics import REPAIRED, STATIONS, pivot_sql, plain_names
+from workload.analytics import REPAIRED, STATIONS, histogram_sql, pivot_sql, plain_names
 from workload.registry import register
 from workload.rows import COORDS, DUCK_TAGS, TICKETS
 from workload.sources import geojson_lines, land_reports
@@ -194,12 +194,41 @@ def _explore_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
-@register("e6_exploration", _explore_sql())
-def e6(spark, sf):
+def _explored(spark, sf):
     frame = table(spark, sf, "orders").selectExpr(
         "o_orderkey", "CASE WHEN o_orderkey % 9 <> 0 THEN o_custkey END AS cust", "o_totalprice AS price", "o_orderkey % 2 AS target"
     )
-    found = explore(frame, "target", ["o_orderkey"])
+    return explore(frame, "target", ["o_orderkey"])
+
+
+@register("e6_exploration_bins", " UNION ALL ".join(histogram_sql(_FRAME, c) for c in ("cust", "price", "target")))
+def e6_bins(spark, sf):
+    """Every bin of the job's histograms."""
+    return _explored(spark, sf).histograms.select(
+        "column", "bin", F.round("left", 6).alias("left"), F.round("right", 6).alias("right"), "count")
+
+
+_SPLIT = f"""
+    (SELECT *, CASE WHEN row_number() OVER (ORDER BY md5('42|' || CAST(o_orderkey AS STRING))) <= ceil(count(*) OVER () * CAST(0.2 AS DOUBLE))
+                    THEN 'test' ELSE 'train' END AS split FROM {_FRAME})"""
+
+
+def _scaled_sql(column: str) -> str:
+    def fit(statistic):
+        return f"(SELECT {statistic}({column}) FROM {_SPLIT} WHERE split = 'train')"
+
+    return f"round(({column} - {fit('avg')}) / {fit('stddev_pop')}, 6) AS {column}"
+
+
+@register("e6_exploration_features", f"SELECT o_orderkey, {_scaled_sql('cust')}, {_scaled_sql('price')}, target, split FROM {_SPLIT}")
+def e6_features(spark, sf):
+    """Every row of the job's feature table."""
+    return _explored(spark, sf).features.withColumns({c: F.round(c, 6) for c in ("cust", "price")})
+
+
+@register("e6_exploration", _explore_sql())
+def e6(spark, sf):
+    found = _explored(spark, sf)
 
     def section(name, df, label, item, value):
         return df.select(F.lit(name).alias("section"), label.alias("name"), item.alias("item"), F.round(value.cast("double"), 4).alias("value"))
