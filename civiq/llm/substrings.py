@@ -13,18 +13,18 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiq.llm.common import materialize, shuffle_partitions
+from civiq.llm.common import free_name, materialize, shuffle_partitions
 
 WINDOW = 13
 _ANCHOR = 7
-_KNOWN = 400_000     # word hashes a worker remembers before it starts afresh
+_CHUNK = 1 << 20     # bytes of text that are hashed at once
 _MOST_BITS = 30      # of the pre-filter: 2 to this power at most
 _HOT_SHARE = 10_000  # an anchor with a larger share of all occurrences than one in so many is spread
 _HOT_ROWS = 2000     # and one with fewer rows never is
+_FEW = 1 << 20       # keys of 16 or 40 bytes that are broadcast at most
 
 
 def split_words(text: str | None) -> list[bytes]:
@@ -32,16 +32,76 @@ def split_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8").split()
 
 
-def word_hashes(words: list[bytes], known: dict) -> np.ndarray:
-    if len(known) > _KNOWN:
-        known.clear()
-    try:
-        return np.array([known[w] for w in words], np.uint64)
-    except KeyError:
-        for word in set(words):
-            if word not in known:
-                known[word] = xxhash.xxh64_intdigest(word)
-        return np.array([known[w] for w in words], np.uint64)
+def _byte_codes() -> np.ndarray:
+    """An odd 64-bit number for each byte; blanks count nothing."""
+    codes = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(0xD1B54A32D192ED03)
+    codes = (codes ^ (codes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    codes = (codes ^ (codes >> np.uint64(27))) | np.uint64(1)
+    codes[list(_BLANKS)] = 0
+    return codes
+
+
+_BLANKS = b" \t\n\x0b\x0c\r"
+_IS_BLANK = np.isin(np.arange(256), list(_BLANKS))
+_CODES = _byte_codes()
+
+
+class Chunk:
+    """The words of some texts: their bytes with one blank after each, where each starts, and 64 bits of each."""
+
+    def __init__(self, texts: list[bytes]):
+        joined = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+        blank = _IS_BLANK[joined]
+        follows = np.concatenate(([True], blank[:-1]))
+        begins = np.cumsum([0] + [len(t) + 1 for t in texts])
+        kept = joined[~(blank & follows)]
+        kept[_IS_BLANK[kept]] = 32
+        ends = np.flatnonzero(kept == 32)
+        self.bytes = kept.tobytes()
+        self.starts = np.concatenate(([0], ends + 1))
+        # The words of text i are those from first[i] to first[i + 1].
+        self.first = np.searchsorted(np.flatnonzero(~blank & follows), begins)
+        self.text_of = np.repeat(np.arange(len(texts)), np.diff(self.first))
+        self.hashes = self._hashes(kept)
+
+    def _hashes(self, kept: np.ndarray) -> np.ndarray:
+        if not len(kept):
+            return np.zeros(0, np.uint64)
+        sizes = np.diff(self.starts)
+        powers = np.full(int(sizes.max()), 0x9FB21C651E98DF25, np.uint64)
+        powers[0] = 1
+        powers = np.cumprod(powers)
+        place = np.arange(len(kept)) - np.repeat(self.starts[:-1], sizes)
+        return np.add.reduceat(_CODES[kept] * powers[place], self.starts[:-1])
+
+    def passages(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Runs of windows of one text with one anchor: (text, first window, last window, hash of the anchor)."""
+        at, runs = anchors(self.hashes)
+        none = np.zeros(0, np.int64)
+        if not len(at):
+            return none, none, none, none.view(np.uint64)
+        windows = np.flatnonzero(self.text_of[:len(at)] == self.text_of[WINDOW - 1:])
+        at = at[windows]
+        first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1]))) if len(at) else none
+        last = np.append(first[1:], len(at))[:len(first)] - 1
+        return self.text_of[windows[first]], windows[first], windows[last], runs[at[first]]
+
+    def words(self, start: int, stop: int) -> bytes:
+        return self.bytes[self.starts[start]:self.starts[stop] - 1]
+
+
+def chunks(column: pa.Array) -> Iterator[tuple[int, Chunk]]:
+    """(row of the first text, chunk) of a column of texts; a longer text is a chunk of its own."""
+    held, size, begin = [], 0, 0
+    for i, value in enumerate(column.cast(pa.binary())):
+        text = value.as_py() or b""
+        if held and size + len(text) > _CHUNK:
+            yield begin, Chunk(held)
+            held, size, begin = [], 0, i
+        held.append(text)
+        size += len(text)
+    if held:
+        yield begin, Chunk(held)
 
 
 def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -63,101 +123,92 @@ def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, runs
 
 
-def _anchor_rows(state):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, found = [], []
-            for i, text in enumerate(batch.column(1)):
-                at, runs = anchors(word_hashes(split_words(text.as_py()), state.value))
-                own = np.unique(runs[np.unique(at)])
-                row.append(np.full(len(own), i, np.int32))
-                found.append(own)
-            if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found).view(np.int64)), batch.column(0).take(pa.array(np.concatenate(row)))],
-                    ["anchor", "digest"])
-
-    return run
+def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(anchor, digest): each anchor of a text once."""
+    for batch in batches:
+        for begin, chunk in chunks(batch.column(1)):
+            text, _, _, anchor = chunk.passages()
+            order = np.lexsort((anchor, text))
+            text, anchor = text[order], anchor[order]
+            new = np.ones(len(text), bool)
+            new[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchor[new].view(np.int64)), batch.column(0).take(pa.array(begin + text[new]))], ["anchor", "digest"])
 
 
 def _segment_rows(state):
-    """(anchor, salt, id, digest, start, words): runs of windows with one anchor that may recur."""
+    """(anchor, salts, salt, id, digest, start, words): runs of windows with one anchor that may recur.
+
+    The rows of a hot anchor are dealt to its salts one after the other, so that rows repeated in the input part too.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bits, hot_anchors, hot_salts = state.value
+        bits, hot_anchors, hot_salts = state.value
         shift = np.uint64(64 - (len(bits) * 8).bit_length() + 1)
+        turn = 0
         for batch in batches:
-            row, anchor, salt, start, text = [], [], [], [], []
-            digests = batch.column(2).to_pylist()
-            for i, value in enumerate(batch.column(1)):
-                words = split_words(value.as_py())
-                at, runs = anchors(word_hashes(words, known))
-                if not len(at):
-                    continue
-                first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-                own = runs[at[first]]
-                place = own >> shift
+            for begin, chunk in chunks(batch.column(1)):
+                text, first, last, anchor = chunk.passages()
+                place = anchor >> shift
                 likely = (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
-                last = np.append(first[1:], len(at)) - 1
                 chosen = np.flatnonzero(likely)
-                signed = own[chosen].view(np.int64)
+                if not len(chosen):
+                    continue
+                text, first, last, signed = text[chosen], first[chosen], last[chosen], anchor[chosen].view(np.int64)
                 salts = np.ones(len(chosen), np.int64)
                 if len(hot_anchors):
                     spot = np.minimum(np.searchsorted(hot_anchors, signed), len(hot_anchors) - 1)
                     salts = np.where(hot_anchors[spot] == signed, hot_salts[spot], 1)
-                row += [i] * len(chosen)
-                anchor.append(signed)
-                salt.append(digests[i] % salts)
-                start.append(first[chosen])
-                text += [b" ".join(words[a:b + WINDOW]) for a, b in zip(first[chosen].tolist(), last[chosen].tolist())]
-            if row:
-                at = pa.array(row, pa.int32())
+                dealt = (turn + np.arange(len(chosen))) % salts
+                turn += len(chosen)
+                words = [chunk.words(a, b + WINDOW) for a, b in zip(first.tolist(), last.tolist())]
+                at = pa.array(begin + text)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(anchor)), pa.array(np.concatenate(salt).astype(np.int32)),
-                     batch.column(0).take(at), batch.column(2).take(at), pa.array(np.concatenate(start).astype(np.int32)),
-                     pa.array(text, pa.binary()).cast(pa.string())],
-                    ["anchor", "salt", "id", "digest", "start", "words"])
+                    [pa.array(signed), pa.array(salts.astype(np.int32)), pa.array(dealt.astype(np.int32)),
+                     batch.column(0).take(at), batch.column(2).take(at),
+                     pa.array((first - chunk.first[text]).astype(np.int32)), pa.array(words, pa.binary()).cast(pa.string())],
+                    ["anchor", "salts", "salt", "id", "digest", "start", "words"])
 
     return run
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(anchor, phrase, id) of the windows of segments (anchor, id, words)."""
+    """(anchor, salts, phrase, id) of the windows of segments (anchor, salts, id, words)."""
     for batch in batches:
         row, phrases = [], []
-        for i, text in enumerate(batch.column(2).to_pylist()):
+        for i, text in enumerate(batch.column(3).to_pylist()):
             words = text.encode("utf-8").split()
             found = {b" ".join(words[a:a + WINDOW]) for a in range(len(words) - WINDOW + 1)}
             phrases += found
             row += [i] * len(found)
         at = pa.array(row, pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(at), pa.array(phrases, pa.binary()).cast(pa.string()), batch.column(1).take(at)],
-            ["anchor", "phrase", "id"])
+            [batch.column(0).take(at), batch.column(1).take(at), pa.array(phrases, pa.binary()).cast(pa.string()),
+             batch.column(2).take(at)], ["anchor", "salts", "phrase", "id"])
 
 
 class _Shard:
-    """The automaton of a shard's phrases. Each word of the phrases is a letter, so a phrase has thirteen."""
+    """The automaton of a shard's phrases. Each word is spelled as one letter, so a phrase has thirteen."""
 
     def __init__(self):
         self.letters: dict[str, str] = {}
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY)
         self.made = False
 
-    def add(self, phrase: str, first: int) -> None:
+    def spell(self, words: str) -> str:
         letters = self.letters
-        spelled = "".join([letters.setdefault(w, chr(len(letters) + 1)) for w in phrase.split(" ")])
+        return "".join([letters.get(w) or letters.setdefault(w, chr(len(letters) + 1)) for w in words.split(" ")])
+
+    def add(self, spelled: str, first: int) -> None:
         self.automaton.add_word(spelled, first)
 
-    def find(self, words: str) -> list[tuple[int, int]]:
-        """Where phrases start in the words, each with the least key that has it."""
+    def find(self, spelled: str) -> list[tuple[int, int]]:
+        """Where phrases start in the spelled words, each with the least key that has it."""
         if not len(self.automaton):
             return []
         if not self.made:
             self.automaton.make_automaton()
             self.made = True
-        get = self.letters.get
-        spelled = "".join([get(w, "\0") for w in words.split(" ")])
         return [(end - WINDOW + 1, first) for end, first in self.automaton.iter(spelled)]
 
 
@@ -187,26 +238,30 @@ def _located(ready: dict[str, int], held: dict[str, list[tuple]]) -> pa.RecordBa
 
     ``held`` has each different segment once, with (key, digest, start) of all places that have it.
     """
+    shard = _Shard()
     first: dict[str, int] = {}
     shared = set()
+    spelled_of = []
     for text, places in held.items():
-        own = min(p[0] for p in places)
-        several = any(p[0] != own for p in places)
-        words = text.split(" ")
-        for a in range(len(words) - WINDOW + 1):
-            phrase = " ".join(words[a:a + WINDOW])
+        own = min(places)[0]
+        several = max(places)[0] != own
+        spelled = shard.spell(text)
+        spelled_of.append(spelled)
+        for a in range(len(spelled) - WINDOW + 1):
+            phrase = spelled[a:a + WINDOW]
             known = first.setdefault(phrase, own)
             if several or known != own:
                 shared.add(phrase)
-                first[phrase] = min(known, own)
-    shard = _Shard()
+                if own < known:
+                    first[phrase] = own
+    ahead = {shard.spell(phrase): own for phrase, own in ready.items()}
     for phrase in shared:
-        shard.add(phrase, min(first[phrase], ready.pop(phrase, first[phrase])))
-    for phrase, own in ready.items():
+        shard.add(phrase, min(first[phrase], ahead.pop(phrase, first[phrase])))
+    for phrase, own in ahead.items():
         shard.add(phrase, own)
     rows = []
-    for text, places in held.items():
-        if found := shard.find(text):
+    for spelled, places in zip(spelled_of, held.values()):
+        if found := shard.find(spelled):
             for own, digest, start in places:
                 if starts := [start + at for at, least in found if least < own]:
                     rows.append((own, digest, starts))
@@ -222,13 +277,11 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     a key don't repeat each other.
     """
     spark = docs.sparkSession
-    context = spark.sparkContext
-    known = context.broadcast({})
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where(
         F.col("id").isNotNull() & F.col("text").isNotNull())
     # Copies of one whole text don't make an anchor recur; remove_repeats knows them by their texts.
     recurring = materialize(
-        rows.select(F.xxhash64("text").alias("digest"), "text").mapInArrow(_anchor_rows(known), "anchor long, digest long")
+        rows.select(F.xxhash64("text").alias("digest"), "text").mapInArrow(_anchor_rows, "anchor long, digest long")
         .groupBy("anchor").agg(F.count("*").alias("uses"), F.min("digest").alias("low"), F.max("digest").alias("high"))
         .where("low < high").select("anchor", "uses"), "anchors")
     totals = recurring.agg(F.count("*").alias("n"), F.sum("uses").alias("uses")).first()
@@ -238,15 +291,13 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     hot = sorted((r["anchor"], -(-r["uses"] // level)) for r in recurring.where(F.col("uses") > level).collect())
     spread = (np.array([h[0] for h in hot], np.int64), np.array([h[1] for h in hot], np.int64))
     segments = materialize(rows.withColumn("digest", F.xxhash64("text")).mapInArrow(
-        _segment_rows(context.broadcast(({}, bits, *spread))),
-        "anchor long, salt int, id long, digest long, start int, words string"), "segments")
-    salts = spark.createDataFrame(hot, "anchor long, salts long")
+        _segment_rows(spark.sparkContext.broadcast((bits, *spread))),
+        "anchor long, salts int, salt int, id long, digest long, start int, words string"), "segments")
     # Only the phrases of spread anchors are confirmed ahead of the shards, and handed to each of theirs.
-    dealt = (segments.select("anchor", "id", "words").join(F.broadcast(salts.select("anchor")), "anchor", "left_semi")
-             .mapInArrow(_window_rows, "anchor long, phrase string, id long").groupBy("anchor", "phrase")
-             .agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-             .join(F.broadcast(salts), "anchor").select(
-        "anchor", F.explode(F.sequence(F.lit(0), F.col("salts").cast("int") - 1)).alias("salt"),
+    dealt = (segments.where("salts > 1").select("anchor", "salts", "id", "words")
+             .mapInArrow(_window_rows, "anchor long, salts int, phrase string, id long").groupBy("anchor", "salts", "phrase")
+             .agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select(
+        "anchor", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
         F.lit(0).alias("kind"), F.col("first").alias("id"), F.lit(0).cast("long").alias("digest"),
         F.lit(0).alias("start"), F.col("phrase").alias("words")))
     streamed = segments.select("anchor", "salt", F.lit(1).alias("kind"), "id", "digest", "start", "words")
@@ -257,6 +308,11 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -
         _locate, "id long, digest long, starts array<int>")
 
 
+def _small(keys: DataFrame) -> DataFrame:
+    """Stored keys, broadcast up to ``_FEW`` of them; more are joined by a shuffle, which the adaptive skew join splits."""
+    return F.broadcast(keys) if keys.count() <= _FEW else keys
+
+
 def _bits(recurring: DataFrame, rows: int) -> np.ndarray:
     """A bit for each value of the upper bits of a recurring anchor; it only ever lets too much through."""
     power = min(_MOST_BITS, max(16, (16 * max(1, rows) - 1).bit_length()))
@@ -285,10 +341,16 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     texts = docs.select(F.col(key).cast("long").alias("id"), F.sha2(text, 256).alias("sha"), F.xxhash64(text).alias("digest")).where(
         F.col("id").isNotNull() & F.col(text).isNotNull())
-    firsts = texts.groupBy("sha").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    copies = texts.join(firsts, "sha").where(F.col("id") > F.col("first")).select(
-        "id", "digest", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("copy"))
-    found = (repeated_windows(docs, key, text).withColumn("copy", F.lit(False)).unionByName(copies)
+    firsts = _small(materialize(texts.groupBy("sha").agg(
+        F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("sha", "first"), "firsts"))
+    copies = materialize(texts.join(firsts, "sha").where(F.col("id") > F.col("first")).select("id", "digest").distinct(), "copies")
+    # A copy has no window that the first of its text lacks, and all of its own are known to repeat.
+    place = free_name(docs, "place_of")
+    told = _small(copies.select(F.struct("id", "digest").alias(place)))
+    own = F.struct(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("digest"))
+    once = docs.join(told, own == F.col(place), "left_anti")
+    found = (repeated_windows(once, key, text).withColumn("copy", F.lit(False)).unionByName(
+                 copies.withColumn("starts", F.lit(None).cast("array<int>")).withColumn("copy", F.lit(True)))
              .groupBy("id", "digest").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.max("copy").alias("copy"))
              .select(F.col("id").alias("found_id"), F.col("digest").alias("found_digest"), "starts", "copy"))
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).withColumn("digest", F.xxhash64("text"))
