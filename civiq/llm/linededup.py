@@ -105,19 +105,47 @@ def _near_sets(sets: DataFrame, source: DataFrame, threshold: tuple[int, int]) -
     """(later, earlier), each with parity, hash and first place: for every set that is as similar as the threshold to a
     different one of an earlier first place, at least one such.
 
-    Groups of near copies have very many pairs, so of its candidates a set first meets the one of the least key alone.
-    The few sets that don't match it, and have more, then meet all of theirs.
+    Groups of near copies have very many pairs, so a set first meets one set alone: the earliest of those that share two
+    of the words of least hash in the prefixes. Only sets that this leaves open meet all of their candidates.
     """
-    met = _candidates(sets, sets, threshold).groupBy("pl", "hl").agg(
-        F.min_by("pe", "order").alias("pe"), F.min_by("he", "order").alias("he"), F.count("*").alias("met"))
-    met = materialize(met, "candidates")
-    near = materialize(_verified(met.select("pl", "hl", "pe", "he"), sets, source, threshold), "near")
-    open_sets = met.where("met > 1").join(
-        near.select(F.col("later.parity").alias("pl"), F.col("later.hash").alias("hl")), ["pl", "hl"], "left_anti").select(
-        F.col("pl").alias("parity"), F.col("hl").alias("hash"))
-    left = materialize(sets.join(open_sets, ["parity", "hash"], "left_semi"), "open")
-    pairs = materialize(_candidates(left, sets, threshold).select("pl", "hl", "pe", "he").distinct(), "candidates")
-    return near.unionByName(materialize(_verified(pairs, left.unionByName(sets), source, threshold), "near"))
+    met = materialize(_leaders(sets, threshold), "leaders")
+    near = materialize(_verified(met, sets, source, threshold), "near")
+    settled = near.select(F.col("later.parity").alias("parity"), F.col("later.hash").alias("hash"))
+    left = materialize(sets.join(settled, ["parity", "hash"], "left_anti"), "open")
+    pairs = materialize(_candidates(left, sets, threshold).distinct(), "candidates")
+    return near.unionByName(materialize(_verified(pairs, sets, source, threshold), "near"))
+
+
+def _order(sets: DataFrame) -> Column:
+    """The key as a number. Of keys that are no whole numbers none comes before another here; the verification looks at them."""
+    if not isinstance(_key_type(sets), T.IntegralType):
+        return F.lit(0).cast("long")
+    return F.coalesce(F.col("first.doc.id").cast("long"), F.lit((1 << 63) - 1))
+
+
+def _leaders(sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """(pl, hl, pe, he): for each set at most one other, the earliest of a slot they share, if lengths and parities allow a match.
+
+    The slots of a set are the pairs among the three words of least hash in its prefix. Every set of a slot meets its
+    earliest one alone, so the rows are as many as the slots, whatever the size of a group.
+    """
+    top, bottom = threshold
+    least = F.slice(F.sort_array("prefix"), 1, 3)
+    word = [F.try_element_at(least, F.lit(i)) for i in (1, 2, 3)]
+    slots = F.when(F.size(least) < 3, F.array(F.xxhash64(*word[:2]))).otherwise(
+        F.array(*[F.xxhash64(word[i], word[j]) for i, j in ((0, 1), (0, 2), (1, 2))]))
+    held = sets.select(F.explode(slots).alias("slot"), "first", "parity", "hash", "n")
+    earliest = held.groupBy("slot").agg(F.count("*").alias("members"), F.min(F.struct("first", "parity", "hash", "n")).alias("e")).where(
+        "members > 1").select("slot", "e")
+    held = held.drop("first")
+    n, m = F.col("n"), F.col("e.n")
+    need = F.ceil((n + m) * top / F.lit(top + bottom))
+    return held.join(earliest, "slot").where(
+        ((F.col("e.hash") != F.col("hash")) | (F.col("e.parity") != F.col("parity")))
+        & (F.least(n, m) * bottom >= F.greatest(n, m) * top)
+        & (F.bit_count(F.col("parity").bitwiseXOR(F.col("e.parity"))) <= n + m - 2 * need)).groupBy("parity", "hash").agg(
+        F.min("e").alias("e")).select(
+        F.col("parity").alias("pl"), F.col("hash").alias("hl"), F.col("e.parity").alias("pe"), F.col("e.hash").alias("he"))
 
 
 def _key_type(sets: DataFrame) -> T.DataType:
@@ -125,18 +153,13 @@ def _key_type(sets: DataFrame) -> T.DataType:
 
 
 def _candidates(left: DataFrame, right: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """(pl, hl, pe, he, order): parity and hash of a later set among ``left``, of an earlier one among ``right`` that passes
-    all filters, and the latter's key as a number. Sets of one key are met both ways."""
+    """(pl, hl, pe, he): parity and hash of a later set among ``left`` and of an earlier one among ``right`` that passes
+    all filters. Sets of one key are met both ways."""
     top, bottom = threshold
-    whole = isinstance(_key_type(left), T.IntegralType)
-    # Of keys that are no whole numbers none comes before another here; the verification looks at them.
-    order = F.coalesce(F.col("first.doc.id").cast("long"), F.lit((1 << 63) - 1)) if whole else F.lit(0).cast("long")
 
     def spread(sets: DataFrame, side: str) -> DataFrame:
-        words = sets.select("parity", "hash", "n", order.alias("order"), F.posexplode("prefix").alias("at", "word")).select(
+        words = sets.select("parity", "hash", "n", _order(sets).alias("order"), F.posexplode("prefix").alias("at", "word")).select(
             "word", "parity", "hash", "order", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("at")).alias("rest"))
-        # Stated for both sides alike, so that they can be one exchange.
-        words = words.where("parity is not null and hash is not null and word is not null and rest is not null and order is not null")
         return words.select("word", *[F.col(c).alias(f"{c}_{side}") for c in ("parity", "hash", "order", "rest")])
 
     nl, ne = (F.shiftright(f"rest_{s}", 32).cast("int") for s in "le")
@@ -152,8 +175,7 @@ def _candidates(left: DataFrame, right: DataFrame, threshold: tuple[int, int]) -
         & ((F.least(il, ie) + 1 + F.least(nl - il - 1, ne - ie - 1)) * (top + bottom) >= (nl + ne) * top)
         # A word of only one of the sets turns one bit of the parities at most.
         & (F.bit_count(F.col("parity_l").bitwiseXOR(F.col("parity_e"))) <= nl + ne - 2 * need)).select(
-        F.col("parity_l").alias("pl"), F.col("hash_l").alias("hl"), F.col("parity_e").alias("pe"), F.col("hash_e").alias("he"),
-        F.col("order_e").alias("order"))
+        F.col("parity_l").alias("pl"), F.col("hash_l").alias("hl"), F.col("parity_e").alias("pe"), F.col("hash_e").alias("he"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, threshold: tuple[int, int]) -> DataFrame:

@@ -161,6 +161,25 @@ def test_line_dedup_agrees_with_all_pairs(make):
     assert sum(map(len, found.values())) > 40
 
 
+@pytest.mark.parametrize("one_document", [False, True])
+def test_near_copies_of_a_line_meet_one_of_them(make, monkeypatch, one_document):
+    shape = " ".join(f"common{i}" for i in range(24))
+    met, kept = {}, linededup.materialize
+
+    def counted(rows, label):
+        stored = kept(rows, label)
+        met.setdefault(label, []).append(stored.count())
+        return stored
+
+    monkeypatch.setattr(linededup, "materialize", counted)
+    for n in (500, 1000, 2000):
+        met.clear()
+        lines = [f"{shape} own{i}" for i in range(n)]
+        rows = [(1, "\n".join(lines), "en")] if one_document else [(i, line, "en") for i, line in enumerate(lines)]
+        assert sum(len(r["removed"]) for r in linededup.removed_lines(make(rows)).collect()) == n - 1
+        assert met["leaders"][0] <= n and met["open"][0] <= n // 50 and met["candidates"][0] <= n
+
+
 def test_line_dedup_of_odd_rows(odd, none, make):
     found = {r["id"]: (r["n_lines"], r["removed"]) for r in linededup.removed_lines(odd).collect() if r["id"] is not None}
     assert found[2] == (2, [0, 1]) and found[8] == (1, [0]) and found[10] == (1, [0]) and found[3] == (1, []) and found[5] == (3, [])
