@@ -137,9 +137,10 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _segment_rows(state):
-    """(anchor, salts, salt, id, digest, start, words): runs of windows with one anchor that may recur.
+    """(anchor, salts, salt, id, digest, starts, words): runs of windows with one anchor that may recur.
 
-    The rows of a hot anchor are dealt to its salts one after the other, so that rows repeated in the input part too.
+    What a text repeats is one row with all its starts. The rows of a hot anchor are dealt to its salts by their number,
+    so that rows repeated in the input part too.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,37 +155,48 @@ def _segment_rows(state):
                 chosen = np.flatnonzero(likely)
                 if not len(chosen):
                     continue
-                text, first, last, signed = text[chosen], first[chosen], last[chosen], anchor[chosen].view(np.int64)
-                salts = np.ones(len(chosen), np.int64)
+                words, starts, kept = [], [], []
+                seen: dict[tuple[int, bytes], list[int]] = {}
+                for i, t, a, b in zip(chosen.tolist(), text[chosen].tolist(), first[chosen].tolist(), last[chosen].tolist()):
+                    passage = chunk.words(a, b + WINDOW)
+                    places = seen.get((t, passage))
+                    if places is None:
+                        places = seen[t, passage] = []
+                        words.append(passage)
+                        starts.append(places)
+                        kept.append(i)
+                    places.append(a - int(chunk.first[t]))
+                text, signed = text[kept], anchor[kept].view(np.int64)
+                salts = np.ones(len(kept), np.int64)
                 if len(hot_anchors):
                     spot = np.minimum(np.searchsorted(hot_anchors, signed), len(hot_anchors) - 1)
                     salts = np.where(hot_anchors[spot] == signed, hot_salts[spot], 1)
-                dealt = (turn + np.arange(len(chosen))) % salts
-                turn += len(chosen)
-                words = [chunk.words(a, b + WINDOW) for a, b in zip(first.tolist(), last.tolist())]
+                number = np.arange(turn, turn + len(kept), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
+                dealt = number.astype(np.int64) % salts
+                turn += len(kept)
                 at = pa.array(begin + text)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed), pa.array(salts.astype(np.int32)), pa.array(dealt.astype(np.int32)),
                      batch.column(0).take(at), batch.column(2).take(at),
-                     pa.array((first - chunk.first[text]).astype(np.int32)), pa.array(words, pa.binary()).cast(pa.string())],
-                    ["anchor", "salts", "salt", "id", "digest", "start", "words"])
+                     pa.array(starts, pa.list_(pa.int32())), pa.array(words, pa.binary()).cast(pa.string())],
+                    ["anchor", "salts", "salt", "id", "digest", "starts", "words"])
 
     return run
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(anchor, salts, phrase, id) of the windows of segments (anchor, salts, id, words)."""
+    """(anchor, salts, first, last, phrase) of the windows of different segments (anchor, salts, first, last, words)."""
     for batch in batches:
         row, phrases = [], []
-        for i, text in enumerate(batch.column(3).to_pylist()):
+        for i, text in enumerate(batch.column(4).to_pylist()):
             words = text.encode("utf-8").split()
             found = {b" ".join(words[a:a + WINDOW]) for a in range(len(words) - WINDOW + 1)}
             phrases += found
             row += [i] * len(found)
         at = pa.array(row, pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(at), batch.column(1).take(at), pa.array(phrases, pa.binary()).cast(pa.string()),
-             batch.column(2).take(at)], ["anchor", "salts", "phrase", "id"])
+            [*(batch.column(c).take(at) for c in range(4)), pa.array(phrases, pa.binary()).cast(pa.string())],
+            ["anchor", "salts", "first", "last", "phrase"])
 
 
 class _Shard:
@@ -213,14 +225,14 @@ class _Shard:
 
 
 def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows (shard, kind, id, digest, start, words) in order of shards: starts of windows to remove.
+    """From rows (shard, kind, id, digest, starts, words) in order of shards: starts of windows to remove.
 
     Kind 0 is a phrase confirmed elsewhere, with the least key that has it; kind 1 a segment. A shard's segments are held
     until all are there, since any two of them may confirm a phrase.
     """
     now, ready, held = None, {}, {}
     for batch in batches:
-        for number, kind, own, digest, start, words in zip(*(c.to_pylist() for c in batch.columns)):
+        for number, kind, own, digest, starts, words in zip(*(c.to_pylist() for c in batch.columns)):
             if number != now:
                 if held:
                     yield _located(ready, held)
@@ -228,7 +240,7 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if kind == 0:
                 ready[words] = own
             else:
-                held.setdefault(words, []).append((own, digest, start))
+                held.setdefault(words, []).append((own, digest, starts))
     if held:
         yield _located(ready, held)
 
@@ -236,7 +248,7 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _located(ready: dict[str, int], held: dict[str, list[tuple]]) -> pa.RecordBatch:
     """Confirm what two documents of the shard share, compile it with what is ready, and run it over the segments.
 
-    ``held`` has each different segment once, with (key, digest, start) of all places that have it.
+    ``held`` has each different segment once, with (key, digest, starts) of all texts that have it.
     """
     shard = _Shard()
     first: dict[str, int] = {}
@@ -262,9 +274,9 @@ def _located(ready: dict[str, int], held: dict[str, list[tuple]]) -> pa.RecordBa
     rows = []
     for spelled, places in zip(spelled_of, held.values()):
         if found := shard.find(spelled):
-            for own, digest, start in places:
-                if starts := [start + at for at, least in found if least < own]:
-                    rows.append((own, digest, starts))
+            for own, digest, starts in places:
+                if ats := [at for at, least in found if least < own]:
+                    rows.append((own, digest, [start + at for start in starts for at in ats]))
     return pa.RecordBatch.from_arrays(
         [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
          pa.array([r[2] for r in rows], pa.list_(pa.int32()))], ["id", "digest", "starts"])
@@ -292,18 +304,19 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     spread = (np.array([h[0] for h in hot], np.int64), np.array([h[1] for h in hot], np.int64))
     segments = materialize(rows.withColumn("digest", F.xxhash64("text")).mapInArrow(
         _segment_rows(spark.sparkContext.broadcast((bits, *spread))),
-        "anchor long, salts int, salt int, id long, digest long, start int, words string"), "segments")
+        "anchor long, salts int, salt int, id long, digest long, starts array<int>, words string"), "segments")
     # Only the phrases of spread anchors are confirmed ahead of the shards, and handed to each of theirs.
-    dealt = (segments.where("salts > 1").select("anchor", "salts", "id", "words")
-             .mapInArrow(_window_rows, "anchor long, salts int, phrase string, id long").groupBy("anchor", "salts", "phrase")
-             .agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select(
+    dealt = (segments.where("salts > 1").groupBy("anchor", "salts", "words").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+             .select("anchor", "salts", "first", "last", "words")
+             .mapInArrow(_window_rows, "anchor long, salts int, first long, last long, phrase string").groupBy("anchor", "salts", "phrase")
+             .agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first < last").select(
         "anchor", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
         F.lit(0).alias("kind"), F.col("first").alias("id"), F.lit(0).cast("long").alias("digest"),
-        F.lit(0).alias("start"), F.col("phrase").alias("words")))
-    streamed = segments.select("anchor", "salt", F.lit(1).alias("kind"), "id", "digest", "start", "words")
+        F.lit(None).cast("array<int>").alias("starts"), F.col("phrase").alias("words")))
+    streamed = segments.select("anchor", "salt", F.lit(1).alias("kind"), "id", "digest", "starts", "words")
     parts = shuffle_partitions(spark)
     sharded = dealt.unionByName(streamed).select(
-        F.pmod(F.xxhash64("anchor", "salt"), F.lit(16 * parts)).cast("int").alias("shard"), "kind", "id", "digest", "start", "words")
+        F.pmod(F.xxhash64("anchor", "salt"), F.lit(16 * parts)).cast("int").alias("shard"), "kind", "id", "digest", "starts", "words")
     return sharded.repartition(parts, "shard").sortWithinPartitions("shard", "kind").mapInArrow(
         _locate, "id long, digest long, starts array<int>")
 
