@@ -18,10 +18,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared folder and read back: lineage is cut, a lost executor costs nothing."""
-    path = scratch_dir(df.sparkSession, label)
+    """The rows written to the shared folder and read back: lineage is cut, a lost executor costs nothing.
+
+    Shuffle files of finished jobs are deleted when the driver's JVM collects what refers to them, which it is asked to do here.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.scratch_path = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete rows that ``materialize`` stored and nothing will read again."""
+    for rows in stored:
+        context = rows.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(rows.scratch_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civiq.llm.common import free_name, materialize
+from civiq.llm.common import discard, free_name, materialize
 
 _BUCKETS = 1 << 16  # entries of the rarity table
 _BITS = 1 << 20     # bits of the pre-filter of lines to verify
@@ -109,11 +109,14 @@ def _near_sets(sets: DataFrame, source: DataFrame, threshold: tuple[int, int]) -
     of the words of least hash in the prefixes. Only sets that this leaves open meet all of their candidates.
     """
     met = materialize(_leaders(sets, threshold), "leaders")
-    near = materialize(_verified(met, sets, source, threshold), "near")
+    near = _verified(met, sets, source, threshold)
     settled = near.select(F.col("later.parity").alias("parity"), F.col("later.hash").alias("hash"))
     left = materialize(sets.join(settled, ["parity", "hash"], "left_anti"), "open")
     pairs = materialize(_candidates(left, sets, threshold).distinct(), "candidates")
-    return near.unionByName(materialize(_verified(pairs, sets, source, threshold), "near"))
+    discard(met, left)
+    more = _verified(pairs, sets, source, threshold)
+    discard(pairs)
+    return near.unionByName(more)
 
 
 def _order(sets: DataFrame) -> Column:
@@ -179,7 +182,7 @@ def _candidates(left: DataFrame, right: DataFrame, threshold: tuple[int, int]) -
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Of the pairs those that are as similar as the threshold by their words, the one really earlier than the other."""
+    """(later, earlier), stored, of the pairs that are as similar as the threshold by their words, the one really earlier."""
     top, bottom = threshold
     wanted = pairs.select(F.explode(F.array(F.struct(F.col("pl").alias("parity"), F.col("hl").alias("hash")),
                                             F.struct(F.col("pe").alias("parity"), F.col("he").alias("hash")))).alias("s")).select(
@@ -204,8 +207,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, threshold: t
     checked = pairs.join(later, ["pl", "hl"]).join(earlier, ["pe", "he"]).select(
         "later", "earlier", _words(F.col("tl")).alias("wl"), _words(F.col("te")).alias("we")).withColumn(
         "common", F.size(F.array_intersect("wl", "we")))
-    return checked.where((F.col("earlier.first") < F.col("later.first")) & (
-        F.col("common") * (top + bottom) >= (F.size("wl") + F.size("we")) * top)).select("later", "earlier")
+    near = materialize(checked.where((F.col("earlier.first") < F.col("later.first")) & (
+        F.col("common") * (top + bottom) >= (F.size("wl") + F.size("we")) * top)).select("later", "earlier"), "near")
+    discard(places, known)
+    return near
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", size: str | None = "n_chars",
