@@ -233,6 +233,38 @@ def test_substrings_agree_with_brute_force(make, monkeypatch, hot):
     assert sum(x[2] for x in brute_windows(rows)) > 500
 
 
+def test_chunks_have_the_words_of_their_texts(monkeypatch):
+    r = random.Random(3)
+    blanks = [" ", "  ", "\t", "\n", "\r\n", "\x0b\x0c "]
+    texts = [None, "", " ", "\n\n", "one", " lead", "trail ", "\u00a0kept \u2003 whole\x00", "é" * 300]
+    for _ in range(60):
+        texts.append("".join(r.choice(["a", "bb", "ä漢", "\U0001F600x"]) + r.choice(blanks) for _ in range(r.randint(0, 60))))
+    hashes, column = {}, substrings.pa.array(texts)
+    for size in (1, 50, 1 << 20):
+        monkeypatch.setattr(substrings, "_CHUNK", size)
+        rows = 0
+        for begin, chunk in substrings.chunks(column):
+            assert begin == rows
+            for i, (a, b) in enumerate(zip(chunk.first[:-1], chunk.first[1:])):
+                words = substrings.split_words(texts[rows])
+                assert [chunk.words(w, w + 1) for w in range(a, b)] == words
+                assert all(hashes.setdefault(w, h) == h for w, h in zip(words, chunk.hashes[a:b].tolist()))
+                rows += 1
+            for text, first, last, _ in zip(*chunk.passages()):
+                assert chunk.first[text] <= first <= last <= chunk.first[text + 1] - substrings.WINDOW
+        assert rows == len(texts)
+    assert len(set(hashes.values())) == len(hashes)
+
+
+def test_a_line_repeated_in_and_across_documents(make, monkeypatch):
+    monkeypatch.setattr(substrings, "_HOT_ROWS", 3)
+    line = " ".join(f"term{i}" for i in range(15))
+    rows = [(i, "\n".join([f"head{i} of text {i}"] + [line] * (1 + i % 7)), "en") for i in range(40)]
+    found = got_windows(make(rows))
+    expected = sorted(brute_windows(rows), key=str)
+    assert found == expected
+
+
 def test_substrings_of_odd_rows(odd, none):
     assert got_windows(odd) == brute_windows(ODD)
     assert substrings.remove_repeats(none).count() == 0
