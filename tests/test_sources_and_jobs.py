@@ -1,4 +1,5 @@
 import datetime
+import hashlib
 import json
 
 import pytest
@@ -16,6 +17,7 @@ from civiq.sources.rain_text import read_reports
 from civiq.sources.stations import parse_station_arrays, unreadable_station_texts
 from civiq.sources.tables import read_csv, read_csv_text, read_json, write_csv, write_json, write_parquet
 from civiq.streaming.ingest import ingest_landed, ingest_rain_reports, ingest_wide_history
+from workload import catalog
 
 
 def rows(df):
@@ -94,6 +96,16 @@ def test_a_url_landed_twice(spark):
         lookup_pages(requests, pages, "base", "endpoint").collect()
 
 
+def test_every_page_of_a_url_landed_twice(spark, tmp_path):
+    pages = spark.createDataFrame(
+        [(1, "http://a/x", "old"), (2, "http://a/x", "new"), (3, "http://a/y/", "y")], "page_id bigint, url string, html string")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    want = [(i, "http://a/x", hashlib.md5(t).hexdigest()) for i in (1, 2) for t in (b"old", b"new")]
+    assert rows(catalog.QUERIES["s13_landed_pages"](spark, str(tmp_path))) == sorted([*want, (3, "http://a/y", None)], key=repr)
+    with pytest.raises(ValueError):
+        lookup_pages(pages, pages, "url", "url", landed="page_id", every=True)
+
+
 REPORTS = {
     "01-01-2022": "header\n1 2 0.5 RF.KTY.01\n1 2     RF.KTY.02\n",
     "02-01-2022": "1 2 1.5 RF.KTY.01\r\n1 2 - RF.NEW.9 x\n",

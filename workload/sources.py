@@ -211,11 +211,12 @@ _ENDPOINT = "regexp_replace(url, '^[a-z]+://[^/]+/', '') || CASE WHEN page_id %
                || CASE WHEN page_id % 2 = 0 THEN '/' ELSE '' END, '/') AS request_url FROM pages) r
     LEFT JOIN pages p ON p.url = r.request_url""")
 def s13(spark, sf):
+    """Nothing tells which page of a URL is the newer one, so a request has a row for each."""
     pages = table(spark, sf, "pages")
     requests = pages.select(
         "page_id", F.regexp_extract("url", "^[a-z]+://[^/]+", 0).alias("base"), F.expr(_ENDPOINT).alias("endpoint")
     )
-    found = lookup_pages(requests, pages.select("url", "html"), "base", "endpoint")
+    found = lookup_pages(requests, pages.select("url", "html"), "base", "endpoint", every=True)
     return found.select("page_id", "request_url", F.md5(F.col("html").cast("binary")).alias("page_md5"))
 
 
