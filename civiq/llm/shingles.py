@@ -133,10 +133,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: tuple[i
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def similar_components(texts: DataFrame, words: int = 5, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+def similar_components(texts: DataFrame, words: int = 5, threshold: tuple[int, int] = THRESHOLD,
+                       candidates: DataFrame | None = None) -> DataFrame:
     """(node, component) of all texts (node, text) that are similar to another: the components of all similar pairs.
 
-    Of the texts that share a rare shingle, each first meets the least one; groups of near copies are joined by that. Then
+    ``candidates`` (a, b) found by other means are verified first, with these: of the texts that share a rare shingle, each first meets the least one; groups of near copies are joined by that. Then
     all meet that share one and are not yet in the same component, so no similar pair is left out. Repeated nodes count once.
     """
     prefixes = _prefixes(texts, words, threshold)
@@ -148,7 +149,10 @@ def similar_components(texts: DataFrame, words: int = 5, threshold: tuple[int, i
     members = materialize(prefixes.join(shared.where("size > 2").select("shingle", "x"), "shingle").select(
         "shingle", "x", member.alias("y")).where("x.node <> y.node"), "members")
     stars = members.where(_may_be_similar(F.col("x"), F.col("y"), threshold)).select(*pair)
-    edges = materialize(_verified(two.unionByName(stars), texts, words, threshold), "edges")
+    met = two.unionByName(stars)
+    if candidates is not None:
+        met = met.unionByName(candidates)
+    edges = materialize(_verified(met, texts, words, threshold), "edges")
 
     found = connected_components(edges)
     named = members.withColumn("node", F.col("y.node")).join(found, "node", "left").select(

@@ -16,6 +16,7 @@ from civiq.llm.common import free_name, materialize, shuffle_partitions
 from civiq.llm.components import connected_components
 
 _BLOCK = 2048  # fingerprints of one bucket that are compared in one place
+_NEAR = 16     # bits by which fingerprints of similar texts differ, with few exceptions
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -100,6 +101,11 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
     """
     if not 0 <= distance <= 3:
         raise ValueError("distance must be 0 to 3")
+    return met_links(fps, distance)
+
+
+def met_links(fps: DataFrame, distance: int) -> DataFrame:
+    """(a, b): as ``links``, of those fingerprints that agree in a half but for one bit; beyond three bits these are not all."""
     # A fingerprint becomes 66 rows, so the few bytes of many are spread before.
     keyed = variants(fps.repartition(shuffle_partitions(fps.sparkSession)))
     buckets = materialize(keyed.groupBy("signature").agg(
@@ -131,12 +137,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return marked.join(labels, "fp").select(key, "fp", "component")
 
 
+def _linked_pairs(texts: DataFrame, words: int) -> DataFrame:
+    """(a, b): for the texts (node, text), pairs of nodes that join all whose fingerprints are equal or linked: they agree in a
+    half but for one bit, and in as many bits as those of texts at the lower end of similarity do (they differ in about ten)."""
+    marked = materialize(fingerprints(texts, "node", "text", words).distinct(), "fingerprints")
+    least = marked.groupBy("fp").agg(F.min("node").alias("least"))
+    equal = marked.join(least, "fp").where("least <> node").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    one, other = (least.select(F.col("fp").alias(c), F.col("least").alias(f"node_{c}")) for c in "ab")
+    linked = met_links(least.select("fp"), _NEAR).join(one, "a").join(other, "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    return materialize(equal.unionByName(linked), "linked")
+
+
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
                threshold: tuple[int, int] = shingles.THRESHOLD) -> DataFrame:
     """The rows, all columns unchanged, without those linked to a row with a smaller key.
 
     Two rows are linked if the sets of their shingles have a Jaccard similarity of at least ``threshold``; links count across
-    others. Nothing of it rests on fingerprints: at 0.8 those of 64 bits differ in about ten, too many to find by equality.
+    others. Texts whose fingerprints are linked are compared by it first; the similar ones that fingerprints of 64 bits don't
+    show (at 0.8 they differ in about ten bits) meet by rare shingles after that.
     Of rows that share key and words one stays. A component whose keys are all null keeps one row.
     """
     mark = free_name(docs, "fp")
@@ -155,7 +173,7 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     copied = nodes.where("rows > 1").select(F.col("node").alias("copied"), "least")
     texts = marked.join(copied, marked[mark] == copied["copied"], "left").where(
         F.col("copied").isNull() | marked[key].eqNullSafe(F.col("least.key"))).select(F.col(mark).alias("node"), F.col(text).alias("text"))
-    found = shingles.similar_components(texts, words, threshold)
+    found = shingles.similar_components(texts, words, threshold, _linked_pairs(texts, words))
     roots = nodes.join(found, "node", "left").groupBy(F.coalesce("component", "node")).agg(
         F.min(F.struct("least", "node")).alias("first"))
     first = roots.select(F.col("first.node").alias("first_node"), F.col("first.least.key").alias("first_key"))

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from civiq.llm import components, linededup, simhash, substrings
 from tests.llm.conftest import LONG, ODD
@@ -124,6 +125,21 @@ def test_near_copies_down_to_the_similarity_go(make):
     assert kept == sorted(set(root)) and low > 20 and len(kept) < len(texts) - 20
 
 
+def test_near_copies_are_found_by_linked_fingerprints(make, monkeypatch):
+    r, real = random.Random(29), simhash.shingles._prefixes
+    base = [f"w{r.randrange(900)}" for _ in range(400)]
+    other = " ".join(["new", *base[1:]])
+    assert bin(simhash.fingerprint(" ".join(base), 5) ^ simhash.fingerprint(other, 5)).count("1") <= 3
+    docs = make([(1, " ".join(base), "en"), (2, other, "en"), (3, " ".join(reversed(base)), "en"), (4, "far from it", "en")])
+    # Without a shared shingle to meet by, only fingerprints are left.
+    monkeypatch.setattr(simhash.shingles, "_prefixes", lambda *given: real(*given).where("node is null"))
+    assert sorted(row["doc_id"] for row in simhash.keep_first(docs).collect()) == [1, 3, 4]
+    # A link of fingerprints alone drops nothing.
+    monkeypatch.setattr(simhash, "met_links", lambda fps, distance: fps.select(F.col("fp").alias("a")).crossJoin(
+        fps.select(F.col("fp").alias("b"))).where("a < b"))
+    assert sorted(row["doc_id"] for row in simhash.keep_first(docs).collect()) == [1, 3, 4]
+
+
 def similar(a, b):
     return 5 * len(a & b) >= 4 * len(a | b)
 
