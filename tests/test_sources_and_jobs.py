@@ -1,6 +1,7 @@
 import datetime
 import hashlib
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -16,6 +17,7 @@ from civiq.sources.landing import lookup_pages, parse_bodies, request_url
 from civiq.sources.rain_text import read_reports
 from civiq.sources.stations import parse_station_arrays, unreadable_station_texts
 from civiq.sources.tables import read_csv, read_csv_text, read_json, write_csv, write_json, write_parquet
+from civiq.streaming import ingest
 from civiq.streaming.ingest import ingest_landed, ingest_rain_reports, ingest_wide_history
 from workload import catalog
 
@@ -274,6 +276,24 @@ def test_a_new_date_rewrites_its_month_alone(spark, tmp_path):
     assert table()["30/01/2024"] == (9.0, None)
 
 
+def test_many_batches_write_a_month_once(spark, tmp_path):
+    source, target, state = tmp_path / "in", tmp_path / "wide", tmp_path / "state"
+    for at, (day, value) in enumerate((("2024-01-01", 1), ("2024-01-02", 2), ("2024-02-01", 3), ("2024-01-01", 4))):
+        folder = source / f"day={day}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{at}.txt").write_text(f"1 2 {value}.0 RF.A")
+        os.utime(folder / f"{at}.txt", (1_700_000_000 + at, 1_700_000_000 + at))
+    runs = []
+    real = ingest._merge_history
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ingest, "_merge_history", lambda *given: runs.append(1) or real(*given))
+        ingest_wide_history(spark, str(source), str(target), str(state), ["A"], files_per_batch=1)
+        ingest_wide_history(spark, str(source), str(target), str(state), ["A"], files_per_batch=1)
+    assert rows(spark.read.parquet(str(target)).select("Date", "A")) == [("01/01/2024", 4.0), ("01/02/2024", 3.0), ("02/01/2024", 2.0)]
+    assert runs == [1] and not (state / "staged").exists()
+    assert sorted(p.parent.name for p in target.glob("month=*/*.parquet")) == ["month=2024-01", "month=2024-02"]
+
+
 def test_incremental_reports_equal_the_batch(spark, tmp_path):
     source, target, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     land(source, ["01-01-2022"])
