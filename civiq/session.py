@@ -13,6 +13,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Folders are listed by so many tasks at most; the default gives each of 10,000 folders a task of its own.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
 }
 _made: set[str] = set()
 

@@ -294,6 +294,10 @@ def test_many_batches_write_a_month_once(spark, tmp_path):
     assert sorted(p.parent.name for p in target.glob("month=*/*.parquet")) == ["month=2024-01", "month=2024-02"]
 
 
+def test_folders_are_listed_by_few_tasks(spark):
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 1000
+
+
 def test_incremental_reports_equal_the_batch(spark, tmp_path):
     source, target, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     land(source, ["01-01-2022"])
