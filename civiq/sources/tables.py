@@ -100,10 +100,14 @@ def infer_types(df: DataFrame) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header and no index; blanks kept, quotes doubled, timestamps in ISO form."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", records_per_file: int = 0) -> None:
+    """CSV with a header and no index; blanks kept, quotes doubled, timestamps in ISO form.
+
+    ``records_per_file`` starts a new file after so many. Files with quoted line breaks are best kept shorter than a task's
+    share: they are read whole, without the shuffle that finds records in longer ones.
+    """
     (
-        df.write.mode(mode).option("header", True).option("escape", '"')
+        df.write.mode(mode).option("header", True).option("escape", '"').option("maxRecordsPerFile", records_per_file)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )

@@ -35,6 +35,13 @@ def test_csv_keeps_line_breaks_quotes_and_blanks(spark, tmp_path):
         read_csv_text(spark, str(tmp_path / "none"))
 
 
+def test_csv_files_of_bounded_length(spark, tmp_path):
+    data = [(str(i), f'line {i}\n"quoted", and more') for i in range(25)]
+    write_csv(spark.createDataFrame(data, "id string, text string").coalesce(1), str(tmp_path / "c"), records_per_file=10)
+    assert len(list((tmp_path / "c").glob("*.csv"))) == 3
+    assert rows(read_csv_text(spark, str(tmp_path / "c"))) == sorted(data, key=repr)
+
+
 def test_csv_types_and_missing_tokens(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text("﻿i,f,b,s,e,big,m\n1,1.5,True,x,,99999999999999999999,1\nNA,nan,False,N/A,null,1,1.5\n-2, 3 ,true,y,NULL,2,7\n", encoding="utf-8")

@@ -26,7 +26,7 @@ def s1(spark, sf):
     """Texts with quotes and line breaks survive as single records."""
     path = scratch_dir(spark, "s1")
     documents = table(spark, sf, "documents")
-    write_csv(documents, path)
+    write_csv(documents, path, records_per_file=5000)
     back = read_csv_text(spark, path)
     return back.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "lang", "source", "n_chars")
 
