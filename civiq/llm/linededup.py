@@ -1,22 +1,26 @@
 """Line deduplication by an exact set-similarity join, in DataFrame functions only.
 
-A line is the set of its lower-cased words. Words are ordered by rarity, and two lines with a Jaccard similarity of at
-least the threshold share a word among the rarest few of both: the prefix filter. Length and position filters thin the
-candidates, and what is left is verified on the words themselves. Later matches are removed.
+A line is the set of its lower-cased words, each known by 64 bits: its length up to 63 and 58 bits of its hash. Words are
+ordered, frequent ones last and long ones first, and two lines with a Jaccard similarity of at least the threshold share a
+word among the first few of both: the prefix filter. Lengths and parities thin the candidates, and what is left is verified
+on all words. Later matches are removed.
 """
 
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from civiq.llm.common import discard, free_name, materialize
 
-_BUCKETS = 1 << 16  # entries of the rarity table
-_BITS = 1 << 20     # bits of the pre-filter of lines to verify
+_BUCKETS = 1 << 16  # entries of the table of frequent words
+_FREQUENT = 16      # times the mean of the entries
+_BITS = 1 << 22     # bits of the pre-filter of lines to verify
+_PARTS = 3          # parts of the words that sets meet by, one after the other
+_IDS = 200_000      # ids of sets that are broadcast
 THRESHOLD = (4, 5)  # Jaccard similarity as a fraction
 
 
@@ -36,10 +40,6 @@ def _lines(text: Column) -> Column:
     return F.split(_spaced(F.coalesce(text, F.lit(""))), "\n")
 
 
-def _words(line: Column) -> Column:
-    return F.array_remove(F.array_distinct(F.split(F.lower(line), " ")), "")
-
-
 def _prefix(n: Column, numerator: int, denominator: int) -> Column:
     """n - ceil(n × numerator / denominator) + 1"""
     return n - F.floor((n * numerator + denominator - 1) / F.lit(denominator)).cast("int") + 1
@@ -53,162 +53,167 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     threshold, whether that one is removed or not. Null keys come last. Lines without a word are never removed.
     Rows that share key and text share their result. Null and empty texts have one line, which stays.
     """
-    top, bottom = threshold
     source = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).withColumn(
         "digest", F.xxhash64("text", F.lit(7)))
-    rarity = _rarity(source)
-
-    def code(word: Column) -> Column:
-        h = F.xxhash64(word)
-        rank = F.element_at(rarity, (h.bitwiseAND(_BUCKETS - 1) + 1).cast("int"))
-        return F.shiftleft(rank.cast("long"), 47).bitwiseOR(F.shiftrightunsigned(h, 17))
-
-    exploded = source.select(F.struct(F.col("id").isNull().alias("none"), "id", "digest").alias("doc"),
-                             F.posexplode(_lines(F.col("text"))).alias("line", "content"))
-    coded = exploded.select("doc", "line", F.sort_array(F.array_distinct(F.array_remove(
-        F.transform(F.split(F.lower(F.col("content")), " "), code), code(F.lit(""))))).alias("codes"))
-    sized = coded.select("doc", "line", F.size("codes").alias("n"), "codes", F.xxhash64("codes").alias("hash"),
-                         F.aggregate("codes", F.lit(0).cast("long"), lambda bits, c: bits.bitwiseXOR(F.call_function(
-                             "shiftleft", F.lit(1).cast("long"), c.bitwiseAND(63).cast("int")))).alias("parity"))
+    lines = materialize(_coded(source), "lines")
+    sets = _sets(lines, threshold)
+    near = _near_sets(sets, lines, threshold)
+    # Where a set has a near one before it all its lines go, else all but the first.
+    repeated = sets.select("id", "parity", "hash", "first", "uses").join(
+        near.select(F.col("l").alias("id"), F.lit(True).alias("near")).distinct(), "id", "left").where(
+        "near or uses > 1").select("parity", "hash", F.when(F.col("near").isNull(), F.col("first")).alias("stays"))
+    gone = lines.where("n > 0").select("doc", "line", "parity", "hash").join(repeated, ["parity", "hash"]).where(
+        F.col("stays").isNull() | (F.struct("doc", "line") > F.col("stays"))).select("doc", F.col("line").alias("gone"))
+    marks = lines.where("line = 0").select("doc", "n_lines", F.lit(None).cast("int").alias("gone")).unionByName(
+        gone.select("doc", F.lit(None).cast("int").alias("n_lines"), "gone"))
+    return marks.groupBy("doc").agg(F.max("n_lines").alias("n_lines"), F.sort_array(F.collect_set("gone")).alias("removed")).select(
+        "doc.id", "doc.digest", "n_lines", "removed")
+
+
+def _coded(source: DataFrame) -> DataFrame:
+    """Each line with its words in order, as numbers, and their hash and parity: the one pass over the texts."""
+    split = source.select(F.struct(F.col("id").isNull().alias("none"), "id", "digest").alias("doc"), _lines(F.col("text")).alias("lines"))
+    lines = split.select("doc", F.size("lines").alias("n_lines"), F.posexplode("lines").alias("line", "content"))
+    coded = lines.select("doc", "n_lines", "line", F.sort_array(F.array_remove(F.array_distinct(F.transform(
+        F.split(F.lower(F.col("content")), " "), _code)), _code(F.lit("")))).alias("codes"))
+    return coded.select("doc", "n_lines", "line", F.size("codes").alias("n"), F.xxhash64("codes").alias("hash"),
+                        _parity(F.col("codes")).alias("parity"), "codes")
+
+
+def _code(word: Column) -> Column:
+    """The longer the word, the less its number."""
+    length = F.shiftleft((F.lit(31) - F.least(F.octet_length(word), F.lit(63))).cast("long"), 58)
+    return length.bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 6))
+
+
+def _parity(codes: Column) -> Column:
+    return F.aggregate(codes, F.lit(0).cast("long"), lambda bits, c: bits.bitwiseXOR(F.call_function(
+        "shiftleft", F.lit(1).cast("long"), c.bitwiseAND(63).cast("int"))))
+
+
+def _sets(lines: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """The different word sets: parity and hash, size, prefix, lines that have it and the first of these. The ids follow
+    the first lines, so that the earlier set has the lesser id."""
+    counts = _frequent(lines)
+
+    def uses(code: Column) -> Column:
+        return F.element_at(counts, (code.bitwiseAND(_BUCKETS - 1) + 1).cast("int"))
+
+    few = _prefix(F.col("n"), *threshold)
+    by_use = F.transform(F.array_sort(F.transform("codes", lambda c: F.struct(uses(c).alias("uses"), c.alias("code")))), lambda c: c["code"])
+    ordered = F.slice(F.when(F.exists(F.slice("codes", 1, few), lambda c: uses(c) > 0), by_use).otherwise(F.col("codes")), 1, few)
     # A word of a prefix is kept as 32 bits of its hash: enough to meet by, as all that meet are verified.
-    prefix = F.transform(F.slice("codes", 1, _prefix(F.col("n"), top, bottom)), lambda c: (
-        c.bitwiseAND(0xFFFFFFFF) - 0x80000000).cast("int"))
-    lines = materialize(sized.select("doc", "line", "n", "parity", "hash", F.when(F.col("n") > 0, prefix).alias("prefix")), "lines")
-    sets = materialize(lines.where("n > 0").groupBy("parity", "hash").agg(
+    prefix = F.transform(ordered, lambda c: (c.bitwiseAND(0xFFFFFFFF) - 0x80000000).cast("int"))
+    half = _parity(F.filter("codes", lambda c: c.bitwiseAND(64) == 0))
+    grouped = materialize(lines.where("n > 0").select(
+        "doc", "line", "n", "parity", "hash", half.alias("half"), prefix.alias("prefix")).groupBy("parity", "hash").agg(
         F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("uses"), F.first("n").alias("n"),
-        F.first("prefix").alias("prefix")), "sets")
-    near = _near_sets(sets, source, threshold)
-    best = sets.where("uses > 1").select("parity", "hash", F.col("first").alias("place")).unionByName(
-        near.select("later.parity", "later.hash", F.col("earlier.first").alias("place"))).groupBy("parity", "hash").agg(
-        F.min("place").alias("best"))
-    gone = lines.where("n > 0").select("doc", "line", "parity", "hash").join(best, ["parity", "hash"]).where(
-        F.struct("doc", "line") > F.col("best")).select("doc", F.col("line").alias("gone"))
-    marks = lines.select("doc", "line", F.lit(None).cast("int").alias("gone")).unionByName(
-        gone.select("doc", F.lit(None).cast("int").alias("line"), "gone"))
-    return marks.groupBy("doc").agg(
-        (F.max("line") + 1).alias("n_lines"), F.sort_array(F.collect_set("gone")).alias("removed")).select(
-        "doc.id", "doc.digest", "n_lines", "removed")
+        F.first("half").alias("half"), F.first("prefix").alias("prefix")), "grouped")
+    sets = materialize(grouped.orderBy("first.doc.none", "first.doc.id", "first.doc.digest", "first.line").withColumn(
+        "id", F.monotonically_increasing_id()), "sets")
+    discard(grouped)
+    return sets
 
 
-def _rarity(source: DataFrame) -> Column:
-    """For each bucket of word hashes its rank by how often its words occur in all lines: a constant of fixed size."""
-    words = source.select(F.explode(F.split(_spaced(F.lower(F.coalesce("text", F.lit(""))), "\n\t\r\x0b\x0c"), " ")).alias("w"))
-    counts = {r["bucket"]: r["count"] for r in words.groupBy(
-        F.xxhash64("w").bitwiseAND(_BUCKETS - 1).alias("bucket")).count().collect()}
-    ranks = [0] * _BUCKETS
-    for rank, bucket in enumerate(sorted(range(_BUCKETS), key=lambda b: (counts.get(b, 0), b))):
-        ranks[bucket] = rank
-    return _constant(ranks, "int")
+def _frequent(lines: DataFrame) -> Column:
+    """For each bucket of words in how many lines they are, or zero if not far more often than the mean: a constant of fixed size."""
+    counts = {r["bucket"]: r["count"] for r in lines.select(F.explode("codes").alias("code")).groupBy(
+        F.col("code").bitwiseAND(_BUCKETS - 1).alias("bucket")).count().collect()}
+    least = _FREQUENT * max(1, sum(counts.values()) / _BUCKETS)
+    return _constant([c if c > least else 0 for c in (counts.get(b, 0) for b in range(_BUCKETS))], "bigint")
 
 
-def _near_sets(sets: DataFrame, source: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """(later, earlier), each with parity, hash and first place: for every set that is as similar as the threshold to a
-    different one of an earlier first place, at least one such.
+def _near_sets(sets: DataFrame, lines: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """(l, e), ids: for every set that is as similar as the threshold to an earlier one, at least one such.
 
     Groups of near copies have very many pairs, so a set first meets one set alone: the earliest of those that share two
-    of the words of least hash in the prefixes. Only sets that this leaves open meet all of their candidates.
+    of the words of least hash in the prefixes. Only sets that this leaves open meet all of their candidates, for a part
+    of the words at a time, whose shuffle is freed before the next.
     """
     met = materialize(_leaders(sets, threshold), "leaders")
-    near = _verified(met, sets, source, threshold)
-    settled = near.select(F.col("later.parity").alias("parity"), F.col("later.hash").alias("hash"))
-    left = materialize(sets.join(settled, ["parity", "hash"], "left_anti"), "open")
-    pairs = materialize(_candidates(left, sets, threshold).distinct(), "candidates")
+    near = _verified(met, sets, lines, threshold)
+    settled = near.select(F.col("l").alias("id"))
+    if settled.count() <= _IDS:
+        settled = F.broadcast(settled)
+    left = materialize(sets.select("id", "n", "parity", "half", "prefix").join(settled, "id", "left_anti"), "open")
+    parts = [materialize(_candidates(left, sets, threshold, part).distinct(), "candidates") for part in range(_PARTS)]
     discard(met, left)
-    more = _verified(pairs, sets, source, threshold)
-    discard(pairs)
+    more = _verified(reduce(DataFrame.unionByName, parts), sets, lines, threshold)
+    discard(*parts)
     return near.unionByName(more)
 
 
-def _order(sets: DataFrame) -> Column:
-    """The key as a number. Of keys that are no whole numbers none comes before another here; the verification looks at them."""
-    if not isinstance(_key_type(sets), T.IntegralType):
-        return F.lit(0).cast("long")
-    return F.coalesce(F.col("first.doc.id").cast("long"), F.lit((1 << 63) - 1))
+def _alike(n: Column, m: Column, bits: Column, threshold: tuple[int, int]) -> Column:
+    """Whether sizes n, m and the bits that parities differ by allow the threshold: a word of only one of the sets turns one at most."""
+    top, bottom = threshold
+    return (n * bottom >= m * top) & (m * bottom >= n * top) & (bits * (top + bottom) <= (n + m) * (bottom - top))
 
 
 def _leaders(sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """(pl, hl, pe, he): for each set at most one other, the earliest of a slot they share, if lengths and parities allow a match.
+    """(l, e): for each set at most one other, the earliest of a slot they share, if lengths and parities allow a match.
 
     The slots of a set are the pairs among the three words of least hash in its prefix. Every set of a slot meets its
     earliest one alone, so the rows are as many as the slots, whatever the size of a group.
     """
-    top, bottom = threshold
-    least = F.slice(F.sort_array("prefix"), 1, 3)
+    least = F.col("least")
     word = [F.try_element_at(least, F.lit(i)) for i in (1, 2, 3)]
     slots = F.when(F.size(least) < 3, F.array(F.xxhash64(*word[:2]))).otherwise(
         F.array(*[F.xxhash64(word[i], word[j]) for i, j in ((0, 1), (0, 2), (1, 2))]))
-    held = sets.select(F.explode(slots).alias("slot"), "first", "parity", "hash", "n")
-    earliest = held.groupBy("slot").agg(F.count("*").alias("members"), F.min(F.struct("first", "parity", "hash", "n")).alias("e")).where(
-        "members > 1").select("slot", "e")
-    held = held.drop("first")
-    n, m = F.col("n"), F.col("e.n")
-    need = F.ceil((n + m) * top / F.lit(top + bottom))
-    return held.join(earliest, "slot").where(
-        ((F.col("e.hash") != F.col("hash")) | (F.col("e.parity") != F.col("parity")))
-        & (F.least(n, m) * bottom >= F.greatest(n, m) * top)
-        & (F.bit_count(F.col("parity").bitwiseXOR(F.col("e.parity"))) <= n + m - 2 * need)).groupBy("parity", "hash").agg(
-        F.min("e").alias("e")).select(
-        F.col("parity").alias("pl"), F.col("hash").alias("hl"), F.col("e.parity").alias("pe"), F.col("e.hash").alias("he"))
-
-
-def _key_type(sets: DataFrame) -> T.DataType:
-    return sets.schema["first"].dataType["doc"].dataType["id"].dataType
-
-
-def _candidates(left: DataFrame, right: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """(pl, hl, pe, he): parity and hash of a later set among ``left`` and of an earlier one among ``right`` that passes
-    all filters. Sets of one key are met both ways."""
+    held = sets.select("id", "n", "parity", F.slice(F.sort_array("prefix"), 1, 3).alias("least")).select(
+        F.explode(slots).alias("slot"), "id", "n", "parity")
+    earliest = held.groupBy("slot").agg(
+        F.count("*").alias("members"), F.min("id").alias("e"), F.min_by("n", "id").alias("m"),
+        F.min_by("parity", "id").alias("q")).where("members > 1").drop("members")
+    return held.join(earliest, "slot").where((F.col("e") < F.col("id")) & _alike(
+        F.col("n"), F.col("m"), F.bit_count(F.col("parity").bitwiseXOR(F.col("q"))), threshold)).groupBy(F.col("id").alias("l")).agg(F.min("e").alias("e"))
+
+
+def _candidates(left: DataFrame, right: DataFrame, threshold: tuple[int, int], part: int) -> DataFrame:
+    """(l, e): ids of a set among ``left`` and of an earlier one among ``right`` that share a prefix word of this part of
+    the words and pass the filters."""
     top, bottom = threshold
 
     def spread(sets: DataFrame, side: str) -> DataFrame:
-        words = sets.select("parity", "hash", "n", _order(sets).alias("order"), F.posexplode("prefix").alias("at", "word")).select(
-            "word", "parity", "hash", "order", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("at")).alias("rest"))
-        return words.select("word", *[F.col(c).alias(f"{c}_{side}") for c in ("parity", "hash", "order", "rest")])
-
-    nl, ne = (F.shiftright(f"rest_{s}", 32).cast("int") for s in "le")
-    il, ie = (F.col(f"rest_{s}").bitwiseAND(0xFFFFFFFF).cast("int") for s in "le")
-    need = F.ceil((nl + ne) * top / F.lit(top + bottom))
-    least, most = F.least(nl, ne), F.greatest(nl, ne)
-    # The shorter set of a pair is sure of a common word among fewer.
-    short = _prefix(least, 2 * top, top + bottom)
-    return spread(left, "l").join(spread(right, "e"), "word").where(
-        (F.col("order_e") <= F.col("order_l"))
-        & ((F.col("hash_l") != F.col("hash_e")) | (F.col("parity_l") != F.col("parity_e"))) & (least * bottom >= most * top)
-        & (((nl <= ne) & (il < short)) | ((ne <= nl) & (ie < short)))
-        & ((F.least(il, ie) + 1 + F.least(nl - il - 1, ne - ie - 1)) * (top + bottom) >= (nl + ne) * top)
-        # A word of only one of the sets turns one bit of the parities at most.
-        & (F.bit_count(F.col("parity_l").bitwiseXOR(F.col("parity_e"))) <= nl + ne - 2 * need)).select(
-        F.col("parity_l").alias("pl"), F.col("hash_l").alias("hl"), F.col("parity_e").alias("pe"), F.col("hash_e").alias("he"))
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """(later, earlier), stored, of the pairs that are as similar as the threshold by their words, the one really earlier."""
+        # The shorter set of a pair is sure of a common word among fewer.
+        short = _prefix(F.col("n"), 2 * top, top + bottom)
+        words = sets.select("id", "n", "parity", "half", F.posexplode("prefix").alias("at", "word")).where(
+            F.pmod("word", F.lit(_PARTS)) == part)
+        return words.select(
+            F.shiftleft(F.col("word").cast("long"), 32).bitwiseOR(F.shiftleft(F.col("n").cast("long"), 1)).bitwiseOR(
+                (F.col("at") < short).cast("long")).alias(f"packed_{side}"), F.col("half").alias(f"half_{side}"),
+            F.col("parity").bitwiseXOR(F.col("half")).alias(f"rest_{side}"), F.col("id").alias(side))
+
+    packed = {side: F.col(f"packed_{side}") for side in "le"}
+    word = {side: F.shiftright(packed[side], 32).cast("int") for side in "le"}
+    n, m = (F.shiftright(packed[side].bitwiseAND(0xFFFFFFFF), 1) for side in "le")
+    head, tail = (packed[side].bitwiseAND(1) == 1 for side in "le")
+    bits = sum(F.bit_count(F.col(f"{name}_l").bitwiseXOR(F.col(f"{name}_e"))) for name in ("half", "rest"))
+    return spread(left, "l").join(spread(right, "e"), (word["l"] == word["e"]) & (F.col("e") < F.col("l")) & _alike(
+        n, m, bits, threshold) & (((n <= m) & head) | ((m <= n) & tail))).select("l", "e")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, lines: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Those of the pairs (l, e), stored, that are as similar as the threshold by the hashes of their words."""
     top, bottom = threshold
-    wanted = pairs.select(F.explode(F.array(F.struct(F.col("pl").alias("parity"), F.col("hl").alias("hash")),
-                                            F.struct(F.col("pe").alias("parity"), F.col("he").alias("hash")))).alias("s")).select(
-        "s.parity", "s.hash").distinct()
-    places = materialize(sets.select("parity", "hash", "first").join(
-        wanted, ["parity", "hash"], "left_semi").distinct(), "places")
-    spot = F.xxhash64("first.doc.id", "first.doc.digest", "first.line").bitwiseAND(_BITS - 1)
-    bits = {r["at"]: r["bits"] for r in places.select(F.shiftright(spot, 6).cast("int").alias("at"), spot.alias("spot")).select(
+    wanted = pairs.select(F.explode(F.array("l", "e")).alias("id")).distinct()
+    places = materialize(sets.select("id", "first").join(wanted, "id", "left_semi"), "places")
+
+    def spot(place: str) -> Column:
+        return F.xxhash64(f"{place}doc.id", f"{place}doc.digest", f"{place}line").bitwiseAND(_BITS - 1)
+
+    bits = {r["at"]: r["bits"] for r in places.select(F.shiftright(spot("first."), 6).cast("int").alias("at"), spot("first.").alias("spot")).select(
         "at", F.expr("shiftleft(1L, cast(spot & 63 as int))").alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).collect()}
     filled = _constant([bits.get(i, 0) for i in range(_BITS // 64)], "bigint")
-    lines = source.select("id", "digest", F.posexplode(_lines(F.col("text"))).alias("line", "content"))
-    mark = F.xxhash64("id", "digest", "line").bitwiseAND(_BITS - 1)
-    held = F.getbit(F.element_at(filled, (F.shiftright(mark, 6) + 1).cast("int")), F.pmod(mark, F.lit(64)))
-    texts = lines.where(held == 1).select("id", "digest", "line", "content")
-    known = places.join(texts, places["first.doc.id"].eqNullSafe(texts["id"]) & (places["first.doc.digest"] == texts["digest"])
-                        & (places["first.line"] == texts["line"]))
+    held = F.getbit(F.element_at(filled, (F.shiftright(spot(""), 6) + 1).cast("int")), F.pmod(spot(""), F.lit(64)))
+    words = lines.select("doc", "line", "codes").where(held == 1)
+    known = places.join(words, places["first.doc.id"].eqNullSafe(words["doc.id"]) & (places["first.doc.digest"] == words["doc.digest"])
+                        & (places["first.line"] == words["line"]))
     # Repeated rows have a line more than once.
-    known = materialize(known.select("parity", "hash", F.struct("parity", "hash", "first").alias("set"), "content").dropDuplicates(
-        ["parity", "hash"]), "verifiable")
-    later, earlier = (known.select(F.col("parity").alias(f"p{x}"), F.col("hash").alias(f"h{x}"), F.col("set").alias(name),
-                                   F.col("content").alias(f"t{x}")) for x, name in (("l", "later"), ("e", "earlier")))
-    checked = pairs.join(later, ["pl", "hl"]).join(earlier, ["pe", "he"]).select(
-        "later", "earlier", _words(F.col("tl")).alias("wl"), _words(F.col("te")).alias("we")).withColumn(
-        "common", F.size(F.array_intersect("wl", "we")))
-    near = materialize(checked.where((F.col("earlier.first") < F.col("later.first")) & (
-        F.col("common") * (top + bottom) >= (F.size("wl") + F.size("we")) * top)).select("later", "earlier"), "near")
+    known = materialize(known.select("id", "codes").dropDuplicates(["id"]), "verifiable")
+    later, earlier = (known.select(F.col("id").alias(side), F.col("codes").alias(f"codes_{side}")) for side in "le")
+    checked = pairs.join(later, "l").join(earlier, "e")
+    near = materialize(checked.where(F.size(F.array_intersect("codes_l", "codes_e")) * (top + bottom) >= (
+        F.size("codes_l") + F.size("codes_e")) * top).select("l", "e"), "near")
     discard(places, known)
     return near
 

@@ -196,6 +196,25 @@ def test_near_copies_of_a_line_meet_one_of_them(make, monkeypatch, one_document)
         assert met["leaders"][0] <= n and met["open"][0] <= n // 50 and met["candidates"][0] <= n
 
 
+def test_long_lines_with_a_word_in_common_are_no_candidates(make, monkeypatch):
+    met, kept, r = [], linededup.materialize, random.Random(31)
+
+    def counted(rows, label):
+        stored = kept(rows, label)
+        if label == "candidates":
+            met.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(linededup, "materialize", counted)
+    vocabulary = [f"word{i:05}" for i in range(4000)]
+    lines = [r.sample(vocabulary, 150) for _ in range(200)]
+    rows = [(i, " ".join(line), "en") for i, line in enumerate(lines)]
+    rows.append((200, " ".join([*lines[7][:145], *(f"other{i}" for i in range(5))]), "en"))
+    found = {row["id"]: row["removed"] for row in linededup.removed_lines(make(rows)).collect()}
+    assert found == {i: gone for (i, _), gone in brute_lines(rows).items()} and found[200] == [0]
+    assert sum(met) < 100
+
+
 def test_line_dedup_of_odd_rows(odd, none, make):
     found = {r["id"]: (r["n_lines"], r["removed"]) for r in linededup.removed_lines(odd).collect() if r["id"] is not None}
     assert found[2] == (2, [0, 1]) and found[8] == (1, [0]) and found[10] == (1, [0]) and found[3] == (1, []) and found[5] == (3, [])
