@@ -1,5 +1,6 @@
 """SimHash, line and substring deduplication against brute force."""
 
+import os
 import random
 from collections import defaultdict
 
@@ -215,6 +216,58 @@ def test_long_lines_with_a_word_in_common_are_no_candidates(make, monkeypatch):
     assert sum(met) < 100
 
 
+def test_lines_do_not_meet_by_a_word_of_very_many(make, monkeypatch):
+    met, kept, r = [], linededup.materialize, random.Random(37)
+
+    def counted(rows, label):
+        stored = kept(rows, label)
+        if label == "candidates":
+            met.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(linededup, "materialize", counted)
+    # What meets is counted, without the filters.
+    monkeypatch.setattr(linededup, "_alike", lambda *given: F.lit(True))
+    lines = [["thelongestwordofalllines", *(f"w{r.randrange(10 ** 9)}" for _ in range(19))] for _ in range(600)]
+    lines.append(["other", *lines[5][:19]])
+    rows = [(i, " ".join(line), "en") for i, line in enumerate(lines)]
+    found = {row["id"]: row["removed"] for row in linededup.removed_lines(make(rows)).collect()}
+    assert found == {i: [0] if i == 600 else [] for i in range(601)}
+    assert sum(met) < 1000
+
+
+@pytest.mark.parametrize("hot", [0, 3])
+def test_lines_that_meet_by_two_words_agree_with_all_pairs(make, monkeypatch, hot):
+    monkeypatch.setattr(linededup, "_HOT", hot)
+    # Nothing is settled before.
+    monkeypatch.setattr(linededup, "_leaders", lambda sets, threshold: sets.select(F.col("id").alias("l"), F.col("id").alias("e")).where("false"))
+    r, vocabulary = random.Random(41), [f"w{i}" for i in range(70)]
+    lines = [r.sample(vocabulary, r.randint(1, 30)) for _ in range(25)]
+    rows = []
+    for number in range(150):
+        line = list(r.choice(lines))
+        for _ in range(r.randint(0, 3)):
+            line[r.randrange(len(line))] = r.choice(vocabulary)
+        rows.append((number, " ".join(line[r.randint(0, 1):]), "en"))
+    found = {row["id"]: row["removed"] for row in linededup.removed_lines(make(rows)).collect()}
+    assert found == {i: gone for (i, _), gone in brute_lines(rows).items()}
+    assert sum(map(len, found.values())) > 40
+
+
+def test_line_dedup_leaves_little_behind(make, tmp_path, monkeypatch):
+    stored, kept = [], linededup.materialize
+
+    def noted(rows, label):
+        stored.append(kept(rows, label))
+        return stored[-1]
+
+    monkeypatch.setattr(linededup, "materialize", noted)
+    rows = [(i, f"line {i} of its own\nthe line of all documents", "en") for i in range(20)]
+    assert sorted(len(row["text"].split("\n")) for row in linededup.deduplicate(make(rows)).collect()) == [1] * 19 + [2]
+    left = [s for s in stored if os.path.exists(s.scratch_path.removeprefix("file://"))]
+    assert len(left) == 1 and left[0].columns == ["id", "digest", "n_lines", "removed"]
+
+
 def test_line_dedup_of_odd_rows(odd, none, make):
     found = {r["id"]: (r["n_lines"], r["removed"]) for r in linededup.removed_lines(odd).collect() if r["id"] is not None}
     assert found[2] == (2, [0, 1]) and found[8] == (1, [0]) and found[10] == (1, [0]) and found[3] == (1, []) and found[5] == (3, [])
