@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiq.llm.common import materialize
+from civiq.llm.common import discard, materialize
 
 
 def connected_components(edges: DataFrame, label: str = "components") -> DataFrame:
@@ -13,13 +13,14 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
 
     Every round points all larger neighbours of a node at its least neighbour, then all smaller ones; the
     edges end as stars. A round is two aggregates with map-side minima and two joins against one row per node,
-    so a node with very many edges is spread by the skew join. Each round is written to the shared folder.
+    so a node with very many edges is spread by the skew join. Each round is written to the shared folder and the one before deleted.
     Nodes without an edge don't appear. An empty table gives an empty table.
     """
     stars = materialize(_oriented(edges.select("a", "b")), label)
     state = _state(stars)
     while True:
-        stars = materialize(_small_star(_large_star(stars)), label)
+        before, stars = stars, materialize(_small_star(_large_star(stars)), label)
+        discard(before)
         now = _state(stars)
         if now == state:
             break

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civiq.llm.common import materialize
+from civiq.llm.common import discard, materialize
 from civiq.llm.components import connected_components
 
 _BUCKETS = 1 << 18       # entries of the rarity table, which orders shingles and never decides
@@ -100,7 +100,7 @@ def _may_be_similar(a: Column, b: Column, threshold: tuple[int, int]) -> Column:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: tuple[int, int]) -> DataFrame:
-    """Those of the pairs (a, b) that are similar enough."""
+    """Those of the pairs (a, b) that are similar enough, stored."""
     numerator, denominator = threshold
     pairs = materialize(pairs.distinct(), "candidates")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
@@ -130,15 +130,18 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: tuple[i
             at = pa.array(hits, pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], ["a", "b"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    near = materialize(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "edges")
+    discard(pairs, used)
+    return near
 
 
 def similar_components(texts: DataFrame, words: int = 5, threshold: tuple[int, int] = THRESHOLD,
                        candidates: DataFrame | None = None) -> DataFrame:
     """(node, component) of all texts (node, text) that are similar to another: the components of all similar pairs.
 
-    ``candidates`` (a, b) found by other means are verified first, with these: of the texts that share a rare shingle, each first meets the least one; groups of near copies are joined by that. Then
-    all meet that share one and are not yet in the same component, so no similar pair is left out. Repeated nodes count once.
+    ``candidates`` (a, b) found by other means are verified first, with these: of the texts that share a rare shingle, each
+    first meets the least one; groups of near copies are joined by that. Then all meet that share one and are not yet in the
+    same component, so no similar pair is left out. Repeated nodes count once. ``texts`` is read more than once.
     """
     prefixes = _prefixes(texts, words, threshold)
     member = F.struct("node", "n", "spot")
@@ -152,15 +155,20 @@ def similar_components(texts: DataFrame, words: int = 5, threshold: tuple[int, i
     met = two.unionByName(stars)
     if candidates is not None:
         met = met.unionByName(candidates)
-    edges = materialize(_verified(met, texts, words, threshold), "edges")
+    edges = _verified(met, texts, words, threshold)
+    discard(shared)
 
     found = connected_components(edges)
     named = members.withColumn("node", F.col("y.node")).join(found, "node", "left").select(
         "shingle", "y", F.coalesce("component", "node").alias("component"))
     open_ = named.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     named = materialize(named.join(open_.select("shingle"), "shingle", "left_semi"), "open")
+    discard(members)
     one = named.select("shingle", F.col("y").alias("x"), F.col("component").alias("other"))
     met = one.join(named, "shingle").where((F.col("other") != F.col("component")) & (F.col("x.node") < F.col("y.node"))
                                            & _may_be_similar(F.col("x"), F.col("y"), threshold)).select(*pair)
     more = _verified(met, texts, words, threshold)
-    return connected_components(edges.unionByName(more))
+    discard(named)
+    found = connected_components(edges.unionByName(more))
+    discard(edges, more)
+    return found

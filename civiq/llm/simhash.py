@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civiq.llm import shingles
-from civiq.llm.common import free_name, materialize, shuffle_partitions
+from civiq.llm.common import discard, free_name, materialize, shuffle_partitions
 from civiq.llm.components import connected_components
 
 _BLOCK = 2048  # fingerprints of one bucket that are compared in one place
@@ -145,7 +145,9 @@ def _linked_pairs(texts: DataFrame, words: int) -> DataFrame:
     equal = marked.join(least, "fp").where("least <> node").select(F.col("least").alias("a"), F.col("node").alias("b"))
     one, other = (least.select(F.col("fp").alias(c), F.col("least").alias(f"node_{c}")) for c in "ab")
     linked = met_links(least.select("fp"), _NEAR).join(one, "a").join(other, "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    return materialize(equal.unionByName(linked), "linked")
+    pairs = materialize(equal.unionByName(linked), "linked")
+    discard(marked)
+    return pairs
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
@@ -169,13 +171,18 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     one = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"))
     nodes = materialize(docs.select(key, text).mapInArrow(run, T.StructType([docs.schema[key], docs.schema[text], schema[mark]])).groupBy(
         F.col(mark).alias("node")).agg(F.count("*").alias("rows"), F.min(one).alias("least")), "nodes")
-    # Of copies only one is compared.
+    # Of copies only one is compared. What is compared is read several times, so it is stored instead of shuffled each time.
     copied = nodes.where("rows > 1").select(F.col("node").alias("copied"), "least")
-    texts = marked.join(copied, marked[mark] == copied["copied"], "left").where(
-        F.col("copied").isNull() | marked[key].eqNullSafe(F.col("least.key"))).select(F.col(mark).alias("node"), F.col(text).alias("text"))
-    found = shingles.similar_components(texts, words, threshold, _linked_pairs(texts, words))
+    texts = materialize(marked.join(copied, marked[mark] == copied["copied"], "left").where(
+        F.col("copied").isNull() | marked[key].eqNullSafe(F.col("least.key"))).select(F.col(mark).alias("node"), F.col(text).alias("text")), "texts")
+    linked = _linked_pairs(texts, words)
+    found = shingles.similar_components(texts, words, threshold, linked)
     roots = nodes.join(found, "node", "left").groupBy(F.coalesce("component", "node")).agg(
-        F.min(F.struct("least", "node")).alias("first"))
-    first = roots.select(F.col("first.node").alias("first_node"), F.col("first.least.key").alias("first_key"))
-    kept = marked.join(first, (marked[mark] == first["first_node"]) & marked[key].eqNullSafe(first["first_key"]), "left_semi")
-    return kept.dropDuplicates([mark, key]).drop(mark)
+        F.min(F.struct("least", "node", "rows")).alias("first"))
+    first = materialize(roots.select(F.col("first.node").alias("first_node"), F.col("first.least.key").alias("first_key"), (
+        F.col("first.rows") > 1).alias("first_copied")), "first")
+    discard(nodes, texts, linked)
+    kept = marked.join(first, (marked[mark] == first["first_node"]) & marked[key].eqNullSafe(first["first_key"]))
+    # Only rows with copies can repeat their key and words, so the others aren't shuffled once more.
+    single, copies = (kept.where(which).select(mark, *(marked[c] for c in docs.columns)) for which in (~first["first_copied"], first["first_copied"]))
+    return single.unionByName(copies.dropDuplicates([mark, key])).drop(mark)

@@ -126,6 +126,23 @@ def test_near_copies_down_to_the_similarity_go(make):
     assert kept == sorted(set(root)) and low > 20 and len(kept) < len(texts) - 20
 
 
+def test_near_copies_leave_little_behind(make, monkeypatch):
+    stored, kept = [], simhash.materialize
+
+    def noted(rows, label):
+        stored.append((label, kept(rows, label)))
+        return stored[-1][1]
+
+    for module in (simhash, simhash.shingles, components):
+        monkeypatch.setattr(module, "materialize", noted)
+    texts = near_copies()
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    found = sorted(row["doc_id"] for row in simhash.keep_first(make([*rows, *rows[:30], (None, texts[0], "en")])).collect())
+    assert found == sorted(set(brute_components(texts)))
+    left = {label for label, rows in stored if os.path.exists(rows.scratch_path.removeprefix("file://"))}
+    assert left <= {"first", "buckets", "components"} and len(stored) > 10
+
+
 def test_near_copies_are_found_by_linked_fingerprints(make, monkeypatch):
     r, real = random.Random(29), simhash.shingles._prefixes
     base = [f"w{r.randrange(900)}" for _ in range(400)]
